@@ -37,10 +37,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return named
 
 
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def settled(df: DataFrame) -> DataFrame:
-    """The rows, written once to the shared checkpoint folder: lost executors cost no recomputation."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The rows, written once to the shared checkpoint folder: lost executors cost no recomputation, and the shuffle files
+    that led to them go as soon as they are written."""
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    before = spark.conf.get(_CLEAN_UP, None)
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)
+    finally:
+        spark.conf.unset(_CLEAN_UP) if before is None else spark.conf.set(_CLEAN_UP, before)
 
 
 @dataclass(frozen=True)
