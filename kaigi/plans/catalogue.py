@@ -1,2 +1,305 @@
-def queries(): return {}
-def oracle_sql(): return {}
+"""One query for each operator over the test tables, with SQL that gives the same rows.
+
+documents stand for sessions (doc_id) and, by source, for speakers; conversations for meetings; labels for a dimension that
+covers some documents.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import dates, text
+from ..operators import incremental, minutes, speakers, tfidf
+from ..sources import readers
+
+#: A stand-in dictionary of category words, as the tables hold no Japanese.
+CATEGORIES = [(0, "articles", w) for w in ("the", "der", "die", "das", "le", "la", "les", "el", "los")] + [
+    (1, "links", w) for w in ("and", "und", "et", "que", "with", "avec")
+] + [(2, "places", w) for w in ("in", "on", "at", "dans", "von", "de")] + [(3, "mixed", w) for w in ("de", "la", "that", "this", "pour", "para")] + [(4, "never", w) for w in ("A", "x1", "オープン")]
+STOPS = ("the", "and", "of", "la", "de", "die")
+ERA_TEXTS = ("令和元年５月１日", "平成 31 年 4 月 30 日", "昭和64年1月7日", "no date", "自　令和２年２月３０日")
+FILES = ("20240126_a_b_12.json", "20240126_a_b_9.json", "20231201_x.json", "nodate")
+NAMES = ("山田　太郎", "ﾔﾏﾀﾞ", "德田 榮一", "Ａｂｃ")
+_TOKENS = r"regexp_extract_all(lower(text), '[\p{L}]{2,}')"
+
+
+def _read(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+def _docs(spark, sf):
+    return _read(spark, sf, "documents")
+
+
+def _tokens(spark, sf, entity="doc_id"):
+    return _docs(spark, sf).select(entity, F.explode(text.words(F.col("text"))).alias("term"))
+
+
+def _counts(spark, sf, entity="doc_id"):
+    return tfidf.term_counts(_tokens(spark, sf, entity), entity)
+
+
+def session_tfidf_top30(spark, sf):
+    weights = tfidf.tfidf(_counts(spark, sf), "doc_id", _docs(spark, sf).count(), min_df=2, max_df=0.7, max_features=10_000)
+    return tfidf.ranked(weights, "doc_id", 30).select("doc_id", "rank", "term", F.round("weight", 4).alias("score"), "tf")
+
+
+def session_term_counts(spark, sf):
+    return _counts(spark, sf)
+
+
+def document_frequency(spark, sf):
+    return tfidf.document_frequency(_counts(spark, sf))
+
+
+def vocabulary_pruned(spark, sf):
+    return tfidf.vocabulary(document_frequency(spark, sf), _docs(spark, sf).count(), 2, 0.7, 10_000)
+
+
+def speaker_utterance_stats(spark, sf):
+    docs = _docs(spark, sf)
+    counts = speakers.utterance_counts(docs, "source", "text", "doc_id").where(F.col("utterance_count") >= 10)
+    totals = docs.groupBy("source").agg(F.sum(F.size(text.words(F.col("text")))).cast("long").alias("total_words"))
+    return counts.join(totals, "source").orderBy(F.desc("utterance_count"), "first_seg")
+
+
+def _speaker_weights(spark, sf):
+    return tfidf.tfidf(_counts(spark, sf, "source"), "source", _docs(spark, sf).select("source").distinct().count(), min_df=2, max_df=0.6, sublinear=True)
+
+
+def speaker_tfidf_top200(spark, sf):
+    return tfidf.ranked(_speaker_weights(spark, sf), "source", 200).select("source", "rank", "term", F.round("weight", 6).alias("tfidf"), F.col("tf").alias("count"))
+
+
+def top3_speakers_top5_words(spark, sf):
+    top = speakers.utterance_counts(_docs(spark, sf), "source", "text", "doc_id").orderBy(F.desc("utterance_count"), "first_seg").limit(3)
+    return tfidf.ranked(_speaker_weights(spark, sf), "source", 5).join(top.select("source"), "source").select("source", "rank", "term")
+
+
+def speaker_meta_left_join(spark, sf):
+    talk = _read(spark, sf, "conversations").groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_turns"), F.min_by("role", "turn").alias("role"))
+    dim = _read(spark, sf, "labels").where("quality = 1").select(F.col("doc_id").alias("conv_id"), F.lit("").alias("role"), F.concat(F.lit("group"), (F.col("toxic")).cast("string")).alias("party"))
+    return speakers.with_harvest(talk.withColumn("role", F.when(F.col("n_turns") > 2, F.col("role"))), speakers.harvested(dim, "conv_id", "conv_id", "role", "party"), "conv_id")
+
+
+def member_flag_join(spark, sf):
+    docs = _docs(spark, sf).select(F.col("doc_id").cast("string").alias("speaker_id"), F.lit("").alias("role"), "source")
+    labels = _read(spark, sf, "labels")
+    dim = labels.select(F.col("doc_id").cast("string").alias("name"), F.lit(None).cast("string").alias("kana"), F.lit("").alias("gender"), F.col("quality").cast("string").alias("party"), F.col("toxic").cast("string").alias("faction"), F.array("quality", "toxic").alias("terms"))
+    joined = speakers.with_members(docs, dim)
+    return joined.select("speaker_id", "source", "role", "party", "faction", F.array_join(F.col("terms").cast("array<string>"), ",").alias("terms"), "in_member_json")
+
+
+def _categories(spark):
+    return spark.createDataFrame(CATEGORIES, "cat_seq int, category string, word string")
+
+
+def _scores(spark, sf):
+    return speakers.category_scores(_speaker_weights_all(spark, sf), _docs(spark, sf).select("source"), _categories(spark), "source")
+
+
+def _speaker_weights_all(spark, sf):
+    return tfidf.tfidf(_counts(spark, sf, "source"), "source", _docs(spark, sf).select("source").distinct().count(), min_df=2, max_df=1.0, sublinear=True)
+
+
+def category_scores(spark, sf):
+    return _scores(spark, sf).select("source", "cat_seq", "category", F.round("score", 4).alias("score"), "word_count")
+
+
+def category_top5(spark, sf):
+    return _scores(spark, sf).select("source", "cat_seq", "top_words")
+
+
+def category_lint(spark, sf):
+    return speakers.unreachable_words(_categories(spark), list(STOPS))
+
+
+def stopword_anti_join(spark, sf):
+    from ..operators.tokens import drop_stop_words
+
+    stops = spark.createDataFrame([(w,) for w in STOPS], "term string")
+    return drop_stop_words(_tokens(spark, sf), stops).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_tokens"))
+
+
+def token_class_filters(spark, sf):
+    word = F.explode(F.filter(F.split("text", r"\s+"), lambda x: x != "")).alias("word")
+    w, count = F.col("word"), lambda c, name: F.count_if(c).alias(name)
+    return _docs(spark, sf).select("source", word).groupBy("source").agg(
+        count(F.length(w) < 2, "short"), count(w.rlike(r"^[0-9０-９\s\-・]+$"), "digits"), count(w.rlike("[a-zA-Z]"), "ascii"), count(w.contains("-"), "hyphen"), count(w.rlike("^[ぁ-ん]+$"), "hiragana"), count(w.rlike("^[ァ-ヴー]+$"), "katakana"), count(F.length(w) > 10, "long_words")
+    )
+
+
+def _meetings(spark, sf):
+    """Conversations as meetings: conv_id, speechRecord in the order of turns."""
+    speech = F.struct(F.col("turn"), F.when(F.col("role") == "assistant", "").otherwise(F.col("role")).alias("speaker"), F.when(F.col("role") == "user", "議長").alias("speakerRole"), F.col("text").alias("speech"))
+    return _read(spark, sf, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(speech)).alias("speechRecord"))
+
+
+def _texts(spark, sf):
+    header = minutes.parliament_header(F.col("conv_id"), F.lit("house"), F.lit("meeting"), F.when(F.col("conv_id") % 3 > 0, F.lit("1")), F.when(F.col("conv_id") % 5 > 0, F.lit("2024-01-26")))
+    return _meetings(spark, sf).select("conv_id", minutes.meeting_text(header, F.col("speechRecord")).alias("text"))
+
+
+def transcript_format(spark, sf):
+    return _texts(spark, sf).select("conv_id", F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("digest"))
+
+
+def _lines(spark, sf):
+    return readers.body_lines(_texts(spark, sf), "conv_id", "text")
+
+
+def utterance_segments(spark, sf):
+    found = minutes.utterances(_lines(spark, sf), "conv_id")
+    return found.select(F.col("seg_id").cast("long").alias("seg_id"), "role", "name", "conv_id", F.md5("text").alias("digest"))
+
+
+def session_split_loose(spark, sf):
+    return minutes.loose_sessions(_texts(spark, sf)).select("conv_id", F.col("session_no").cast("long").alias("session_no"), "label", F.md5("content").alias("digest"))
+
+
+def session_split_strict(spark, sf):
+    from ..profiles import PARLIAMENT
+
+    placed = minutes.strict_sessions(_lines(spark, sf), ["conv_id"], PARLIAMENT.header)
+    return placed.groupBy("conv_id", "session_no").agg(F.max("name").alias("name"), F.count(F.lit(1)).alias("n_lines"))
+
+
+def first_value_meta(spark, sf):
+    return speakers.first_values(_read(spark, sf, "conversations").withColumn("r", F.when(F.col("turn") > 0, F.col("role"))), "conv_id", "turn", "role", "r")
+
+
+def last_wins_dedup(spark, sf):
+    return speakers.last_wins(_read(spark, sf, "events").select("user_id", "event_id", "event_type", "value"), "user_id", "event_id")
+
+
+def incremental_new_sessions(spark, sf):
+    return incremental.new_rows(_docs(spark, sf).select("doc_id", "source"), _read(spark, sf, "labels"), "doc_id")
+
+
+def incremental_new_meetings(spark, sf):
+    events = _read(spark, sf, "events").withColumn("issue", F.expr("event_id div 3"))
+    return incremental.new_rows(events.where("event_type = 'view'").select("issue").distinct(), events.where("event_type = 'error'").select("issue").distinct(), "issue")
+
+
+def html_links(spark, sf):
+    found = readers.links(_read(spark, sf, "pages"), suffix="e")
+    return found.groupBy("page_id", "target", "file_name").agg(F.count(F.lit(1)).alias("n"))
+
+
+def json_props(spark, sf):
+    value = F.from_json("props", "k string")["k"].try_cast("int")
+    return _read(spark, sf, "events").select(value.alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+
+
+def has_text_predicate(spark, sf):
+    return _meetings(spark, sf).select("conv_id", minutes.has_speech(F.col("speechRecord")).alias("has_text"), F.size("speechRecord").cast("long").alias("n"))
+
+
+def chunk_2000(spark, sf):
+    return _docs(spark, sf).select("doc_id", F.posexplode(text.chunks(F.col("text"))).alias("chunk_no", "chunk")).select("doc_id", F.col("chunk_no").cast("long").alias("chunk_no"), F.md5("chunk").alias("digest"))
+
+
+def printable_ratio(spark, sf):
+    return _docs(spark, sf).select("doc_id", F.round(text.printable_ratio(F.col("text")), 6).alias("ratio"))
+
+
+def _values(spark, values, name):
+    return spark.createDataFrame([(v,) for v in values], f"{name} string")
+
+
+def era_date_parse(spark, sf):
+    return _values(spark, ERA_TEXTS, "t").select("t", dates.parse_date(F.col("t")).alias("day"))
+
+
+def filename_sort_key(spark, sf):
+    key = readers.sort_key(F.col("f"))
+    return _values(spark, FILES, "f").select("f", key["day"].alias("day"), key["number"].cast("long").alias("number"))
+
+
+def nfkc_name(spark, sf):
+    return _values(spark, NAMES, "n").select("n", text.folded_name(text.nfkc("n"), True).alias("name"))
+
+
+def run_counters(spark, sf):
+    return _docs(spark, sf).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.length("text") > 0).alias("ok"), F.count_if(F.coalesce(F.length("text"), F.lit(0)) == 0).alias("skipped"), F.sum(F.length("text")).cast("long").alias("n_chars"))
+
+
+_QUERIES = (
+    session_tfidf_top30, session_term_counts, document_frequency, vocabulary_pruned, speaker_utterance_stats, speaker_tfidf_top200, top3_speakers_top5_words, speaker_meta_left_join, member_flag_join, category_scores, category_top5,
+    category_lint, stopword_anti_join, token_class_filters, transcript_format, utterance_segments, session_split_loose, session_split_strict, first_value_meta, last_wins_dedup, incremental_new_sessions, incremental_new_meetings,
+    html_links, json_props, has_text_predicate, chunk_2000, printable_ratio, era_date_parse, filename_sort_key, nfkc_name, run_counters,
+)
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {f.__name__: f for f in _QUERIES}
+
+
+def _weights(entity: str, max_df: str, cap: str, sublinear: bool) -> str:
+    count = "1 + ln(tf)" if sublinear else "tf"
+    return f"""tok AS (SELECT {entity}, unnest({_TOKENS}) AS term FROM documents), tf AS (SELECT {entity}, term, count(*) AS tf FROM tok GROUP BY ALL),
+n AS (SELECT count(DISTINCT {entity})::DOUBLE AS n FROM documents), df AS (SELECT term, count(*) AS df, sum(tf)::BIGINT AS total_tf FROM tf GROUP BY term),
+vocab AS (SELECT term, df FROM df, n WHERE df >= 2 AND df <= {max_df} * n ORDER BY total_tf DESC, term {cap}),
+raw AS (SELECT {entity}, term, tf, df, ({count}) * (ln((1.0 + n) / (1 + df)) + 1) AS raw FROM tf JOIN vocab USING (term), n),
+weights AS (SELECT {entity}, term, tf, df, raw / sqrt(sum(raw * raw) OVER (PARTITION BY {entity})) AS weight FROM raw),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY {entity} ORDER BY round(weight, 10) DESC, term) AS rank FROM weights)"""
+
+
+_TOK = f"tok AS (SELECT doc_id, unnest({_TOKENS}) AS term FROM documents), tf AS (SELECT doc_id, term, count(*) AS tf FROM tok GROUP BY ALL)"
+_CATS = "cats(cat_seq, category, word) AS (VALUES " + ", ".join(f"({a}, '{b}', '{c}')" for a, b, c in CATEGORIES) + ")"
+_SPEECHES = """sp AS (SELECT conv_id, turn, CASE WHEN role = 'assistant' THEN '' ELSE coalesce(role, '') END AS speaker, CASE WHEN role = 'user' THEN '議長' ELSE '' END AS r, trim(coalesce(text, ''), ' ' || chr(9) || chr(10) || chr(13)) AS speech FROM conversations),
+mk AS (SELECT conv_id, turn, CASE WHEN speaker = '' THEN '◎（発言者不明君）' WHEN r <> '' THEN '◎' || r || '（' || speaker || '君）' ELSE '◎' || speaker || '君' END AS marker, speech FROM sp),
+tx AS (SELECT conv_id, chr(10) || chr(10) || '==== 第' || conv_id || '回 house meeting ' || CASE WHEN conv_id % 3 > 0 THEN '1' ELSE '?' END || ' ' || CASE WHEN conv_id % 5 > 0 THEN '2024-01-26' ELSE '?' END || ' ====' || chr(10) || chr(10)
+  || string_agg(chr(10) || marker || CASE WHEN speech = '' THEN '' ELSE chr(10) || speech END, chr(10) ORDER BY turn) AS text FROM mk GROUP BY conv_id)"""
+_LINES = _SPEECHES + ", ln AS (SELECT conv_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM tx)"
+_SCORES = f"""WITH {_weights("source", "1.0", "", True)}, {_CATS}, e AS (SELECT DISTINCT source FROM documents), c AS (SELECT DISTINCT cat_seq, category FROM cats),
+m AS (SELECT source, cat_seq, word, weight, row_number() OVER (PARTITION BY source, cat_seq ORDER BY round(weight, 10) DESC, word) AS r FROM weights JOIN cats ON term = word)"""
+
+_ORACLES = {
+    "session_tfidf_top30": f"WITH {_weights('doc_id', '0.7', 'LIMIT 10000', False).replace('count(DISTINCT doc_id)', 'count(*)')} SELECT doc_id, rank, term, round(weight, 4) AS score, tf FROM ranked WHERE rank <= 30",
+    "session_term_counts": f"WITH {_TOK} SELECT * FROM tf",
+    "document_frequency": f"WITH {_TOK} SELECT term, count(*) AS df, sum(tf)::BIGINT AS total_tf FROM tf GROUP BY term",
+    "vocabulary_pruned": f"WITH {_TOK}, df AS (SELECT term, count(*) AS df, sum(tf)::BIGINT AS total_tf FROM tf GROUP BY term) SELECT * FROM df WHERE df >= 2 AND df <= 0.7 * (SELECT count(*) FROM documents) ORDER BY total_tf DESC, term LIMIT 10000",
+    "speaker_utterance_stats": f"SELECT source, count(*) FILTER (WHERE length(text) > 0) AS utterance_count, min(doc_id) AS first_seg, sum(len({_TOKENS}))::BIGINT AS total_words FROM documents GROUP BY source HAVING count(*) FILTER (WHERE length(text) > 0) >= 10",
+    "speaker_tfidf_top200": f"WITH {_weights('source', '0.6', '', True)} SELECT source, rank, term, round(weight, 6) AS tfidf, tf AS count FROM ranked WHERE rank <= 200",
+    "top3_speakers_top5_words": f"WITH {_weights('source', '0.6', '', True)}, top AS (SELECT source FROM documents GROUP BY source ORDER BY count(*) FILTER (WHERE length(text) > 0) DESC, min(doc_id) LIMIT 3) SELECT source, rank, term FROM ranked WHERE rank <= 5 AND source IN (FROM top)",
+    "speaker_meta_left_join": "WITH t AS (SELECT conv_id, count(*) AS n_turns, arg_min(role, turn) AS role FROM conversations GROUP BY 1), d AS (SELECT doc_id, 'group' || min(toxic) AS party FROM labels WHERE quality = 1 GROUP BY doc_id) SELECT conv_id, n_turns, CASE WHEN n_turns > 2 THEN coalesce(role, '') ELSE '' END AS role, coalesce(party, '') AS party FROM t LEFT JOIN d ON conv_id = doc_id",
+    "member_flag_join": "SELECT d.doc_id::VARCHAR AS speaker_id, source, CASE WHEN l.doc_id IS NULL THEN '不明' ELSE '議員' END AS role, coalesce(quality::VARCHAR, '') AS party, coalesce(toxic::VARCHAR, '') AS faction, CASE WHEN l.doc_id IS NULL THEN '' ELSE quality || ',' || toxic END AS terms, l.doc_id IS NOT NULL AS in_member_json FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id",
+    "category_scores": f"{_SCORES} SELECT source, cat_seq, category, round(coalesce(sum(weight), 0.0), 4) AS score, count(word) AS word_count FROM e CROSS JOIN c LEFT JOIN m USING (source, cat_seq) GROUP BY ALL",
+    "category_top5": f"{_SCORES} SELECT source, cat_seq, coalesce(string_agg(word, ',' ORDER BY r) FILTER (WHERE r <= 5), '') AS top_words FROM e CROSS JOIN c LEFT JOIN m USING (source, cat_seq) GROUP BY ALL",
+    "category_lint": f"WITH {_CATS} SELECT * FROM (SELECT cat_seq, category, word, CASE WHEN length(word) < 2 THEN 'short' WHEN word IN {STOPS} THEN 'stop word' WHEN regexp_matches(word, '[A-Za-z]') THEN 'ascii' WHEN word <> lower(word) THEN 'capitals' WHEN regexp_matches(word, '^[ァ-ヴー]+$') THEN 'katakana' WHEN regexp_matches(word, '^[ぁ-ん]+$') THEN 'hiragana' END AS reason FROM cats) WHERE reason IS NOT NULL",
+    "stopword_anti_join": f"WITH {_TOK} SELECT doc_id, count(*) AS n_tokens FROM tok WHERE term NOT IN {STOPS} GROUP BY doc_id",
+    "token_class_filters": r"""WITH w AS (SELECT source, unnest(list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '')) AS word FROM documents)
+SELECT source, count_if(length(word) < 2)::BIGINT AS short, count_if(regexp_matches(word, '^[0-9０-９\s\-・]+$'))::BIGINT AS digits, count_if(regexp_matches(word, '[a-zA-Z]'))::BIGINT AS ascii, count_if(contains(word, '-'))::BIGINT AS hyphen, count_if(regexp_matches(word, '^[ぁ-ん]+$'))::BIGINT AS hiragana, count_if(regexp_matches(word, '^[ァ-ヴー]+$'))::BIGINT AS katakana, count_if(length(word) > 10)::BIGINT AS long_words FROM w GROUP BY source""",
+    "transcript_format": f"WITH {_SPEECHES} SELECT conv_id, length(text)::BIGINT AS n_chars, md5(text) AS digest FROM tx",
+    "utterance_segments": f"""WITH {_LINES}, k AS (SELECT *, starts_with(line, '◎') AND contains(line, '君') AS titled FROM ln WHERE NOT starts_with(line, '◎') OR contains(line, '君')),
+s AS (SELECT *, sum(titled::INT) OVER (ORDER BY conv_id, line_no ROWS UNBOUNDED PRECEDING) AS seg_id FROM k),
+g AS (SELECT seg_id, max(CASE WHEN titled THEN conv_id END) AS conv_id, max(CASE WHEN titled THEN substr(line, 2) END) AS marker, string_agg(line, chr(10) ORDER BY conv_id, line_no) FILTER (WHERE NOT titled) AS text FROM s WHERE seg_id > 0 GROUP BY seg_id)
+SELECT seg_id::BIGINT AS seg_id, nullif(regexp_extract(marker, '^(.+?)（(.+?)君）\\s*$', 1), '') AS role,
+CASE WHEN regexp_matches(marker, '^(.+?)（(.+?)君）\\s*$') THEN regexp_extract(marker, '^(.+?)（(.+?)君）\\s*$', 2) WHEN regexp_matches(marker, '^(.+?)君\\s*$') THEN regexp_extract(marker, '^(.+?)君\\s*$', 1) ELSE marker END AS name,
+conv_id, md5(trim(coalesce(text, ''), ' ' || chr(9) || chr(10) || chr(13))) AS digest FROM g""",
+    "session_split_loose": f"WITH {_SPEECHES} SELECT conv_id, 1::BIGINT AS session_no, trim(regexp_extract(text, '====.+?===='), '= ' || chr(10)) AS label, md5(regexp_replace(text, '(?s)^.*?====.+?====', '')) AS digest FROM tx",
+    "session_split_strict": f"WITH {_LINES}, h AS (SELECT *, regexp_extract(line, '^==== (.+?) \\d{{4}}-\\d{{2}}-\\d{{2}} ====$', 1) AS nm, count(*) FILTER (WHERE regexp_matches(line, '^==== (.+?) \\d{{4}}-\\d{{2}}-\\d{{2}} ====$')) OVER (PARTITION BY conv_id ORDER BY line_no) AS session_no FROM ln) SELECT conv_id, session_no, max(nullif(nm, '')) AS name, count(*) AS n_lines FROM h GROUP BY ALL",
+    "first_value_meta": "SELECT conv_id, arg_min(role, turn) AS raw_name, arg_min(role, turn) FILTER (WHERE turn > 0 AND role <> '') AS role FROM conversations GROUP BY conv_id",
+    "last_wins_dedup": "SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value FROM events GROUP BY user_id",
+    "incremental_new_sessions": "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
+    "incremental_new_meetings": "SELECT DISTINCT event_id // 3 AS issue FROM events WHERE event_type = 'view' AND event_id // 3 NOT IN (SELECT event_id // 3 FROM events WHERE event_type = 'error')",
+    "html_links": """WITH h AS (SELECT page_id, url, unnest(regexp_extract_all(html, '(?i)<a\\b[^>]*?\\bhref\\s*=\\s*["'']([^"'']*)["'']', 1)) AS href FROM pages), k AS (SELECT * FROM h WHERE suffix(href, 'e')),
+r AS (SELECT page_id, href, regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.\\-]*://[^/?#]*)', 1) AS root, regexp_extract(regexp_replace(url, '[?#].*$', ''), '^([a-zA-Z][a-zA-Z0-9+.\\-]*://.*/)[^/]*$', 1) AS folder, regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.\\-]*:)', 1) AS scheme FROM k)
+SELECT page_id, CASE WHEN regexp_matches(href, '^[a-zA-Z][a-zA-Z0-9+.\\-]*:') THEN href WHEN starts_with(href, '//') THEN scheme || href WHEN starts_with(href, '/') THEN root || href WHEN length(folder) > length(root) THEN folder || href ELSE root || '/' || href END AS target, list_last(string_split(href, '/')) AS file_name, count(*) AS n FROM r GROUP BY ALL""",
+    "json_props": "SELECT try_cast(json_extract_string(props, '$.k') AS INT) AS k, count(*) AS n FROM events GROUP BY 1",
+    "has_text_predicate": "SELECT conv_id, bool_or(length(coalesce(text, '')) > 0) AS has_text, count(*) AS n FROM conversations GROUP BY conv_id",
+    "chunk_2000": "SELECT doc_id, i::BIGINT AS chunk_no, md5(substr(text, 2000 * i + 1, 2000)) AS digest FROM (SELECT doc_id, text, unnest(range((greatest(length(text), 1) + 1999) // 2000)) AS i FROM documents WHERE text IS NOT NULL)",
+    "printable_ratio": r"SELECT doc_id, round((length(regexp_replace(text, '[\p{C}\p{Zs}\p{Zl}\p{Zp}]', '', 'g')) + length(text) - length(replace(text, ' ', '')))::DOUBLE / greatest(length(text), 1), 6) AS ratio FROM documents",
+    "era_date_parse": "WITH v(t) AS (VALUES " + ", ".join(f"('{x}')" for x in ERA_TEXTS) + r"""), h AS (SELECT t, translate(t, '０１２３４５６７８９', '0123456789') AS u FROM v), p AS (SELECT t, regexp_extract(u, '(明治|大正|昭和|平成|令和)\s*(元|\d+)\s*年\s*(\d+)\s*月\s*(\d+)\s*日', ['e', 'y', 'm', 'd']) AS x FROM h)
+SELECT t, CASE WHEN x.e <> '' THEN printf('%04d-%02d-%02d', CASE x.e WHEN '明治' THEN 1868 WHEN '大正' THEN 1912 WHEN '昭和' THEN 1926 WHEN '平成' THEN 1989 ELSE 2019 END + CASE WHEN x.y = '元' THEN 1 ELSE try_cast(x.y AS INT) END - 1, try_cast(x.m AS INT), try_cast(x.d AS INT)) END AS day FROM p""",
+    "filename_sort_key": "WITH v(f) AS (VALUES " + ", ".join(f"('{x}')" for x in FILES) + r"), s AS (SELECT f, regexp_replace(f, '\.[^.]*$', '') AS stem FROM v) SELECT f, split_part(stem, '_', 1) AS day, coalesce(try_cast(nullif(regexp_extract(stem, '(\d+)$', 1), '') AS BIGINT), 0) AS number FROM s",
+    "run_counters": "SELECT count(*) AS n, count_if(length(text) > 0)::BIGINT AS ok, count_if(coalesce(length(text), 0) = 0)::BIGINT AS skipped, sum(length(text))::BIGINT AS n_chars FROM documents",
+}
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_ORACLES)
