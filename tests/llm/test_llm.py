@@ -1,0 +1,264 @@
+"""Every operator against brute force or SQL, and on rows that are easy to get wrong."""
+
+import collections
+import hashlib
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from kaigi.llm import decontaminate, jaccard_join, language_id, line_dedup, mixing, quality, queries, secrets, substring_dedup, surrogates, url_filter
+from tests.compare import same_rows
+
+SF = "/root/testdata/sf0.001"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, kept boolean, n_words int, chunk string, epoch string, value string, drop_bits int, lines int"
+LONG = " ".join(f"w{i % 977}x{i % 31}" for i in range(30_000))
+
+
+def words(t):
+    return re.findall(r"[^\x20\x09-\x0D]+", t or "")
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Nulls in any column, empty and very long texts, ties, repeated rows, and columns with clashing names."""
+    r = random.Random(5)
+    vocabulary = [f"v{i}" for i in range(60)]
+    made = [" ".join(r.choice(vocabulary) for _ in range(r.randrange(5, 60))) for _ in range(25)]
+    near = made[0].split()
+    texts = [None, "", "  \n\t ", LONG, LONG + " end", made[0], made[0], " ".join(near[:-1] + ["other"]), "same line\nx", *["Same Line \nown %d" % i for i in range(12)], *made, "\n".join(made[3:6]), "é " * 40]
+    rows = [(i, t, [None, "en", "de"][i % 3], [None, "src1", "src22"][i % 3], None, "r", True, 1, "c", "e", "v", 2, 3) for i, t in enumerate(texts)]
+    rows += [rows[5], rows[5], (None, made[1], None, None, None, None, None, None, None, None, None, None, None)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def removed(rows, window=13):
+    first, out = {}, []
+    order = lambda d: d if d is not None else 1 << 62
+    for d, t in rows:
+        w = words(t)
+        for i in range(len(w) - window + 1):
+            k = tuple(w[i : i + window])
+            first[k] = min(first.get(k, 1 << 63), order(d))
+    for d, t in rows:
+        w, gone = words(t), set()
+        for i in range(len(w) - window + 1):
+            if first[tuple(w[i : i + window])] < order(d):
+                gone.update(range(i, i + window))
+        kept = " ".join(x for i, x in enumerate(w) if i not in gone)
+        out.append((d, len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    return collections.Counter(out)
+
+
+def test_substring_dedup_odd(odd):
+    assert collections.Counter(map(tuple, substring_dedup.digest(substring_dedup.remove_repeats(odd)).collect())) == removed([(r.doc_id, r.text) for r in odd.collect()])
+
+
+def without_lines(rows, keep_first=False):
+    fold = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    key = lambda x: x.strip(" \t\n\x0b\x0c\r").translate(fold)
+    held = collections.defaultdict(set)
+    for d, t in rows:
+        for x in (t or "").split("\n"):
+            held[key(x)].add(d)
+    often = {k for k, v in held.items() if k and len(v) >= 10}
+    return collections.Counter((d, len((t or "").split("\n")), sum(key(x) in often for x in (t or "").split("\n"))) for d, t in rows)
+
+
+def test_line_dedup_odd(odd):
+    got = line_dedup.digest(odd, line_dedup.drop_bitmaps(odd))
+    assert collections.Counter((r.doc_id, r.n_lines, r.n_dropped) for r in got.collect()) == without_lines([(r.doc_id, r.text) for r in odd.collect()])
+    kept = line_dedup.dedup_lines(odd, keep_first=True)
+    assert kept.columns == odd.columns and kept.where(F.lower("text").contains("same line")).count() == 1
+    assert kept.where("text is null").count() == 1
+
+
+def components(rows, k=3, percent=90):
+    sets = {}
+    fold = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    for d, t in rows:
+        w = words((t or "").translate(fold))
+        sets[d] = {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else ({tuple(w)} if w else set())
+    root = {d: d for d in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {d: (len(sets[d]), find(d)) for d in sets}
+
+
+def test_jaccard_join_odd(odd):
+    want = components([(r.doc_id, r.text) for r in odd.collect() if r.doc_id is not None])
+    got = jaccard_join.similar_components(odd).collect()
+    assert len(got) == odd.count()
+    assert all((r.n_shingles, r.component_id) == want[r.doc_id] for r in got if r.doc_id is not None)
+
+
+@pytest.mark.parametrize("percent", [60, 80, 90])
+def test_jaccard_join_of_small_and_large_sets(spark, percent):
+    r = random.Random(percent)
+    base = [[f"t{r.randrange(40)}" for _ in range(n)] for n in (4, 6, 9, 12, 14, 25, 60)]
+    rows = []
+    for i in range(160):
+        w = list(r.choice(base))
+        for _ in range(r.randrange(0, 3)):
+            w[r.randrange(len(w))] = f"u{r.randrange(9)}"
+        rows.append((i, " ".join(w[: len(w) - r.randrange(0, 2)])))
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in jaccard_join.similar_components(spark.createDataFrame(rows, "doc_id long, text string"), 1, percent).collect()}
+    assert got == components(rows, 1, percent)
+
+
+def test_quality_features(odd):
+    for r in quality.assess(odd).collect():
+        t = next(x.text for x in odd.where(F.col("doc_id").eqNullSafe(F.lit(r.doc_id))).collect())
+        w = words(t)
+        windows = collections.Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+        cover = {j for i in range(len(w) - 4) if windows[tuple(w[i : i + 5])] > 1 for j in range(i, i + 5)}
+        lines = [x for x in (t or "").split("\n") if words(x)]
+        assert tuple(r)[1:7] == (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t or "")), len(lines) - len(set(lines)), len(cover), len(w) < 10 or 100 * len(cover) > 20 * len(w))
+    kept = quality.keep_good(odd)
+    assert kept.columns == odd.columns and kept.count() == quality.assess(odd).where("kept").count()
+
+
+def test_sketch_quantiles(spark):
+    values = spark.range(1, 100_001).select(F.col("id").alias("v")).select("v", quality.bin_of(F.col("v")).alias("b"))
+    assert values.where(~((quality.bin_floor(F.col("b")) <= F.col("v")) & (F.col("v") <= quality.bin_floor(F.col("b")) * 33 / 32 + 1))).count() == 0
+
+
+def test_language_is_learned(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = language_id.learn_and_identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out and lang_pred <> 'und'").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
+    assert got > 0.97
+
+
+def test_language_odd(odd, empty):
+    got = language_id.learn_and_identify(odd)
+    assert got.count() == odd.count() and got.where("score < 0 or score > 1").isEmpty()
+    assert {r.lang_pred for r in got.where("doc_id < 3").collect()} == {"und"}
+    assert language_id.learn_and_identify(empty).count() == 0
+
+
+def test_gradients_are_right():
+    import numpy as np
+
+    net = language_id.Network.fresh(["a", "b"], 3, 1)
+    data, truth = np.random.RandomState(0).randint(0, 257, (6, 4)).astype(np.int16), np.array([0, 1, 1, 0])
+    _, grads = net.gradients(data, truth)
+    for p, g in zip([*net.T, *net.U, net.V, net.c], grads, strict=True):
+        i = np.unravel_index(np.abs(g).argmax(), g.shape)
+        kept = p[i]
+        p[i] = kept + 0.01
+        up = net.gradients(data, truth)[0]
+        p[i] = kept - 0.01
+        down = net.gradients(data, truth)[0]
+        p[i] = kept
+        assert abs((up - down) / 0.02 - g[i]) < 0.02 * max(1, abs(g[i]))
+
+
+def test_decontamination_finds_substituted_passages(spark):
+    r = random.Random(1)
+    item = [f"q{i}" for i in range(40)]
+    noise = lambda n: [f"n{r.randrange(10**6)}" for _ in range(n)]
+    changed = [w if i % 9 else "zzz" for i, w in enumerate(item)]
+    docs = [(1, " ".join(noise(50) + item + noise(9))), (2, " ".join(noise(5) + changed + noise(5)).upper()), (3, " ".join(noise(200))), (4, " ".join(noise(9) + item[:10] + noise(9))), (5, None), (6, ""), (7, "five short words are here")]
+    bench = spark.createDataFrame([(10, " ".join(item)), (11, None), (12, ""), (13, "five short words are here")], "item_id long, text string")
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {(x.doc_id, x.item_id) for x in decontaminate.overlaps(docs, bench).collect()} == {(1, 10), (2, 10), (7, 13)}
+    assert sorted(x.doc_id for x in decontaminate.decontaminate(docs, bench).collect()) == [3, 4, 5, 6]
+    old, decontaminate.BLOCK_WORDS = decontaminate.BLOCK_WORDS, 20
+    try:
+        assert decontaminate.overlaps(docs, bench).count() == 3
+    finally:
+        decontaminate.BLOCK_WORDS = old
+    assert decontaminate.overlaps(docs, bench.limit(0)).count() == 0
+
+
+def test_mixing_meets_its_budgets(odd, empty):
+    taken = mixing.mix(odd, F.lit("one"), {"lang": {"en": 3}}, (1, 2), 3)
+    total = sum(len(words(r.text)) for r in odd.collect())
+    assert total // 2 - 8 <= taken.agg(F.sum("n_taken")).first()[0] <= total // 2
+    assert taken.where("n_taken > tokens or n_taken < 1 or epoch > 2").isEmpty()
+    assert mixing.mix(empty, F.lit("one"), {}).count() == 0
+
+
+def test_shortages_go_to_siblings_first(spark):
+    leaves = spark.createDataFrame([("a", "x", "1", 10), ("a", "x", "2", 1000), ("a", "y", "3", 1000), ("b", "x", "4", 1000)], "domain string, lang string, source string, tokens long")
+    got = {r.source: r.budget for r in mixing.budgets(leaves, {}, 800, 1).collect()}
+    assert got == {"1": 10, "2": 190, "3": 200, "4": 400}
+
+
+def test_url_filter_by_time(spark, empty):
+    captures = spark.createDataFrame([(1, "http://a.b.com/x/y", 5), (2, "http://A.B.com/", 10), (3, "http://b.com", 15), (4, None, 5), (5, "no url", 5), (6, "http://b.com/x", None), (1, "http://a.b.com/x/y", 5)], "id int, url string, fetched_at long")
+    entries = spark.createDataFrame([("b.com", "add", 5), ("b.com", "add", 6), ("b.com", "remove", 10), ("b.com", "add", 15), ("a.b.com/x", "add", 1), ("a.b.com", "add", 9), ("a.b.com", "remove", 9), (None, "add", 1)], "entry string, action string, at long")
+    got = sorted((r.id, r.blocked, r.n_entries, r.entry) for r in url_filter.filter_captures(captures, entries).collect())
+    assert got == [(1, True, 2, "a.b.com/x"), (1, True, 2, "a.b.com/x"), (2, False, 0, None), (3, True, 1, "b.com"), (4, False, 0, None), (5, False, 0, None), (6, False, 0, None)]
+
+
+def test_secrets(spark, odd, empty):
+    model = secrets.train(secrets.generated_findings(spark))
+    texts = [("key", 'the token = "0a1b2c3d4e5f60718293a4b5c6d7e8f901234567" here'), ("card", "of 4785380592391139 de"), ("none", None)]
+    got = {r.doc_id: r.is_secret for r in secrets.scan(spark.createDataFrame(texts, "doc_id string, text string"), model).collect()}
+    assert got == {"key": True, "card": False}
+    assert secrets.scan(odd, model).count() >= 0 and secrets.scan(empty, model).count() == 0
+    with pytest.raises(ValueError):
+        secrets.train(secrets.generated_findings(spark).limit(0))
+
+
+def test_surrogates(spark, odd, empty):
+    a = "mail Anna.1@mail5.example.com, call +1 (499) 555-6503. 8.196.197.208 and 4785380592391139; Herr Franz Kafka, Frau Иванова"
+    docs = spark.createDataFrame([(1, a), (2, a.replace("mail ", "write ")), (3, None), (4, ""), (5, "+1 (499) 555-6504")], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in surrogates.pseudonymise(docs, "k").collect()}
+    for private in ("Anna.1@", "555-6503", "8.196.197.208", "4785380592391139", "Kafka", "Иванова"):
+        assert private not in got[1]
+    assert got[1].replace("mail ", "write ", 1) == got[2] and got[3] is None and got[4] == ""
+    assert re.search(r"\+1 \(\d{3}\) \d{3}-\d{4}\. ", got[1]) and got[5] not in got[1] and re.search("Herr [A-Z][a-z]+ [A-Z][a-z]+, Frau [А-Я][а-я]+", got[1])
+    same = surrogates.pseudonymise(odd, "k")
+    assert same.count() == odd.count() and surrogates.pseudonymise(empty, "k").count() == 0
+
+
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_query_equals_its_sql(spark, name):
+    same_rows(spark, queries.queries()[name], queries.oracle_sql()[name], SF)
+
+
+def test_empty_tables(empty):
+    for got in (substring_dedup.remove_repeats(empty), line_dedup.dedup_lines(empty), jaccard_join.similar_components(empty), quality.assess(empty), quality.keep_good(empty)):
+        assert got.count() == 0
+
+
+def test_pipeline_stages(spark, odd):
+    docs, bench = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
+    for start in (docs, odd):
+        at = start
+        for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
+            after = stage(spark, at, SF)
+            after = corpus_pipeline.settled(after)
+            if i < 4:
+                assert after.columns == start.columns, name
+            rows, left = [(r.doc_id, r.text) for r in at.collect()], [(r.doc_id, r.text) for r in after.collect()]
+            if name == "quality_rules":
+                good = collections.Counter(r.doc_id for r in quality.assess(at).where("kept").collect())
+                assert collections.Counter(d for d, _ in left) == good
+            if name == "ngram_jaccard_join":
+                comp = components([x for x in rows if x[0] is not None], 5, 80)
+                assert collections.Counter(d for d, _ in left) == collections.Counter(d for d, _ in rows if d is None or comp[d][1] == d)
+            if name == "benchmark_decontamination":
+                leaks = {r.doc_id for r in decontaminate.overlaps(at, bench).collect()}
+                assert sorted(map(str, left)) == sorted(str(x) for x in rows if x[0] not in leaks)
+            at = after
