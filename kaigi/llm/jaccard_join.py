@@ -8,10 +8,12 @@ Texts with equal sets form a class; only classes are compared.  Two classes link
   which two linked sets must share one, have lists.  Bounds on size and on the position of the common shingle prune a list.
 * The boundary is the size below which the subsets of all sets cost less than scanning their lists, by counts of the corpus.
 
-Lists are not expanded into pairs.  First every member is held against its list's first member only, and verified links are
-closed into components; then only members of different components are held against each other, which leaves no work in a
-group of mutual copies.  Verification compares whole sets.  Shingle frequencies come from the packed exchange; links,
-components and sets stay distributed.
+Lists are not expanded into pairs, and none has to fit in a task.  Postings are sorted over ranges of (list, document), so a
+long list spans many partitions.  First every member is held against its list's first member in the partition, and these
+against each other; verified links are closed into components.  Then only lists that hold several components are dealt, long
+ones as pairs of blocks of LIST_BLOCK members, and members of different components are held against each other, which leaves
+no work in a group of mutual copies.  Verification compares whole sets.  Shingle frequencies come from the packed exchange;
+links, components and sets stay distributed.
 """
 
 from __future__ import annotations
@@ -24,11 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .exchange import Chunked, bucket_of, bucket_ranges, chunk_of, chunked, from_low, groups, low_bytes, settled, table
+from .exchange import NO_ID, Chunked, bucket_of, bucket_ranges, chunk_of, chunked, from_low, groups, low_bytes, settled, table
 from .textbytes import SPACES, U64, Texts, batch_slices, mix, ngrams
 
 #: No set above this size enumerates subsets, whatever the costs.
 MOST_LIGHT = 40
+#: Members of a block of a long list, and postings that a task holds against each other.
+LIST_BLOCK, PART_ROWS = 4096, 200_000
 #: Members of a list that are held against each other at once.
 _SQUARE = 1024
 _SETS = "doc_id long, n_shingles long, fp1 long, fp2 long"
@@ -36,10 +40,12 @@ _KEYS = "chunk int, bucket int, keys binary, extra binary"
 _KEYS_PA = pa.schema([("chunk", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()), ("extra", pa.binary())])
 _RARITY = "chunk int, bucket int, extra binary, held long, lists long"
 _RARITY_PA = pa.schema([("chunk", pa.int32()), ("bucket", pa.int32()), ("extra", pa.binary()), ("held", pa.int64()), ("lists", pa.int64())])
-_POSTS = "kind int, part int, key long, doc_id long, n int, at int, chunk int, shingles binary"
+_POSTS = "kind int, key long, doc_id long, n int, at int, chunk int, shingles binary"
 _POSTS_PA = pa.schema(
-    [("kind", pa.int32()), ("part", pa.int32()), ("key", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int32()), ("at", pa.int32()), ("chunk", pa.int32()), ("shingles", pa.binary())]
+    [("kind", pa.int32()), ("key", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int32()), ("at", pa.int32()), ("chunk", pa.int32()), ("shingles", pa.binary())]
 )
+_HEADS = "pairs binary, kind int, key long, doc_id long, n int, at int"
+_HEADS_PA = pa.schema([("pairs", pa.binary()), ("kind", pa.int32()), ("key", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int32()), ("at", pa.int32())])
 _PAIRS = "a long, b long"
 _PAIRS_PA = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 _SENT = "chunk int, a long, shingles binary, others array<long>"
@@ -172,12 +178,12 @@ def _subsets(keys: np.ndarray, size: int) -> np.ndarray:
         return mix(sums + U64(size) * U64(0x9E3779B97F4A7C15))
 
 
-def _posting_rows(k: int, separators: np.ndarray, buckets: int, parts: int, light: int, limit: Threshold):
+def _posting_rows(k: int, separators: np.ndarray, buckets: int, light: int, limit: Threshold):
     def rows(chunk: pa.Table, right: pa.Table) -> pa.Table:
-        out: list[list] = [[] for _ in range(7)]
+        out: list[list] = [[] for _ in range(6)]
         blobs: list = []
         if not chunk.num_rows or not right.num_rows:
-            return table(_POSTS_PA, [[]] * 8)
+            return table(_POSTS_PA, [[]] * 7)
         reps = [x for x in right.column("rep").to_pylist() if x is not None]
         ids, keys, bounds = _of_classes(chunk, reps, k, separators)
         distinct, where = np.unique(keys, return_inverse=True)
@@ -189,7 +195,7 @@ def _posting_rows(k: int, separators: np.ndarray, buckets: int, parts: int, ligh
         def put(kind, values, doc, n, places):
             size = len(values)
             values = np.asarray(values, U64)
-            fields = ([kind] * size, ((values >> U64(40)) % U64(parts)).astype(np.int64).tolist(), values.view(np.int64).tolist(), [doc] * size, [n] * size, places, [at] * size)
+            fields = ([kind] * size, values.view(np.int64).tolist(), [doc] * size, [n] * size, places, [at] * size)
             for column, x in zip(out, fields, strict=True):
                 column.extend(x)
             blobs.extend([None] * size)
@@ -215,7 +221,7 @@ def _posting_rows(k: int, separators: np.ndarray, buckets: int, parts: int, ligh
                     put(2, own[prefix[place]], doc, n, place.tolist())
                     posted = True
             if posted:
-                for column, x in zip(out, (0, 0, 0, doc, n, 0, at), strict=True):
+                for column, x in zip(out, (0, 0, doc, n, 0, at), strict=True):
                     column.append(x)
                 blobs.append(own.astype("<u8").tobytes())
         return table(_POSTS_PA, [*out, blobs])
@@ -230,46 +236,85 @@ def _fits(limit: Threshold, light: int, kind, n, at, m, to):
     return ok & ((kind == 1) | ((large > light) & (np.minimum(n - at, m - to) >= limit.overlap(n, m))))
 
 
-def _runs(part: pa.Table):
-    kind, key, doc, n, at = (np.asarray(part.column(c), np.int64) for c in ("kind", "key", "doc_id", "n", "at"))
-    order = np.lexsort((doc, key, kind))
-    kind, key, doc, n, at = (x[order] for x in (kind, key, doc, n, at))
-    new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (kind[1:] != kind[:-1])
-    return order, kind, doc, n, at, np.flatnonzero(new)
-
-
 def _pairs_table(a: np.ndarray, b: np.ndarray) -> pa.Table:
     pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
     return table(_PAIRS_PA, [pairs[:, 0], pairs[:, 1]])
 
 
-def _first_pairs(limit: Threshold, light: int):
-    """Each member with its list's first member."""
+def _near_heads(limit: Threshold, light: int):
+    """Over one sorted partition: each member with its list's first member here, packed, and the first members of the
+    partition's first and last list, which may go on beyond it."""
 
-    def rows(part: pa.Table) -> pa.Table:
-        _, kind, doc, n, at, starts = _runs(part)
-        head = np.repeat(starts, np.diff([*starts, len(doc)]))
-        ok = (doc != doc[head]) & _fits(limit, light, kind, n, at, n[head], at[head])
-        return _pairs_table(doc[head][ok], doc[ok])
+    def edges(heads):
+        return table(_HEADS_PA, [[None] * len(heads), *map(list, zip(*heads, strict=True))]).to_batches()
+
+    def rows(batches):
+        first = head = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = [np.asarray(batch.column(c), np.int64) for c in ("kind", "key", "doc_id", "n", "at")]
+            kind, key, doc, n, at = columns
+            new = np.ones(len(key), bool)
+            new[1:] = (key[1:] != key[:-1]) | (kind[1:] != kind[:-1])
+            new[0] = head is None or head[:2] != (int(kind[0]), int(key[0]))
+            starts, run = np.flatnonzero(new), np.cumsum(new)
+            # entry 0 is the list that goes on from the batch before; without one, no run refers to it
+            of_doc, of_n, of_at = (np.concatenate([[0 if head is None else head[i]], columns[i][starts]])[run] for i in (2, 3, 4))
+            ok = (doc != of_doc) & _fits(limit, light, kind, n, at, of_n, of_at)
+            if ok.any():
+                pairs = np.unique(np.stack([of_doc[ok], doc[ok]], axis=1), axis=0).astype("<i8")
+                yield from table(_HEADS_PA, [[pairs.tobytes()], *[[None]] * 5]).to_batches()
+            if len(starts):
+                head = tuple(int(c[starts[-1]]) for c in columns)
+            if first is None:
+                first = tuple(int(c[0]) for c in columns)
+        if first is not None:
+            yield from edges(sorted({first, head}))
+
+    return rows
+
+
+def _unpacked(batches):
+    for batch in batches:
+        for blob in batch.column(0).to_pylist():
+            pairs = np.frombuffer(blob, "<i8").reshape(-1, 2)
+            yield from _pairs_table(pairs[:, 0], pairs[:, 1]).to_batches()
+
+
+def _edge_pairs(limit: Threshold, light: int):
+    """The partitions' first members of one list with the very first; there is one to a partition at most."""
+
+    def rows(heads: pa.Table) -> pa.Table:
+        kind, doc, n, at = (np.asarray(heads.column(c), np.int64) for c in ("kind", "doc_id", "n", "at"))
+        least = int(np.argmin(doc))
+        ok = (doc != doc[least]) & _fits(limit, light, kind, n, at, n[least], at[least])
+        return _pairs_table(np.full(int(ok.sum()), doc[least]), doc[ok])
 
     return rows
 
 
 def _other_pairs(limit: Threshold, light: int):
-    """Members of different components, apart from those held against each other before."""
+    """Members of different components, of one block or of two; apart from `head`, the first member of a list that all
+    others were held against before."""
 
     def rows(part: pa.Table) -> pa.Table:
-        order, kind, doc, n, at, starts = _runs(part)
-        component = np.asarray(part.column("component"), np.int64)[order]
-        found = [np.zeros((0, 2), np.int64)]
+        columns = [np.asarray(part.column(c), np.int64) for c in ("x", "y", "kind", "key", "doc_id", "n", "at", "component", "own", "head")]
+        order = np.lexsort((columns[4], columns[3], columns[2], columns[1], columns[0]))
+        x, y, kind, key, doc, n, at, component, own, head = (c[order] for c in columns)
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (kind[1:] != kind[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+        starts, found = np.flatnonzero(new), [np.zeros((0, 2), np.int64)]
         for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(doc)], strict=True):
-            if e - s < 3 or (component[s:e] == component[s]).all():
+            if (component[s:e] == component[s]).all():
                 continue
-            for x in range(s + 1, e, _SQUARE):
-                for y in range(x, e, _SQUARE):
-                    i, j = np.arange(x, min(e, x + _SQUARE))[:, None], np.arange(y, min(e, y + _SQUARE))[None, :]
-                    ok = (i < j) & (component[i] != component[j]) & _fits(limit, light, kind[s], n[i], at[i], n[j], at[j])
+            for p in range(s, e, _SQUARE):
+                for q in range(p, e, _SQUARE):
+                    i, j = np.arange(p, min(e, p + _SQUARE))[:, None], np.arange(q, min(e, q + _SQUARE))[None, :]
+                    ok = (i < j) & (component[i] != component[j]) & (doc[i] != head[s]) & (doc[j] != head[s])
+                    if x[s] != y[s]:
+                        ok &= own[i] != own[j]
+                    ok &= _fits(limit, light, kind[s], n[i], at[i], n[j], at[j])
                     i, j = (v[ok] for v in np.broadcast_arrays(i, j))
                     if len(i):
                         found.append(np.stack([doc[i], doc[j]], axis=1))
@@ -281,6 +326,30 @@ def _other_pairs(limit: Threshold, light: int):
     return rows
 
 
+def _near_pairs(posts: DataFrame, limit: Threshold, light: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of members with first members, and the lists (kind, key) that span partitions."""
+    order = ("kind", "key", "doc_id")
+    near = settled(posts.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_near_heads(limit, light), _HEADS))
+    edges = near.where("pairs is null").drop("pairs")
+    across = edges.groupBy("kind", "key").applyInArrow(_edge_pairs(limit, light), _PAIRS)
+    spanning = edges.groupBy("kind", "key").count().where("count > 1").select("kind", "key", F.lit(True).alias("spans"))
+    return near.where("pairs is not null").select("pairs").mapInArrow(_unpacked, _PAIRS).union(across), spanning
+
+
+def _far_pairs(labelled: DataFrame, spanning: DataFrame, limit: Threshold, light: int) -> DataFrame:
+    """Pairs (a, b) of members of one list and different components."""
+    lists = labelled.groupBy("kind", "key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("held"), F.min("doc_id").alias("least"))
+    lists = lists.where("held > 2 and low < high").join(spanning, ["kind", "key"], "left")
+    head = F.when(F.col("spans").isNull(), F.col("least")).otherwise(F.lit(int(NO_ID)))
+    lists = settled(lists.select("kind", "key", head.alias("head"), "held", F.ceil(F.col("held") / LIST_BLOCK).cast("int").alias("blocks")))
+    parts = -(-(lists.agg(F.sum(F.col("held") * F.col("blocks"))).first()[0] or 0) // PART_ROWS) or 1
+    own, other = F.col("own"), F.col("other")
+    dealt = labelled.join(lists.drop("held"), ["kind", "key"]).withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("x", F.least(own, other)).withColumn("y", F.greatest(own, other))
+    dealt = dealt.select("x", "y", "kind", "key", "doc_id", "n", "at", "component", "own", "head", F.pmod(F.xxhash64("kind", "key", "x", "y"), F.lit(parts)).cast("int").alias("part"))
+    return dealt.groupBy("part").applyInArrow(_other_pairs(limit, light), _PAIRS)
+
+
 def _sent(chunks: int):
     """Each first set once for every chunk that holds partners of it."""
 
@@ -361,13 +430,14 @@ def similar_components(docs: DataFrame, k: int = 3, percent: int = 90, separator
     held, lists = counted.agg(F.sum("held"), F.sum("lists")).first()
     light = _boundary(sizes, (held or 0) / max(1, lists or 0), limit)
     posts = settled(
-        dealt.grouped().cogroup(right.groupBy("chunk")).applyInArrow(_posting_rows(k, separators, dealt.buckets, dealt.buckets, light, limit), _POSTS)
+        dealt.grouped().cogroup(right.groupBy("chunk")).applyInArrow(_posting_rows(k, separators, dealt.buckets, light, limit), _POSTS)
     )
-    sets, posts = posts.where("kind = 0").select("chunk", "doc_id", "shingles"), posts.where("kind > 0").select("part", "kind", "key", "doc_id", "n", "at")
-    first = _links(posts.groupBy("part").applyInArrow(_first_pairs(limit, light), _PAIRS), sets, dealt.chunks, limit)
+    sets, posts = posts.where("kind = 0").select("chunk", "doc_id", "shingles"), posts.where("kind > 0").select("kind", "key", "doc_id", "n", "at")
+    near, spanning = _near_pairs(posts, limit, light)
+    first = _links(near, sets, dealt.chunks, limit)
     known = components(first).select(F.col("id").alias("doc_id"), "component")
     labelled = posts.join(known, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    second = _links(labelled.groupBy("part").applyInArrow(_other_pairs(limit, light), _PAIRS), sets, dealt.chunks, limit)
+    second = _links(_far_pairs(labelled, spanning, limit, light), sets, dealt.chunks, limit)
     # a document under several sets (a repeated doc_id) ties their classes together
     held = own.where("n_shingles > 0 and doc_id is not null").select("doc_id", "n_shingles", "fp1", "fp2").distinct().join(classes, ["n_shingles", "fp1", "fp2"])
     ties = held.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b").select("a", "b")

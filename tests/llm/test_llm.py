@@ -262,3 +262,21 @@ def test_pipeline_stages(spark, odd):
                 leaks = {r.doc_id for r in decontaminate.overlaps(at, bench).collect()}
                 assert sorted(map(str, left)) == sorted(str(x) for x in rows if x[0] not in leaks)
             at = after
+
+
+@pytest.mark.parametrize("block", [3, 4096])
+def test_jaccard_join_of_long_lists(spark, block):
+    """Lists over many partitions and blocks, with groups of near copies and sets just below the threshold."""
+    r = random.Random(block)
+    shared = [f"s{i}" for i in range(8)]
+    rows = [(i, " ".join(shared + [f"g{i % 7}x{j}" for j in range(14)] + ([f"own{i}"] if i % 3 else []))) for i in range(150)]
+    rows += [(200 + i, " ".join(shared + [f"a{r.randrange(4)}", f"b{r.randrange(4)}"])) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    old, jaccard_join.LIST_BLOCK, rows_of, jaccard_join.PART_ROWS = jaccard_join.LIST_BLOCK, block, jaccard_join.PART_ROWS, 50
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {x.doc_id: (x.n_shingles, x.component_id) for x in jaccard_join.similar_components(docs, 1, 80).collect()}
+    finally:
+        jaccard_join.LIST_BLOCK, jaccard_join.PART_ROWS = old, rows_of
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == components(rows, 1, 80)
