@@ -12,8 +12,9 @@ Lists are not expanded into pairs, and none has to fit in a task.  Postings are
 long list spans many partitions.  First every member is held against its list's first member in the partition, and these
 against each other; verified links are closed into components.  Then only lists that hold several components are dealt, long
 ones as pairs of blocks of LIST_BLOCK members, and members of different components are held against each other, which leaves
-no work in a group of mutual copies.  Verification compares whole sets.  Shingle frequencies come from the packed exchange;
-links, components and sets stay distributed.
+no work in a group of mutual copies.  Verification compares whole sets, and each of
+its tasks returns the links that span its components.  Shingle frequencies come from the packed exchange; links, components
+and sets stay distributed.
 """
 
 from __future__ import annotations
@@ -370,16 +371,30 @@ def _sent(chunks: int):
 
 
 def _verified(limit: Threshold):
+    """Links that span the task's components.  A pair whose ends earlier links connect already adds nothing to a component, so a
+    member that shares lists with many first members yields one link and not one for each."""
+
     def rows(sets: pa.Table, sent: pa.Table) -> pa.Table:
         out: list[list] = [[], []]
         if sets.num_rows and sent.num_rows:
+            above: dict[int, int] = {}
+
+            def root(x):
+                while (up := above.get(x, x)) != x:
+                    above[x] = above.get(up, up)
+                    x = up
+                return x
+
             blob = dict(zip(sets.column("doc_id").to_pylist(), sets.column("shingles").to_pylist(), strict=True))
             for a, shingles, others in zip(sent.column("a").to_pylist(), sent.column("shingles").to_pylist(), sent.column("others").to_pylist(), strict=True):
                 left = np.frombuffer(shingles, "<u8")
                 for b in others:
+                    if root(a) == root(b):
+                        continue
                     right = np.frombuffer(blob[b], "<u8")
                     place = np.minimum(np.searchsorted(left, right), len(left) - 1)
                     if (left[place] == right).sum() >= limit.overlap(len(left), len(right)):
+                        above[root(b)] = root(a)
                         out[0].append(a)
                         out[1].append(b)
         return table(_PAIRS_PA, out)
