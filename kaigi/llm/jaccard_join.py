@@ -9,10 +9,10 @@ Texts with equal sets form a class; only classes are compared.  Two classes link
 * The boundary is the size below which the subsets of all sets cost less than scanning their lists, by counts of the corpus.
 
 Lists are not expanded into pairs, and none has to fit in a task.  Postings are sorted over ranges of (list, document), so a
-long list spans many partitions.  First every member is held against its list's first member in the partition, and these
-against each other; verified links are closed into components.  Then only lists that hold several components are dealt, long
-ones as pairs of blocks of LIST_BLOCK members, and members of different components are held against each other, which leaves
-no work in a group of mutual copies.  Verification compares whole sets, and each of
+long list spans many partitions.  First every member is held against its list's first member in the partition and, if the
+list spans partitions, against its very first member; verified links are closed into components.  Then only lists that hold
+several components are dealt, long ones as pairs of blocks of LIST_BLOCK members, and members of different components are
+held against each other, which leaves no work in a group of mutual copies.  Verification compares whole sets, and each of
 its tasks returns the links that span its components.  Shingle frequencies come from the packed exchange; links, components
 and sets stay distributed.
 """
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .exchange import NO_ID, Chunked, bucket_of, bucket_ranges, chunk_of, chunked, from_low, groups, low_bytes, settled, table
+from .exchange import Chunked, bucket_of, bucket_ranges, chunk_of, chunked, from_low, groups, low_bytes, settled, table
 from .textbytes import SPACES, U64, Texts, batch_slices, mix, ngrams
 
 #: No set above this size enumerates subsets, whatever the costs.
@@ -283,18 +283,6 @@ def _unpacked(batches):
             yield from _pairs_table(pairs[:, 0], pairs[:, 1]).to_batches()
 
 
-def _edge_pairs(limit: Threshold, light: int):
-    """The partitions' first members of one list with the very first; there is one to a partition at most."""
-
-    def rows(heads: pa.Table) -> pa.Table:
-        kind, doc, n, at = (np.asarray(heads.column(c), np.int64) for c in ("kind", "doc_id", "n", "at"))
-        least = int(np.argmin(doc))
-        ok = (doc != doc[least]) & _fits(limit, light, kind, n, at, n[least], at[least])
-        return _pairs_table(np.full(int(ok.sum()), doc[least]), doc[ok])
-
-    return rows
-
-
 def _other_pairs(limit: Threshold, light: int):
     """Members of different components, of one block or of two; apart from `head`, the first member of a list that all
     others were held against before."""
@@ -327,22 +315,31 @@ def _other_pairs(limit: Threshold, light: int):
     return rows
 
 
-def _near_pairs(posts: DataFrame, limit: Threshold, light: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b) of members with first members, and the lists (kind, key) that span partitions."""
+def _with_firsts(posts: DataFrame, edges: DataFrame, limit: Threshold, light: int) -> DataFrame:
+    """The members of lists that span partitions with the list's very first member.  A partition's first and last list alone
+    may span, so `edges` and what is broadcast have two rows for each partition at most, whatever the lists hold."""
+    first = edges.groupBy("kind", "key").agg(F.min(F.struct("doc_id", "n", "at")).alias("first"), F.count(F.lit(1)).alias("held")).where("held > 1").drop("held")
+    n, m, large = F.col("n"), F.col("first.n"), F.greatest("n", "first.n")
+    # as _fits, in whole numbers
+    sized = F.least(n, m) * 100 >= large * limit.p
+    shared = F.least(n - F.col("at"), m - F.col("first.at")) * (100 + limit.p) >= (n + m) * limit.p
+    fits = sized & ((F.col("kind") == 1) | ((large > light) & shared))
+    return posts.join(F.broadcast(first), ["kind", "key"]).where((F.col("doc_id") != F.col("first.doc_id")) & fits).select(F.col("first.doc_id").alias("a"), F.col("doc_id").alias("b"))
+
+
+def _near_pairs(posts: DataFrame, limit: Threshold, light: int) -> DataFrame:
+    """Pairs (a, b) of members with first members: their partition's and, of lists that span partitions, the very first."""
     order = ("kind", "key", "doc_id")
     near = settled(posts.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_near_heads(limit, light), _HEADS))
-    edges = near.where("pairs is null").drop("pairs")
-    across = edges.groupBy("kind", "key").applyInArrow(_edge_pairs(limit, light), _PAIRS)
-    spanning = edges.groupBy("kind", "key").count().where("count > 1").select("kind", "key", F.lit(True).alias("spans"))
-    return near.where("pairs is not null").select("pairs").mapInArrow(_unpacked, _PAIRS).union(across), spanning
+    across = _with_firsts(posts, near.where("pairs is null").drop("pairs"), limit, light)
+    return near.where("pairs is not null").select("pairs").mapInArrow(_unpacked, _PAIRS).union(across)
 
 
-def _far_pairs(labelled: DataFrame, spanning: DataFrame, limit: Threshold, light: int) -> DataFrame:
+def _far_pairs(labelled: DataFrame, limit: Threshold, light: int) -> DataFrame:
     """Pairs (a, b) of members of one list and different components."""
     lists = labelled.groupBy("kind", "key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("held"), F.min("doc_id").alias("least"))
-    lists = lists.where("held > 2 and low < high").join(spanning, ["kind", "key"], "left")
-    head = F.when(F.col("spans").isNull(), F.col("least")).otherwise(F.lit(int(NO_ID)))
-    lists = settled(lists.select("kind", "key", head.alias("head"), "held", F.ceil(F.col("held") / LIST_BLOCK).cast("int").alias("blocks")))
+    lists = lists.where("held > 2 and low < high")
+    lists = settled(lists.select("kind", "key", F.col("least").alias("head"), "held", F.ceil(F.col("held") / LIST_BLOCK).cast("int").alias("blocks")))
     parts = -(-(lists.agg(F.sum(F.col("held") * F.col("blocks"))).first()[0] or 0) // PART_ROWS) or 1
     own, other = F.col("own"), F.col("other")
     dealt = labelled.join(lists.drop("held"), ["kind", "key"]).withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
@@ -448,11 +445,10 @@ def similar_components(docs: DataFrame, k: int = 3, percent: int = 90, separator
         dealt.grouped().cogroup(right.groupBy("chunk")).applyInArrow(_posting_rows(k, separators, dealt.buckets, light, limit), _POSTS)
     )
     sets, posts = posts.where("kind = 0").select("chunk", "doc_id", "shingles"), posts.where("kind > 0").select("kind", "key", "doc_id", "n", "at")
-    near, spanning = _near_pairs(posts, limit, light)
-    first = _links(near, sets, dealt.chunks, limit)
+    first = _links(_near_pairs(posts, limit, light), sets, dealt.chunks, limit)
     known = components(first).select(F.col("id").alias("doc_id"), "component")
     labelled = posts.join(known, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    second = _links(_far_pairs(labelled, spanning, limit, light), sets, dealt.chunks, limit)
+    second = _links(_far_pairs(labelled, limit, light), sets, dealt.chunks, limit)
     # a document under several sets (a repeated doc_id) ties their classes together
     held = own.where("n_shingles > 0 and doc_id is not null").select("doc_id", "n_shingles", "fp1", "fp2").distinct().join(classes, ["n_shingles", "fp1", "fp2"])
     ties = held.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b").select("a", "b")
