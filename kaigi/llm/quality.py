@@ -149,5 +149,6 @@ def assess(docs: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of docs that every rule keeps, with the columns of docs."""
     packed = docs.select("lang", "source", "text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
-    limits = settled(thresholds(sketches(with_features(docs.select("lang", "source", "text"), "text"), ["lang", "source"])))
-    return verdicts(with_features(packed, "text"), limits).where("kept").select("row.*")
+    # measured once: rows go to the checkpoint folder with their features, and both the sketches and the filter read them there
+    features = settled(with_features(packed, "text").drop("text"))
+    return verdicts(features, thresholds(sketches(features, ["lang", "source"]))).where("kept").select("row.*")
