@@ -3,8 +3,9 @@
 Every rule's value is a whole number (a share in thousandths).  A sketch is a histogram with bins of exact width up to 2^5
 and 32 bins to each doubling beyond, so a quantile is off by at most 1/32; sketches merge by adding counts, which makes them
 independent of partitions and their order.  Sketches of (language, source) groups under LEAST_GROUP documents are replaced
-by the language's, then by that of all documents, each merged from the finer ones.  Thresholds are quartile fences; a joined
-filter applies them.  Only DataFrame functions are used.
+by the language's, then by that of all documents, each merged from the finer ones.  Thresholds are quartile fences, for
+rules whose values are mostly 0 a high quantile where that is further out (such sketches need the documents for it: 100 for
+990 thousandths); a joined filter applies them.  Only DataFrame functions are used.
 
 Words are [^\\x20\\x09-\\x0D]+.  Null and empty texts have no words and fail the base rules.  Null languages and sources are
 groups of their own.  Other columns are carried along unchanged, whatever their names.
@@ -20,8 +21,9 @@ from .exchange import settled
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]"
 LEAST_GROUP = 50
-#: Rule -> (how many interquartile ranges beyond the quartile, least distance from it in thousandths, both sides?).
-RULES = {"symbols": (4.0, 150, False), "dup_lines": (4.0, 300, False), "repeats": (4.0, 200, False), "word_length": (4.0, 3000, True)}
+#: Rule -> (how many interquartile ranges beyond the quartile, least distance from it in thousandths, thousandths of a sketch
+#: that the fence keeps at least, both sides?).  Where most values are 0 the quartiles say nothing and the third decides.
+RULES = {"symbols": (4.0, 10, 0, False), "dup_lines": (4.0, 0, 990, False), "repeats": (4.0, 0, 990, False), "word_length": (4.0, 500, 0, True)}
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -41,7 +43,7 @@ def _repeat_words(windows: Column) -> Column:
 
 
 def with_features(docs: DataFrame, text: str) -> DataFrame:
-    """docs and the columns of FEATURES (long); `docs` must not have any of them."""
+    """docs, the columns of FEATURES and n_lines (long); `docs` must not have any of them."""
     source = F.coalesce(F.col(text), F.lit(""))
     with_words = docs.select("*", words_of(F.col(text)).alias("_words"))
     words, n = F.col("_words"), F.size("_words")
@@ -65,6 +67,7 @@ def with_features(docs: DataFrame, text: str) -> DataFrame:
         "word_chars",
         "n_symbols",
         (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
+        F.size(lines).cast("long").alias("n_lines"),
         F.when(F.size(F.array_distinct(windows)) == F.size(windows), F.lit(0)).otherwise(_repeat_words(windows)).cast("long").alias("n_repeat_words"),
     )
 
@@ -74,8 +77,8 @@ def base_failed() -> Column:
 
 
 def _values() -> dict[str, Column]:
-    per_mille = lambda x: F.expr(f"1000 * {x} div greatest(n_words, 1)")
-    return {"symbols": per_mille("n_symbols"), "dup_lines": per_mille("n_dup_lines"), "repeats": per_mille("n_repeat_words"), "word_length": per_mille("word_chars")}
+    per_mille = lambda x, of="n_words": F.expr(f"1000 * {x} div greatest({of}, 1)")
+    return {"symbols": per_mille("n_symbols"), "dup_lines": per_mille("n_dup_lines", "n_lines"), "repeats": per_mille("n_repeat_words"), "word_length": per_mille("word_chars")}
 
 
 def bin_of(value: Column) -> Column:
@@ -101,24 +104,35 @@ def merged(sketch: DataFrame, by: list[str]) -> DataFrame:
     return sketch.groupBy(*by, "rule", "bin").agg(F.sum("n").alias("n"))
 
 
+def _of_rule(values: dict[str, float]) -> Column:
+    return F.element_at(F.create_map(*(F.lit(x) for pair in values.items() for x in pair)), F.col("rule"))
+
+
+def least_size() -> Column:
+    """How many documents a rule's sketch needs before it is used."""
+    return _of_rule({rule: max(LEAST_GROUP, -(-1000 // (1000 - kept))) for rule, (_, _, kept, _) in RULES.items()})
+
+
 def fences(sketch: DataFrame, by: list[str]) -> DataFrame:
-    """by, rule, low, high, size: quartile fences of each sketch."""
+    """by, rule, low, high, size: the fences of each sketch; a value in the bin of a quantile lies within it."""
     group = Window.partitionBy(*by, "rule")
     upto = sketch.withColumn("upto", F.sum("n").over(group.orderBy("bin"))).withColumn("size", F.sum("n").over(group))
-    at = lambda q: F.min(F.when(F.col("upto") >= F.ceil(F.col("size") * q), bin_floor(F.col("bin"))))
-    found = upto.groupBy(*by, "rule").agg(at(0.25).alias("q1"), at(0.75).alias("q3"), F.max("size").alias("size"))
-    reach = F.lit(None).cast("double")
-    for rule, (ranges, least, _) in RULES.items():
-        reach = F.when(F.col("rule") == rule, F.greatest((F.col("q3") - F.col("q1")) * ranges, F.lit(float(least)))).otherwise(reach)
-    sided = F.col("rule").isin([rule for rule, (_, _, both) in RULES.items() if both])
-    return found.select(*by, "rule", F.when(sided, F.col("q1") - reach).alias("low"), (F.col("q3") + reach).alias("high"), "size")
+    at = lambda q: F.min(F.when(F.col("upto") * 1000 >= F.col("size") * q, F.col("bin")))
+    found = upto.withColumn("tail", _of_rule({rule: kept for rule, (_, _, kept, _) in RULES.items()}))
+    found = found.groupBy(*by, "rule").agg(at(250).alias("b1"), at(750).alias("b3"), at(F.col("tail")).alias("bt"), F.max("size").alias("size"))
+    q1, q3 = bin_floor(F.col("b1")), bin_floor(F.col("b3"))
+    top = lambda b: bin_floor(F.col(b) + 1) - 1
+    ranges, least = (_of_rule({rule: float(x[i]) for rule, x in RULES.items()}) for i in (0, 1))
+    reach = F.greatest((q3 - q1) * ranges, least)
+    sided = F.col("rule").isin([rule for rule, (*_, both) in RULES.items() if both])
+    return found.select(*by, "rule", F.when(sided, q1 - reach).alias("low"), F.greatest(top("b3") + reach, top("bt").cast("double")).alias("high"), "size")
 
 
 def thresholds(sketch: DataFrame) -> DataFrame:
     """lang, source and an array of (rule, low, high): the group's own fences, its language's or those of all documents."""
     groups = sketch.select("lang", "source", "rule").distinct()
-    own = fences(sketch, ["lang", "source"]).where(F.col("size") >= LEAST_GROUP)
-    wide = fences(merged(sketch, ["lang"]), ["lang"]).where(F.col("size") >= LEAST_GROUP)
+    own = fences(sketch, ["lang", "source"]).where(F.col("size") >= least_size())
+    wide = fences(merged(sketch, ["lang"]), ["lang"]).where(F.col("size") >= least_size())
     everything = fences(merged(sketch, []), [])
     pick = lambda df, name, keys: df.select(*(F.col(k).alias(f"{name}_{k}") for k in [*keys, "rule"]), F.struct("low", "high").alias(name))
     match = lambda name, keys: [F.col(k).eqNullSafe(F.col(f"{name}_{k}")) for k in [*keys, "rule"]]

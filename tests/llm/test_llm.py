@@ -141,6 +141,23 @@ def test_sketch_quantiles(spark):
     assert values.where(~((quality.bin_floor(F.col("b")) <= F.col("v")) & (F.col("v") <= quality.bin_floor(F.col("b")) * 33 / 32 + 1))).count() == 0
 
 
+@pytest.mark.parametrize("bad", ["symbols", "dup_lines", "repeats", "word_length"])
+def test_every_quality_rule_rejects(spark, bad):
+    """One document in 120 of a group that passes the base rules and lies far outside in one value only."""
+    text = lambda i: "\n".join(" ".join(f"w{i % 7}x{j * 10 + k}" for k in range(10)) for j in range(10))
+    good = text(0)
+    line = good.split("\n")[0].split()
+    made = {
+        "symbols": good.replace(" ", " # ", 10),
+        "dup_lines": "\n".join([*good.split("\n"), "one short", "one short", "one short", "one short"]),
+        "repeats": " ".join(good.split()[:92] + line[:8]),
+        "word_length": re.sub(r"w(\S+)", r"w\1abcdefgh", good),
+    }
+    docs = spark.createDataFrame([(i, text(i), "en", "s") for i in range(119)] + [(999, made[bad], "en", "s")], "doc_id long, text string, lang string, source string")
+    rows = quality.assess(docs).collect()
+    assert not any(r.base_failed for r in rows) and [r.doc_id for r in rows if not r.kept] == [999]
+
+
 def test_language_is_learned(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = language_id.learn_and_identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out and lang_pred <> 'und'").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
