@@ -84,7 +84,7 @@ def _line_rows(min_chars: int):
 
 
 def _decided(min_docs: int):
-    """Over one sorted partition.  kind 0: a line of a run that is decided here (first: the run's first occurrence);
+    """Over one sorted partition.  kind 0: a line of a run that is decided here (first: the run's first occurrence, in every row that is equal there);
     1: a run at an edge of the partition, with the documents and the first occurrence it has here; 2: its undecided lines."""
 
     def out(kind, key, docs, columns, first=None):
@@ -95,10 +95,12 @@ def _decided(min_docs: int):
     def rows(batches):
         key, docs, last, edge, held, first = None, 0, None, True, [], None
 
-        def dropped(parts, fresh):
+        def place(columns):
+            return [np.asarray(columns[0].fill_null(int(NO_ID))), *map(np.asarray, columns[1:])]
+
+        def dropped(parts):
             for part in parts:
-                yield out(0, key, 0, part, [fresh and i == 0 for i in range(len(part[0]))])
-                fresh = False
+                yield out(0, key, 0, part, np.logical_and.reduce([x == y[0] for x, y in zip(place(part), place(first), strict=True)]))
 
         for batch in batches:
             if not batch.num_rows:
@@ -117,7 +119,8 @@ def _decided(min_docs: int):
             inner = inner[(inner > 0) & (inner < len(starts) - 1)]
             if len(inner):
                 at = np.concatenate([np.arange(starts[i], stops[i]) for i in inner])
-                take, marks = pa.array(at), np.isin(at, starts[inner])
+                least = np.repeat(starts[inner], stops[inner] - starts[inner])
+                take, marks = pa.array(at), np.logical_and.reduce([x[at] == x[least] for x in place(columns)])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.zeros(len(at), np.int32)), batch.column(0).take(take), batch.column(1).take(take), pa.array(np.zeros(len(at), np.int64)), *(x.take(take) for x in columns), pa.array(marks)],
                     schema=_RUNS_PA,
@@ -136,11 +139,11 @@ def _decided(min_docs: int):
                 if edge:
                     yield out(2, key, 0, part)
                 elif decided:
-                    yield from dropped([part], False)
+                    yield from dropped([part])
                 else:
                     held.append(part)
                     if docs >= min_docs:
-                        yield from dropped(held, True)
+                        yield from dropped(held)
                         held = []
         if key is not None:
             yield out(1, key, docs, first)

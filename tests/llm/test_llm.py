@@ -80,6 +80,28 @@ def test_line_dedup_odd(odd):
     assert kept.where("text is null").count() == 1
 
 
+def test_first_lines_of_repeated_rows_stay(spark):
+    """Every line of the smallest document, which stands twice in the table, stays in both rows and goes elsewhere."""
+    often = [f"common line {i}" for i in range(30)]
+    rows = [(max(i, 1), "\n".join(often if i < 2 else [*often, f"own line {i}"])) for i in range(14)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = sorted((r.doc_id, r.text) for r in line_dedup.dedup_lines(docs, keep_first=True).collect())
+    assert got == sorted((d, t if d == 1 else t.split("\n")[-1]) for d, t in rows)
+
+
+@pytest.mark.parametrize("cut", [1, 2, 5, 100])
+def test_runs_mark_every_equal_first_row(cut):
+    """Runs that lie in one batch, span some, or touch the edge."""
+    import pyarrow as pa
+
+    lines = [(h, h, d, 7, 0) for h in range(4) for d in (1, 1, *range(2, 14))]
+    columns = list(zip(*lines, strict=True))
+    types = [pa.int64()] * 4 + [pa.int32()]
+    batches = [pa.RecordBatch.from_arrays([pa.array(x[i : i + cut], k) for x, k in zip(columns, types, strict=True)], names=list("abcde")) for i in range(0, len(lines), cut)]
+    out = [r for b in line_dedup._decided(10)(iter(batches)) for r in b.to_pylist() if r["kind"] == 0]
+    assert sum(r["first"] for r in out) >= 4 and all(r["first"] == (r["doc_id"] == 1) for r in out)
+
+
 def components(rows, k=3, percent=90):
     sets = {}
     fold = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
