@@ -2,8 +2,8 @@
 
 A mask of fixed positions ignores the words at its gaps: hashes of the other words of a benchmark item and of a document
 agree although words in the gaps were replaced.  Every position of every document is hashed under every mask and looked up
-among the items' hashes; around each hit document and item are laid side by side, and the best stretch is kept in which a
-word that agrees scores 1 and a replaced one -p / (1 - p), p being the share that must agree.
+among the items' hashes; around each hit document and item are laid side by side, and the longest stretch is kept in which
+the given share of the words agrees.  It begins and ends with a word that agrees or at an end of the item.
 
 Words are runs of letters and digits, A-Z in lower case.  Items of fewer words than a mask is long are looked up as a whole;
 items of fewer than `least_words` words, null or empty texts have no hits.  Item tables are sent to the tasks in blocks of at
@@ -73,12 +73,21 @@ class Items:
         self.item_of = t.doc
 
 
-def _best(same: np.ndarray, share: float) -> tuple[int, int]:
-    """Bounds of the stretch with the best score."""
-    score = np.concatenate([[0.0], np.cumsum(np.where(same, 1.0, -share / (1 - share)))])
-    low = np.minimum.accumulate(score)
-    end = int(np.argmax(score - low))
-    return int(np.argmin(score[: end + 1])), end
+def _longest(same: np.ndarray, share: float, from_start: bool, to_end: bool) -> tuple[int, int]:
+    """Bounds of the longest stretch that agrees in at least `share` of its words and begins and ends with one that agrees,
+    or at an end of `same` if from_start or to_end; of equally long ones the first."""
+    score = np.concatenate([[0.0], np.cumsum(np.where(same, 1.0 - share, -share))])
+    begins, ends = np.append(same, False), np.insert(same, 0, False)
+    begins[0] |= from_start
+    ends[-1] |= to_end
+    least = np.minimum.accumulate(np.where(begins, score, np.inf))
+    stops = np.flatnonzero(ends)
+    # the first place whose score is no higher; sums of shares are not exact
+    starts = np.searchsorted(-least, -(score[stops] + 1e-7))
+    if not len(stops) or (stops - starts).max() <= 0:
+        return 0, 0
+    i = int(np.argmax(stops - starts))
+    return int(starts[i]), int(stops[i])
 
 
 def _search(items: Items, share: float, least_overlap: int):
@@ -106,8 +115,8 @@ def _search(items: Items, share: float, least_overlap: int):
                     i, j = int(items.first[item]), int(items.first[item + 1])
                     a, b = max(0, -shift), min(j - i, e - d - shift)
                     same = items.words[i + a : i + b] == words[d + shift + a : d + shift + b]
-                    s, t = _best(same, share)
-                    if t - s >= min(least_overlap, j - i):
+                    s, t = _longest(same, share, a == 0, b == j - i)
+                    if t - s >= max(1, min(least_overlap, j - i)):
                         for column, x in zip(out, (doc, items.ids[item], int(same[s:t].sum()), t - s, shift + a + s, a + s), strict=True):
                             column.append(x)
                 take = pa.array(out[0], pa.int64())

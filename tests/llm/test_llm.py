@@ -228,6 +228,41 @@ def test_decontamination_finds_substituted_passages(spark):
     assert decontaminate.overlaps(docs, bench.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n", [13, 15, 16, 17, 20, 25])
+def test_decontamination_of_random_replacements(spark, n):
+    """Items with random replacements, against brute force: a mask that is whole somewhere and 80 % of the words."""
+    r = random.Random(n)
+    docs, items, want = [], [], set()
+    for i in range(200):
+        item = [f"q{i}x{j}" for j in range(n)]
+        same = [r.random() > 0.12 for _ in range(n)]
+        copy = [w if ok else f"z{i}x{j}" for j, (w, ok) in enumerate(zip(item, same, strict=True))]
+        items.append((i, " ".join(item)))
+        docs.append((i, " ".join([f"a{i}x{j}" for j in range(9)] + copy + [f"b{i}x{j}" for j in range(9)])))
+        places = [[j for j, x in enumerate(m) if x == "1"] for m in decontaminate.MASKS]
+        seeded = any(all(same[s + j] for j in p) for p in places for s in range(n - p[-1]))
+        begins, ends = [s for s in range(n) if same[s] or s == 0], [e for e in range(1, n + 1) if same[e - 1] or e == n]
+        if seeded and any(e - s >= 13 and 10 * sum(same[s:e]) >= 8 * (e - s) for s in begins for e in ends):
+            want.add(i)
+    got = decontaminate.overlaps(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {x.doc_id for x in got.collect()} == want and len(want) > 50
+
+
+def test_longest_stretch():
+    import numpy as np
+
+    r = random.Random(3)
+    for _ in range(400):
+        same = [r.random() < 0.75 for _ in range(r.randrange(1, 24))]
+        free = r.random() < 0.5
+        begins, ends = [s for s, x in enumerate(same) if x or free and s == 0], [e + 1 for e, x in enumerate(same) if x or free and e == len(same) - 1]
+        want = max((e - s for s in begins for e in ends if e > s and 10 * sum(same[s:e]) >= 8 * (e - s)), default=0)
+        s, t = decontaminate._longest(np.array(same), 0.8, free, free)
+        assert t - s == want
+    # 12 words that agree, a replaced one and 4 that agree
+    assert decontaminate._longest(np.array([True] * 12 + [False] + [True] * 4), 0.8, True, True) == (0, 17)
+
+
 def test_mixing_meets_its_budgets(odd, empty):
     taken = mixing.mix(odd, F.lit("one"), {"lang": {"en": 3}}, (1, 2), 3)
     total = sum(len(words(r.text)) for r in odd.collect())
