@@ -22,7 +22,7 @@ from .line_dedup import free_name
 from .textbytes import NOT_ALNUM, U64, Texts, batch_slices, mix
 
 #: Fixed masks: 1 is a word that must agree.  Any two substitutions in 16 words leave some mask whole.
-MASKS = ("111011010111", "110111101011", "101101110111", "111111110000")
+MASKS = ("111011010111", "110111101011", "101101110111", "111111110000", "111010011110")
 SHARE = 0.8
 LEAST_OVERLAP = 13
 LEAST_WORDS = 5

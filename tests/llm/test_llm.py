@@ -248,6 +248,13 @@ def test_decontamination_of_random_replacements(spark, n):
     assert {x.doc_id for x in got.collect()} == want and len(want) > 50
 
 
+def test_two_replacements_in_16_words_leave_a_mask_whole():
+    places = [decontaminate._positions(m) for m in decontaminate.MASKS]
+    for i in range(16):
+        for j in range(i):
+            assert any(not {i, j} & {s + int(x) for x in p} for p in places for s in range(16 - int(p[-1]))), (j, i)
+
+
 def test_longest_stretch():
     import numpy as np
 
