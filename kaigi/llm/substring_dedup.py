@@ -4,7 +4,7 @@
    window of b words of every document probes it.  Keys travel packed (exchange.py).  A repeat of `window` words always
    holds one whole block of the document it repeats, so no repeat is missed.
 2. Extension: only words around hits are looked at again.  Their windows of `window` words are compared over the corpus by
-   128-bit hashes, keeping the smallest doc_id of each; neighbouring repeated windows merge into maximal repeats.
+   two hashes, 64 bits of the first and the bucket (about log2 of the corpus over BUCKET_BYTES) of the second, keeping the smallest doc_id of each; neighbouring repeated windows merge into maximal repeats.
 3. Every word covered by a window that a smaller doc_id holds too goes.
 
 Windows are judged on the input.  Null and empty texts have no words.  A null doc_id comes after all others; rows with the
