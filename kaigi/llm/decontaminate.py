@@ -1,79 +1,175 @@
-"""Benchmark decontamination (4): spaced seeds over tokens, then verification that tolerates substitutions.
+"""Benchmark decontamination (4): spaced seeds over tokens, joined, then verification that tolerates substitutions.
 
 A mask of fixed positions ignores the words at its gaps: hashes of the other words of a benchmark item and of a document
-agree although words in the gaps were replaced.  Every position of every document is hashed under every mask and looked up
-among the items' hashes; around each hit document and item are laid side by side, and the longest stretch is kept in which
-the given share of the words agrees.  It begins and ends with a word that agrees or at an end of the item.
-
-Words are runs of letters and digits, A-Z in lower case.  Items of fewer words than a mask is long are looked up as a whole;
-items of fewer than `least_words` words, null or empty texts have no hits.  Item tables are sent to the tasks in blocks of at
-most BLOCK_WORDS words: a larger benchmark takes more passes over the documents, never a larger broadcast.
+agree although words in the gaps were replaced.  Both sides are hashed at every place under every mask and joined on the
+hash; around each hit, item and document are laid side by side, and the longest stretch is kept in which the given share of
+the words agrees and which begins and ends with a word that agrees or at an end of the item.  A stretch of LEAST_OVERLAP
+words, or of all words of a shorter item, makes a leak.
+
+* A Bloom filter of at most FILTER_BITS bits, made of the items' hashes, is all that is broadcast: document hashes that can't be an
+  item's are left out where they arise.  A larger benchmark fills the filter, which lets more hashes through to the join, but
+  neither side is collected and the documents are read once whatever its size.
+* Documents and items are cut at every STEP words into pieces that overlap by MARGIN words on both sides, so no row holds a
+  whole long text, and a stretch is looked for within MARGIN words of a hit.
+* Hits are first joined with one place of each hash only (the smallest).  Documents that this proves to be leaks are done;
+  only the others' hits are joined with the further places of hashes that have several.  A template that many documents and
+  many items share thus makes as many rows as it has documents.
+
+Words are runs of letters and digits, A-Z in lower case; every byte beyond ASCII counts as a letter, typographic quotes and
+dashes too.  Items of fewer than `least_words` words, null or empty items have no hits, nor have null and empty texts.  Equal rows
+are treated alike; ties go to the smallest item_id and text.  Columns besides doc_id and text are left alone.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .exchange import settled
 from .line_dedup import free_name
 from .textbytes import NOT_ALNUM, U64, Texts, batch_slices, mix
 
-#: Fixed masks: 1 is a word that must agree.  Any two substitutions in 16 words leave some mask whole.
-MASKS = ("111011010111", "110111101011", "101101110111", "111111110000", "111010011110")
+#: Fixed masks: 1 is a word that must agree.  Any two replaced words in 13 leave one whole, and of the ways to replace a fifth
+#: of 14 to 60 words, 97 % or more do.
+MASKS = ("11110111", "11101001011", "1101000101011", "1100110011001")
 SHARE = 0.8
 LEAST_OVERLAP = 13
 LEAST_WORDS = 5
-BLOCK_WORDS = 1_000_000
-_HITS = "doc_id long, row long, item_id long, n_match int, n_overlap int, doc_start int, item_start int"
+STEP, MARGIN = 256, 64
+#: Bits of the broadcast filter, at most (32 MB), and for each hash of the benchmark; odd numbers that choose a hash's bits.
+FILTER_BITS, BITS_FOR_EACH = 1 << 28, 64
+_CHOICES = [U64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
+_ITEMS = "item_id long, item_row long, piece int, first int, n_words int, words binary, keys array<long>, places array<int>"
+_ITEMS_PA = pa.schema(
+    [("item_id", pa.int64()), ("item_row", pa.int64()), ("piece", pa.int32()), ("first", pa.int32()), ("n_words", pa.int32()), ("words", pa.binary()), ("keys", pa.list_(pa.int64())), ("places", pa.list_(pa.int32()))]
+)
+_HITS = "doc_id long, row long, piece int, first int, words binary, keys array<long>, places array<int>"
 _HITS_PA = pa.schema(
-    [("doc_id", pa.int64()), ("row", pa.int64()), ("item_id", pa.int64()), ("n_match", pa.int32()), ("n_overlap", pa.int32()), ("doc_start", pa.int32()), ("item_start", pa.int32())]
+    [("doc_id", pa.int64()), ("row", pa.int64()), ("piece", pa.int32()), ("first", pa.int32()), ("words", pa.binary()), ("keys", pa.list_(pa.int64())), ("places", pa.list_(pa.int32()))]
 )
 
 
-def _positions(mask: str) -> np.ndarray:
-    return np.flatnonzero(np.frombuffer(mask.encode(), np.uint8) == ord("1"))
+def whole_masks(n: int, share: float = SHARE) -> list[str]:
+    """Masks over all n words of a short item: of k + 3 pieces (n at most) every choice of k is ignored, where k words of it
+    may be replaced, so some mask is whole wherever they are."""
+    gone = int(n * (1 - share) + 1e-9)
+    bounds = [round(i * n / min(n, gone + 3)) for i in range(min(n, gone + 3) + 1)] if n > 6 else list(range(n + 1))
+    pieces = list(zip(bounds, bounds[1:], strict=False))
+    return ["".join("0" if any(a <= i < b for a, b in left) else "1" for i in range(n)) for left in combinations(pieces, gone)]
 
 
 def spaced(words: np.ndarray, mask: str) -> np.ndarray:
-    """A hash for each place of the mask."""
-    places = _positions(mask)
-    n = max(0, len(words) - int(places[-1]))
-    out = np.full(n, len(mask) * 131 + len(places), U64)
+    """A hash for each place where the mask fits; different masks give different hashes of the same words."""
+    places = np.flatnonzero(np.frombuffer(mask.encode(), np.uint8) == ord("1"))
+    n = max(0, len(words) - len(mask) + 1)
+    out = np.full(n, int(mask, 2) + (len(mask) << 32), U64)
     with np.errstate(over="ignore"):
         for j in places:
             out = out * U64(0x2545F4914F6CDD1D) + words[j : j + n]
         return mix(out)
 
 
-class Items:
-    """The hashes of one block of benchmark items: key -> (item, place) by mask, ready for a lookup."""
-
-    def __init__(self, ids: list[int], texts: pa.Array, masks: tuple[str, ...], least_words: int):
-        t = Texts(texts, NOT_ALNUM, lower=True)
-        self.ids, self.words, self.first = ids, t.hashes(), t.first
-        sizes = np.diff(t.first)
-        spans = {m: int(_positions(m)[-1]) + 1 for m in masks}
-        shorter = sorted({int(n) for n in sizes if least_words <= n < max(spans.values())})
-        self.tables = []
-        for mask in [*masks, *("1" * n for n in shorter)]:
-            span, whole = int(_positions(mask)[-1]) + 1, mask not in masks
-            keys = spaced(self.words, mask)
-            at = np.arange(len(keys))
-            item = t.doc[: len(keys)]
-            ok = item == t.doc[span - 1 : span - 1 + len(keys)] if len(keys) else np.zeros(0, bool)
-            ok &= (sizes[item] == span) if whole else (sizes[item] >= least_words)
-            keys, at = keys[ok], at[ok]
-            order = np.argsort(keys, kind="stable")
-            seen = np.zeros(1 << 16, bool)
-            seen[(keys >> U64(48)).astype(np.int64)] = True
-            self.tables.append((mask, keys[order], at[order], seen))
-        self.item_of = t.doc
-
-
-def _longest(same: np.ndarray, share: float, from_start: bool, to_end: bool) -> tuple[int, int]:
+def _seeds(texts: Texts, words: np.ndarray, masks: list[str]):
+    """(keys, places) of each mask, at every place where it lies within one text."""
+    for mask in masks:
+        keys = spaced(words, mask)
+        at = np.flatnonzero(texts.doc[: len(keys)] == texts.doc[len(mask) - 1 : len(mask) - 1 + len(keys)])
+        yield keys[at], at
+
+
+def _pieces(texts: Texts, words: np.ndarray, keys: np.ndarray, places: np.ndarray):
+    """(text, piece, first word, words, keys, places in the text) of every piece of STEP words that a place lies in."""
+    low = words.astype("<u4")
+    doc = texts.doc[places]
+    within = places - texts.first[doc]
+    order = np.lexsort((keys, within, doc))
+    doc, within, keys = doc[order], within[order], keys[order]
+    piece = within // STEP
+    cuts = np.flatnonzero((doc[1:] != doc[:-1]) | (piece[1:] != piece[:-1])) + 1
+    for s, e in zip([0, *cuts.tolist()], [*cuts.tolist(), len(doc)], strict=True):
+        if s == e:
+            continue
+        d, p = int(doc[s]), int(piece[s])
+        a, b = int(texts.first[d]), int(texts.first[d + 1])
+        first = max(0, p * STEP - MARGIN)
+        yield d, p, first, low[a + first : min(b, a + (p + 1) * STEP + 16 + MARGIN)].tobytes(), keys[s:e].view(np.int64), within[s:e].astype(np.int32)
+
+
+def _table(schema: pa.Schema, rows: list) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) if rows else [[]] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+def _item_rows(masks: list[str], share: float, least_words: int, least_overlap: int):
+    def rows(batches):
+        for whole in batches:
+            for batch in batch_slices(whole, "text"):
+                texts = Texts(batch.column(1), NOT_ALNUM, lower=True)
+                words, sizes = texts.hashes(), np.diff(texts.first)
+                found = [(np.zeros(0, U64), np.zeros(0, np.int64))]
+                for keys, at in _seeds(texts, words, masks):
+                    ok = sizes[texts.doc[at]] >= least_overlap
+                    found.append((keys[ok], at[ok]))
+                for n in sorted({int(n) for n in sizes if least_words <= n < least_overlap}):
+                    for keys, at in _seeds(texts, words, whole_masks(n, share)):
+                        ok = sizes[texts.doc[at]] == n
+                        found.append((keys[ok], at[ok]))
+                keys, at = (np.concatenate(x) for x in zip(*found, strict=True))
+                ids, row = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+                yield _table(_ITEMS_PA, [(ids[d], row[d], p, first, int(sizes[d]), blob, k, places) for d, p, first, blob, k, places in _pieces(texts, words, keys, at)])
+
+    return rows
+
+
+def _slots(keys: np.ndarray, choice: np.uint64, bits: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return (keys * choice >> U64(64 - bits)).astype(np.int64)
+
+
+def _probe(masks: list[str], filled: np.ndarray, bits: int):
+    def rows(batches):
+        for whole in batches:
+            for batch in batch_slices(whole, "text"):
+                texts = Texts(batch.column(1), NOT_ALNUM, lower=True)
+                words, found = texts.hashes(), [(np.zeros(0, U64), np.zeros(0, np.int64))]
+                for keys, at in _seeds(texts, words, masks):
+                    for choice in _CHOICES:
+                        slot = _slots(keys, choice, bits)
+                        some = (filled[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+                        keys, at = keys[some], at[some]
+                    found.append((keys, at))
+                keys, at = (np.concatenate(x) for x in zip(*found, strict=True))
+                ids, row = batch.column(0), batch.column(2)
+                yield _table(_HITS_PA, [(ids[d].as_py(), row[d].as_py(), p, first, blob, k, places) for d, p, first, blob, k, places in _pieces(texts, words, keys, at)])
+
+    return rows
+
+
+def _filter(seeds: DataFrame) -> tuple[np.ndarray, int]:
+    """A Bloom filter of the items' hashes, 8 bits to a byte, and the number of bits that choose one of its bits."""
+    bits = max(10, min(FILTER_BITS, seeds.count() * BITS_FOR_EACH).bit_length() - 1)
+
+    def chosen(batches):
+        for batch in batches:
+            keys = np.asarray(batch.column(0)).view(U64)
+            slot = np.unique(np.concatenate([_slots(keys, choice, bits) for choice in _CHOICES]))
+            at, starts = np.unique(slot >> 6, return_index=True)
+            bit = np.bitwise_or.reduceat(U64(1) << (slot & 63).astype(U64), starts) if len(at) else np.zeros(0, U64)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(bit.view(np.int64))], names=["at", "bit"])
+
+    # at most FILTER_BITS / 64 rows of two numbers
+    rows = seeds.select("key").mapInArrow(chosen, "at long, bit long").groupBy("at").agg(F.bit_or("bit").alias("bit")).toArrow()
+    filled = np.zeros((1 << bits) // 64, "<i8")
+    filled[np.asarray(rows["at"])] = np.asarray(rows["bit"])
+    return filled.view(np.uint8), bits
+
+
+def longest(same: np.ndarray, share: float, from_start: bool, to_end: bool) -> tuple[int, int]:
     """Bounds of the longest stretch that agrees in at least `share` of its words and begins and ends with one that agrees,
     or at an end of `same` if from_start or to_end; of equally long ones the first."""
     score = np.concatenate([[0.0], np.cumsum(np.where(same, 1.0 - share, -share))])
@@ -90,76 +186,65 @@ def _longest(same: np.ndarray, share: float, from_start: bool, to_end: bool) ->
     return int(starts[i]), int(stops[i])
 
 
-def _search(items: Items, share: float, least_overlap: int):
-    def rows(batches):
-        for whole in batches:
-            for batch in batch_slices(whole, "text"):
-                texts = Texts(batch.column(1), NOT_ALNUM, lower=True)
-                words, found = texts.hashes(), []
-                for mask, keys, at, seen in items.tables:
-                    probe = spaced(words, mask)
-                    place = np.flatnonzero(seen[(probe >> U64(48)).astype(np.int64)]) if len(keys) else np.zeros(0, np.int64)
-                    span = int(_positions(mask)[-1]) + 1
-                    place = place[texts.doc[place] == texts.doc[place + span - 1]] if len(place) else place
-                    left, right = (np.searchsorted(keys, probe[place], side) for side in ("left", "right"))
-                    n = right - left
-                    place, rank = np.repeat(place, n), np.repeat(left, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                    # document, item, and the place in the item where the document's first word would lie
-                    item = items.item_of[at[rank]]
-                    shift = (place - texts.first[texts.doc[place]]) - (at[rank] - items.first[item])
-                    found.append(np.stack([texts.doc[place], item, shift], axis=1))
-                found = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
-                out: list[list] = [[] for _ in range(6)]
-                for doc, item, shift in found.tolist():
-                    d, e = int(texts.first[doc]), int(texts.first[doc + 1])
-                    i, j = int(items.first[item]), int(items.first[item + 1])
-                    a, b = max(0, -shift), min(j - i, e - d - shift)
-                    same = items.words[i + a : i + b] == words[d + shift + a : d + shift + b]
-                    s, t = _longest(same, share, a == 0, b == j - i)
-                    if t - s >= max(1, min(least_overlap, j - i)):
-                        for column, x in zip(out, (doc, items.ids[item], int(same[s:t].sum()), t - s, shift + a + s, a + s), strict=True):
-                            column.append(x)
-                take = pa.array(out[0], pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(take), batch.column(2).take(take), *(pa.array(x, f.type) for x, f in zip(out[1:], list(_HITS_PA)[2:], strict=True))], schema=_HITS_PA
-                )
+_OVERLAP = T.StructType([T.StructField(c, T.IntegerType()) for c in ("n_overlap", "n_match", "doc_start", "item_start")])
 
-    return rows
+
+def _verified(share: float, least_overlap: int):
+    @F.arrow_udf(_OVERLAP)
+    def overlap(doc: pa.Array, doc_first: pa.Array, item: pa.Array, item_first: pa.Array, n_words: pa.Array, shift: pa.Array) -> pa.Array:
+        """shift: the place in the document where the item's first word lies."""
+        out = []
+        for d, f, i, g, n, x in zip(*(c.to_pylist() for c in (doc, doc_first, item, item_first, n_words, shift)), strict=True):
+            left, right = np.frombuffer(d, "<u4"), np.frombuffer(i, "<u4")
+            # the words of the item that both pieces hold, as places in the item
+            a, b = max(g, f - x), min(g + len(right), f - x + len(left))
+            if a >= b:
+                out.append(None)
+                continue
+            s, t = longest(right[a - g : b - g] == left[a + x - f : b + x - f], share, a == 0, b == n)
+            same = int((right[a + s - g : a + t - g] == left[a + s + x - f : a + t + x - f]).sum())
+            out.append({"n_overlap": t - s, "n_match": same, "doc_start": a + s + x, "item_start": a + s} if t - s >= min(least_overlap, n) else None)
+        return pa.array(out, pa.struct([(c, pa.int32()) for c in ("n_overlap", "n_match", "doc_start", "item_start")]))
+
+    return overlap
 
 
-def _blocks(benchmark: DataFrame, masks: tuple[str, ...], least_words: int):
-    """The items in blocks of at most BLOCK_WORDS words, or one item."""
-    rows = benchmark.where("item_id is not null and text is not null").select("item_id", "text").distinct().orderBy("item_id", "text")
-    ids, texts, size = [], [], 0
-    for r in rows.toLocalIterator():
-        n = len(r.text) // 2 + 1
-        if ids and size + n > BLOCK_WORDS:
-            yield Items(ids, pa.array(texts, pa.string()), masks, least_words)
-            ids, texts, size = [], [], 0
-        ids.append(r.item_id)
-        texts.append(r.text)
-        size += n
-    if ids:
-        yield Items(ids, pa.array(texts, pa.string()), masks, least_words)
+def _leaks(hits: DataFrame, seeds: DataFrame, regions: DataFrame, items: DataFrame, share: float, least_overlap: int) -> DataFrame:
+    """doc_id, row and the best verified overlap of the hits with the seeds."""
+    place = F.col("at") - F.col("place")
+    pairs = hits.join(seeds, "key").select("doc_id", "row", "piece", "item_id", "item_row", "item_piece", place.cast("int").alias("shift")).distinct()
+    d, i = regions.alias("d"), items.alias("i")
+    both = pairs.alias("p").join(d, F.col("p.doc_id").eqNullSafe(F.col("d.doc_id")) & (F.col("p.row") == F.col("d.row")) & (F.col("p.piece") == F.col("d.piece")))
+    both = both.join(i, (F.col("p.item_id") == F.col("i.item_id")) & (F.col("p.item_row") == F.col("i.item_row")) & (F.col("p.item_piece") == F.col("i.piece")))
+    o = _verified(share, least_overlap)("d.words", "d.first", "i.words", "i.first", "i.n_words", "p.shift")
+    found = both.select("p.doc_id", "p.row", "p.item_id", "p.item_row", o.alias("o")).where("o is not null")
+    best = F.struct("o.n_match", "o.n_overlap", (-F.col("item_id")).alias("i"), (-F.col("o.doc_start")).alias("d"), (-F.col("o.item_start")).alias("s"))
+    found = found.groupBy("doc_id", "row").agg(F.max(best).alias("b"))
+    return found.select("doc_id", "row", (-F.col("b.i")).alias("item_id"), "b.n_match", "b.n_overlap", (-F.col("b.d")).alias("doc_start"), (-F.col("b.s")).alias("item_start"))
 
 
 def overlaps(
     docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, share: float = SHARE, least_overlap: int = LEAST_OVERLAP, least_words: int = LEAST_WORDS
 ) -> DataFrame:
     """doc_id, row (xxhash64 of the text, which tells rows of one doc_id apart), item_id, n_match, n_overlap, doc_start,
-    item_start: the longest verified overlap of each document with each item; documents without any have no row."""
-    spark, rows = docs.sparkSession, docs.select("doc_id", "text", F.xxhash64("text").alias("row"))
-    out = None
-    for items in _blocks(benchmark, masks, least_words):
-        hits = rows.mapInArrow(_search(items, share, least_overlap), _HITS)
-        out = hits if out is None else out.union(hits)
-    out = spark.createDataFrame([], _HITS) if out is None else out
-    value = F.struct("n_match", "n_overlap", (-F.col("doc_start")).alias("d"), (-F.col("item_start")).alias("i"))
-    return (
-        out.groupBy("doc_id", "row", "item_id")
-        .agg(F.max(value).alias("v"))
-        .select("doc_id", "row", "item_id", "v.n_match", "v.n_overlap", (-F.col("v.d")).alias("doc_start"), (-F.col("v.i")).alias("item_start"))
-    )
+    item_start: one row for each document that overlaps an item, with the overlap that has the most words that agree among
+    those that prove it (see above); n_overlap is at most the length of a piece."""
+    asked = benchmark.where("item_id is not null and text is not null").select("item_id", "text", F.xxhash64("text").alias("item_row")).distinct()
+    items = settled(asked.mapInArrow(_item_rows(list(masks), share, least_words, least_overlap), _ITEMS))
+    seeds = items.select("item_id", "item_row", F.col("piece").alias("item_piece"), F.explode(F.arrays_zip("keys", "places")).alias("s"))
+    seeds = seeds.select("item_id", "item_row", "item_piece", F.col("s.keys").alias("key"), F.col("s.places").alias("place"))
+    filled, bits = _filter(seeds)
+    short = [r.n_words for r in items.where(F.col("n_words") < least_overlap).select("n_words").distinct().orderBy("n_words").collect()]
+    every = [*masks, *(m for n in short for m in whole_masks(n, share))]
+    regions = settled(docs.select("doc_id", "text", F.xxhash64("text").alias("row")).mapInArrow(_probe(every, filled, bits), _HITS))
+    hits = regions.select("doc_id", "row", "piece", F.explode(F.arrays_zip("keys", "places")).alias("s")).select("doc_id", "row", "piece", F.col("s.keys").alias("key"), F.col("s.places").alias("at"))
+    regions, items = regions.drop("keys", "places"), items.drop("keys", "places")
+    member = F.struct("item_id", "item_row", "item_piece", "place")
+    firsts = settled(seeds.groupBy("key").agg(F.min(member).alias("m"), F.count(F.lit(1)).alias("held")).select("key", "m.*", "held"))
+    first = settled(_leaks(hits, firsts.drop("held"), regions, items, share, least_overlap))
+    rest = hits.alias("h").join(first.alias("f"), F.col("h.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("h.row") == F.col("f.row")), "left_anti")
+    further = seeds.join(firsts.where("held > 1").select("key", F.struct("item_id", "item_row", "item_piece", "place").alias("m")), "key").where(member != F.col("m")).drop("m")
+    return first.unionByName(_leaks(rest, further, regions, items, share, least_overlap))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
