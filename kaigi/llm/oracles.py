@@ -61,6 +61,45 @@ UNION ALL
 SELECT doc_id, domain, lang, source, epochs AS epoch, tokens::BIGINT, least(tokens, rest - start)::BIGINT FROM prefixed WHERE start < rest
 """.replace("sum(tokens) * 6 // 10", "(sum(tokens) * 6) // 10")
 
+_BIN = "CASE WHEN {0} < 32 THEN {0} ELSE 32 * (length(bin({0})) - 5) + ({0} >> (length(bin({0})) - 6)) - 32 END"
+_FLOOR = "CASE WHEN {0} < 32 THEN {0} ELSE ({0} - 32 * ({0} // 32) + 32) << ({0} // 32 - 1) END"
+
+
+def _quantile(q: int | str) -> str:
+    return f"min(CASE WHEN upto >= size // 1000 * {q} + size % 1000 * {q} // 1000 THEN bin END)"
+
+
+_OP7 = rf"""
+WITH w AS (SELECT row_number() OVER () AS row, doc_id, lang, source, coalesce(text, '') AS text, {_WORDS} AS ws FROM documents),
+win AS (SELECT row, i, array_to_string(list_slice(ws, i, i + 4), ' ') AS g FROM (SELECT row, ws, unnest(range(1, len(ws) - 3)) AS i FROM w WHERE len(ws) >= 5)),
+twice AS (SELECT row, g FROM win GROUP BY row, g HAVING count(*) > 1),
+covered AS (SELECT row, count(*) AS n FROM (SELECT DISTINCT row, unnest(range(i, i + 5)) AS at FROM win JOIN twice USING (row, g)) GROUP BY row),
+f AS (
+  SELECT w.*, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')) AS ls, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+         len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(covered.n, 0)::BIGINT AS n_repeat_words FROM w LEFT JOIN covered ON w.row = covered.row),
+d AS (
+  SELECT row, doc_id, lang, source, n_words, word_chars, n_symbols, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, n_repeat_words, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+         1000 * n_symbols // greatest(n_words, 1) AS symbols, 1000 * (len(ls) - len(list_distinct(ls))) // greatest(len(ls), 1) AS dup_lines, 1000 * n_repeat_words // greatest(n_words, 1) AS repeats, 1000 * word_chars // greatest(n_words, 1) AS word_length FROM f),
+v AS (UNPIVOT d ON symbols, dup_lines, repeats, word_length INTO NAME rule VALUE value),
+s AS (SELECT lang, source, rule, {_BIN.format("value")} AS bin, count(*) AS n FROM v WHERE NOT base_failed GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source, rule FROM s),
+l AS (SELECT lang, rule, bin, sum(n) AS n, sum(sum(n)) OVER (PARTITION BY lang, rule) AS size FROM s GROUP BY lang, rule, bin),
+a AS (SELECT rule, bin, sum(n) AS n, sum(sum(n)) OVER (PARTITION BY rule) AS size FROM s GROUP BY rule, bin),
+m AS (
+  SELECT lang, source, rule, bin, sum(weight) AS weight FROM (
+    SELECT lang, source, rule, bin, n * 65536 AS weight FROM s
+    UNION ALL SELECT g.lang, g.source, g.rule, l.bin, (50 * 65536 * l.n) // l.size FROM g JOIN l ON g.lang IS NOT DISTINCT FROM l.lang AND g.rule = l.rule
+    UNION ALL SELECT g.lang, g.source, g.rule, a.bin, (50 * 65536 * a.n) // a.size FROM g JOIN a ON g.rule = a.rule) GROUP BY lang, source, rule, bin),
+u AS (SELECT *, sum(weight) OVER (PARTITION BY lang, source, rule ORDER BY bin) AS upto, sum(weight) OVER (PARTITION BY lang, source, rule) AS size FROM m),
+q AS (SELECT lang, source, rule, {_quantile("(1000 - tail)")}::BIGINT AS b0, {_quantile(250)}::BIGINT AS b1, {_quantile(750)}::BIGINT AS b3, {_quantile("tail")}::BIGINT AS b9 FROM (SELECT *, CASE rule WHEN 'symbols' THEN 900 ELSE 990 END AS tail FROM u) GROUP BY lang, source, rule),
+p AS (SELECT lang, source, rule, {_FLOOR.format("b0")} AS q0, {_FLOOR.format("b1")} AS q1, {_FLOOR.format("b3")} AS q3, {_FLOOR.format("(b3 + 1)")} - 1 AS t3, {_FLOOR.format("(b9 + 1)")} - 1 AS t9 FROM q),
+bad AS (
+  SELECT DISTINCT v.row FROM v JOIN p ON v.rule = p.rule AND v.lang IS NOT DISTINCT FROM p.lang AND v.source IS NOT DISTINCT FROM p.source
+  WHERE v.value > greatest(t3 + 4 * (q3 - q1), t9) OR (v.rule = 'word_length' AND v.value < least(q1 - 4 * (q3 - q1), q0)))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND bad.row IS NULL AS kept FROM d LEFT JOIN bad ON d.row = bad.row
+"""
+
 _OP8 = f"""
 WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.replace("coalesce(text, '')", _LOWER.format("coalesce(text, '')"))} AS ws FROM documents),
 s AS (
@@ -96,4 +135,4 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(often)::BIGINT AS n_dropped, s
 FROM k LEFT JOIN b ON k.line_key = b.often GROUP BY doc_id
 """
 
-ORACLES = {"op2_url_filter": _OP2, "op3_source_mixing": _OP3, "op8_jaccard_join": _OP8, "op9_substring_dedup": _OP9, "op10_line_dedup": _OP10}
+ORACLES = {"op2_url_filter": _OP2, "op3_source_mixing": _OP3, "op7_quality_rules": _OP7, "op8_jaccard_join": _OP8, "op9_substring_dedup": _OP9, "op10_line_dedup": _OP10}

@@ -2,13 +2,14 @@
 
 Every rule's value is a whole number (a share in thousandths).  A sketch is a histogram with bins of exact width up to 2^5
 and 32 bins to each doubling beyond, so a quantile is off by at most 1/32; sketches merge by adding counts, which makes them
-independent of partitions and their order.  Sketches of (language, source) groups under LEAST_GROUP documents are replaced
-by the language's, then by that of all documents, each merged from the finer ones.  Thresholds are quartile fences, for
-rules whose values are mostly 0 a high quantile where that is further out (such sketches need the documents for it: 100 for
-990 thousandths); a joined filter applies them.  Only DataFrame functions are used.
+independent of partitions and their order.  A (language, source) group's sketch is mixed with those of its language and of all
+documents, each with the weight of PRIOR documents: small groups lean on them, large ones hardly notice, and no size decides.
+Both fences of a rule are quantiles of that mixture: the quartile plus REACH interquartile ranges, or the rule's own high quantile where
+that is further out (as where most values are 0).  A joined filter applies them; a value in the bin of a fence's quantile
+lies within it.  Only DataFrame functions are used.
 
 Words are [^\\x20\\x09-\\x0D]+.  Null and empty texts have no words and fail the base rules.  Null languages and sources are
-groups of their own.  Other columns are carried along unchanged, whatever their names.
+groups of their own.  Equal rows are treated alike.  Other columns are carried along unchanged, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,10 +21,16 @@ from .exchange import settled
 
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]"
-LEAST_GROUP = 50
-#: Rule -> (how many interquartile ranges beyond the quartile, least distance from it in thousandths, thousandths of a sketch
-#: that the fence keeps at least, both sides?).  Where most values are 0 the quartiles say nothing and the third decides.
-RULES = {"symbols": (4.0, 10, 0, False), "dup_lines": (4.0, 0, 990, False), "repeats": (4.0, 0, 990, False), "word_length": (4.0, 500, 0, True)}
+#: Weight, in documents, of the language's and of all documents' sketch in a group's.
+PRIOR = 50
+#: Interquartile ranges beyond the quartile.
+REACH = 4
+#: Rule -> thousandths of a sketch that a fence keeps at least; fewer where texts that break the rule are more common.
+RULES = {"symbols": 900, "dup_lines": 990, "repeats": 990, "word_length": 990}
+#: Rules with a lower fence too.
+BOTH_SIDES = ("word_length",)
+#: Counts of mixed sketches are whole multiples of one document's SCALE-th part.
+SCALE = 65536
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -43,7 +50,8 @@ def _repeat_words(windows: Column) -> Column:
 
 
 def with_features(docs: DataFrame, text: str) -> DataFrame:
-    """docs, the columns of FEATURES and n_lines (long); `docs` must not have any of them."""
+    """docs, the columns of FEATURES and n_lines (long); `docs` must not have any of them.  Settle the result before filtering
+    on it: a filter that the optimiser moves below would split each text anew for every word."""
     source = F.coalesce(F.col(text), F.lit(""))
     with_words = docs.select("*", words_of(F.col(text)).alias("_words"))
     words, n = F.col("_words"), F.size("_words")
@@ -58,12 +66,9 @@ def with_features(docs: DataFrame, text: str) -> DataFrame:
         window.alias("_windows"),
     )
     windows, lines = F.col("_windows"), F.col("_lines")
-    # Filters on the features must not be moved below this projection, where they would split the text anew for every word;
-    # they are not, as long as a column of it doesn't count as deterministic.
-    here = F.monotonically_increasing_id() * 0
     return measured.select(
         *docs.columns,
-        (F.col("n_words") + here).alias("n_words"),
+        "n_words",
         "word_chars",
         "n_symbols",
         (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
@@ -104,43 +109,41 @@ def merged(sketch: DataFrame, by: list[str]) -> DataFrame:
     return sketch.groupBy(*by, "rule", "bin").agg(F.sum("n").alias("n"))
 
 
-def _of_rule(values: dict[str, float]) -> Column:
-    return F.element_at(F.create_map(*(F.lit(x) for pair in values.items() for x in pair)), F.col("rule"))
-
-
-def least_size() -> Column:
-    """How many documents a rule's sketch needs before it is used."""
-    return _of_rule({rule: max(LEAST_GROUP, -(-1000 // (1000 - kept))) for rule, (_, _, kept, _) in RULES.items()})
-
-
-def fences(sketch: DataFrame, by: list[str]) -> DataFrame:
-    """by, rule, low, high, size: the fences of each sketch; a value in the bin of a quantile lies within it."""
-    group = Window.partitionBy(*by, "rule")
-    upto = sketch.withColumn("upto", F.sum("n").over(group.orderBy("bin"))).withColumn("size", F.sum("n").over(group))
-    at = lambda q: F.min(F.when(F.col("upto") * 1000 >= F.col("size") * q, F.col("bin")))
-    found = upto.withColumn("tail", _of_rule({rule: kept for rule, (_, _, kept, _) in RULES.items()}))
-    found = found.groupBy(*by, "rule").agg(at(250).alias("b1"), at(750).alias("b3"), at(F.col("tail")).alias("bt"), F.max("size").alias("size"))
+def mixed(sketch: DataFrame) -> DataFrame:
+    """lang, source, rule, bin, weight: every group's sketch mixed with its language's and that of all documents."""
+    groups = sketch.select("lang", "source", "rule").distinct()
+    share = lambda n, size: F.expr(f"({PRIOR * SCALE}L * {n}) div {size}")
+    wide = merged(sketch, ["lang"]).groupBy("lang", "rule").agg(F.collect_list(F.struct("bin", "n")).alias("bins"), F.sum("n").alias("size"))
+    # one row for each rule, of some thousand bins at most
+    everything = merged(sketch, []).groupBy("rule").agg(F.collect_list(F.struct("bin", "n")).alias("bins"), F.sum("n").alias("size"))
+    wide = wide.select(F.col("lang").alias("l"), F.col("rule").alias("r"), "bins", "size")
+    of_lang = groups.join(wide, F.col("lang").eqNullSafe(F.col("l")) & (F.col("rule") == F.col("r")))
+    of_all = groups.join(F.broadcast(everything), "rule")
+    parts = sketch.select("lang", "source", "rule", "bin", (F.col("n") * SCALE).alias("weight"))
+    for part in (of_lang, of_all):
+        rows = part.select("lang", "source", "rule", "size", F.explode("bins").alias("b")).select("lang", "source", "rule", "size", "b.bin", "b.n")
+        parts = parts.unionByName(rows.select("lang", "source", "rule", "bin", share("n", "size").alias("weight")))
+    return parts.groupBy("lang", "source", "rule", "bin").agg(F.sum("weight").alias("weight"))
+
+
+def fences(mixture: DataFrame) -> DataFrame:
+    """lang, source, rule, low (null: none), high."""
+    group = Window.partitionBy("lang", "source", "rule")
+    upto = mixture.withColumn("upto", F.sum("weight").over(group.orderBy("bin"))).withColumn("size", F.sum("weight").over(group))
+    # the share that lies below is compared in thousandths of the size, rounded down, so that no product overflows
+    at = lambda q: F.min(F.when(F.col("upto") >= F.expr(f"size div 1000 * {q} + size % 1000 * {q} div 1000"), F.col("bin")))
+    tails = F.create_map(*(F.lit(x) for rule, kept in RULES.items() for x in (rule, kept)))
+    upto = upto.withColumn("tail", tails[F.col("rule")])
+    found = upto.groupBy("lang", "source", "rule").agg(at("(1000 - tail)").alias("b0"), at(250).alias("b1"), at(750).alias("b3"), at("tail").alias("b9"))
     q1, q3 = bin_floor(F.col("b1")), bin_floor(F.col("b3"))
     top = lambda b: bin_floor(F.col(b) + 1) - 1
-    ranges, least = (_of_rule({rule: float(x[i]) for rule, x in RULES.items()}) for i in (0, 1))
-    reach = F.greatest((q3 - q1) * ranges, least)
-    sided = F.col("rule").isin([rule for rule, (*_, both) in RULES.items() if both])
-    return found.select(*by, "rule", F.when(sided, q1 - reach).alias("low"), F.greatest(top("b3") + reach, top("bt").cast("double")).alias("high"), "size")
+    low, high = F.least(q1 - REACH * (q3 - q1), bin_floor(F.col("b0"))), F.greatest(top("b3") + REACH * (q3 - q1), top("b9"))
+    return found.select("lang", "source", "rule", F.when(F.col("rule").isin(*BOTH_SIDES), low).alias("low"), high.alias("high"))
 
 
 def thresholds(sketch: DataFrame) -> DataFrame:
-    """lang, source and an array of (rule, low, high): the group's own fences, its language's or those of all documents."""
-    groups = sketch.select("lang", "source", "rule").distinct()
-    own = fences(sketch, ["lang", "source"]).where(F.col("size") >= least_size())
-    wide = fences(merged(sketch, ["lang"]), ["lang"]).where(F.col("size") >= least_size())
-    everything = fences(merged(sketch, []), [])
-    pick = lambda df, name, keys: df.select(*(F.col(k).alias(f"{name}_{k}") for k in [*keys, "rule"]), F.struct("low", "high").alias(name))
-    match = lambda name, keys: [F.col(k).eqNullSafe(F.col(f"{name}_{k}")) for k in [*keys, "rule"]]
-    joined = groups
-    for df, name, keys in ((own, "own", ["lang", "source"]), (wide, "wide", ["lang"]), (everything, "all", [])):
-        joined = joined.join(pick(df, name, keys), match(name, keys), "left")
-    fence = F.coalesce("own", "wide", "all")
-    return joined.groupBy("lang", "source").agg(F.collect_list(F.struct("rule", fence.alias("f"))).alias("fences"))
+    """lang, source and an array of (rule, f: low, high)."""
+    return fences(mixed(sketch)).groupBy("lang", "source").agg(F.collect_list(F.struct("rule", F.struct("low", "high").alias("f"))).alias("fences"))
 
 
 def verdicts(features: DataFrame, limits: DataFrame) -> DataFrame:

@@ -168,16 +168,75 @@ def test_jaccard_join_of_small_and_large_sets(spark, percent):
     assert got == components(rows, 1, percent)
 
 
-def test_quality_features(odd):
-    for r in quality.assess(odd).collect():
-        t = next(x.text for x in odd.where(F.col("doc_id").eqNullSafe(F.lit(r.doc_id))).collect())
-        w = words(t)
+def quality_of(rows):
+    """Brute force over (doc_id, text, lang, source): (doc_id, five features, base_failed, kept)."""
+
+    def bin_of(v):
+        return v if v < 32 else 32 * (v.bit_length() - 5) + (v >> (v.bit_length() - 6)) - 32
+
+    def floor_of(x):
+        return x if x < 32 else (x % 32 + 32) << (x // 32 - 1)
+
+    found, sketch = [], collections.Counter()
+    for d, t, lang, source in rows:
+        w, lines = words(t), [x for x in (t or "").split("\n") if words(x)]
         windows = collections.Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
         cover = {j for i in range(len(w) - 4) if windows[tuple(w[i : i + 5])] > 1 for j in range(i, i + 5)}
-        lines = [x for x in (t or "").split("\n") if words(x)]
-        assert tuple(r)[1:7] == (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t or "")), len(lines) - len(set(lines)), len(cover), len(w) < 10 or 100 * len(cover) > 20 * len(w))
+        made = (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t or "")), len(lines) - len(set(lines)), len(cover))
+        failed = len(w) < 10 or 100 * len(cover) > 20 * len(w)
+        n = max(1, len(w))
+        values = {"symbols": 1000 * made[2] // n, "dup_lines": 1000 * made[3] // max(1, len(lines)), "repeats": 1000 * made[4] // n, "word_length": 1000 * made[1] // n}
+        found.append((d, made, failed, values, lang, source))
+        if not failed:
+            sketch.update((lang, source, rule, bin_of(v)) for rule, v in values.items())
+    limits = {}
+    for lang, source, rule in {k[:3] for k in sketch}:
+        mixture = collections.Counter()
+        for part, weight in ((lambda k: k[:2] == (lang, source), None), (lambda k: k[0] == lang, 50), (lambda k: True, 50)):
+            held = collections.Counter()
+            for k, n in sketch.items():
+                if k[2] == rule and part(k):
+                    held[k[3]] += n
+            for x, n in held.items():
+                mixture[x] += n * 65536 if weight is None else weight * 65536 * n // sum(held.values())
+        size = sum(mixture.values())
+
+        def at(q):
+            upto = 0
+            for x in sorted(mixture):
+                upto += mixture[x]
+                if upto >= size // 1000 * q + size % 1000 * q // 1000:
+                    return x
+
+        q1, q3 = floor_of(at(250)), floor_of(at(750))
+        low = min(q1 - 4 * (q3 - q1), floor_of(at(10))) if rule == "word_length" else -1
+        limits[lang, source, rule] = low, max(floor_of(at(750) + 1) - 1 + 4 * (q3 - q1), floor_of(at(900 if rule == "symbols" else 990) + 1) - 1)
+    out = []
+    for d, made, failed, values, lang, source in found:
+        inside = all(low <= values[r] <= high for r in values for low, high in [limits.get((lang, source, r), (-1, 1 << 60))])
+        out.append((d, *made, failed, not failed and inside))
+    return collections.Counter(out)
+
+
+def test_quality_rules_equal_brute_force(spark, odd):
+    got = quality.assess(odd)
+    assert collections.Counter(map(tuple, got.collect())) == quality_of([(r.doc_id, r.text, r.lang, r.source) for r in odd.collect()])
     kept = quality.keep_good(odd)
-    assert kept.columns == odd.columns and kept.count() == quality.assess(odd).where("kept").count()
+    assert kept.columns == odd.columns and kept.count() == got.where("kept").count()
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    assert collections.Counter(map(tuple, quality.assess(docs).collect())) == quality_of([(r.doc_id, r.text, r.lang, r.source) for r in docs.collect()])
+
+
+def test_fences_follow_their_group(spark):
+    features = corpus_pipeline.settled(quality.with_features(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang", "source", "text"), "text").drop("text"))
+    limits = quality.fences(quality.mixed(quality.sketches(features, ["lang", "source"])))
+    assert {r.rule: r.n > 2 for r in limits.groupBy("rule").agg(F.countDistinct("high").alias("n")).collect()} == dict.fromkeys(quality.RULES, True)
+
+
+def test_junk_goes_and_good_texts_stay(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    got = {r.quality: r.kept for r in quality.assess(docs).join(labels, "doc_id").groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()}
+    assert got[1] > 0.97 and got[0] < 0.1
 
 
 def test_sketch_quantiles(spark):
