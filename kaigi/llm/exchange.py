@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .textbytes import U64
@@ -24,17 +24,22 @@ NO_ID = np.iinfo(np.int64).max
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; a folder of the system's own only where it is unset (tests)."""
+    """The shared folder named by spark.checkpoint.dir.  Where it is unset, a local session uses a folder of the system's own;
+    a cluster, whose machines don't share one, gets an error.  What is written there goes when nothing refers to it."""
     context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-    if not named:
-        import tempfile
-
-        named = context._jsc.sc().getCheckpointDir()
-        named = named.get() if named.isDefined() else tempfile.mkdtemp(prefix="kaigi-")
-    if not context._jsc.sc().getCheckpointDir().isDefined():
+    scala = context._jsc.sc()
+    if not scala.getCheckpointDir().isDefined():
+        named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+        if not named:
+            if not scala.isLocal():
+                raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+            import tempfile
+
+            named = tempfile.mkdtemp(prefix="kaigi-")
         context.setCheckpointDir(named)
-    return named
+        if context.getConf().get("spark.cleaner.referenceTracking.cleanCheckpoints") is None:
+            scala.conf().set("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+    return scala.getCheckpointDir().get()
 
 
 _CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -53,6 +58,25 @@ def settled(df: DataFrame) -> DataFrame:
         spark.conf.unset(_CLEAN_UP) if before is None else spark.conf.set(_CLEAN_UP, before)
 
 
+#: A key with more rows than this, and than the DEAL-th part of all rows, is dealt over as many tasks as it has such parts.
+MANY, DEAL = 1000, 1000
+
+
+def salted(left: DataFrame, right: DataFrame, key: str, by: Column) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a join on key with a column `salt` to join on too.  left's rows of a frequent key are dealt by the hash
+    `by`, and right's rows of such keys are copied to each of its salts; all others have salt 0.  A null key is never
+    frequent.  Counting is one aggregation; at most DEAL keys are broadcast."""
+    counts = left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    many = max(MANY, total // DEAL)
+    often = F.broadcast(settled(counts.where(F.col("n") > many).select(key, F.ceil(F.col("n") / many).cast("int").alias("salts"))))
+    salts = F.coalesce("salts", F.lit(1))
+    return (
+        left.join(often, key, "left").withColumn("salt", F.pmod(by, salts).cast("int")).drop("salts"),
+        right.join(often, key, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts"),
+    )
+
+
 @dataclass(frozen=True)
 class Chunked:
     """docs: chunk, doc_id, text and what else was asked for; the exchange by chunk is planned alike wherever it is used."""
