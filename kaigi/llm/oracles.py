@@ -6,12 +6,16 @@ _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 _OP2 = r"""
-WITH captures AS (
+WITH urls AS (
   SELECT page_id, url, 1704067200 + 60 * CAST('0x' || substr(md5('t' || page_id), 1, 4) AS BIGINT) AS fetched_at,
-         nullif(regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1)), '\.$', ''), '') AS host,
+         lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1)) AS h,
          nullif(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]+/([^/?#]+)', 1), '') AS head
   FROM pages),
-names AS (SELECT host AS entry FROM captures WHERE host IS NOT NULL UNION SELECT host || '/' || head FROM captures WHERE head IS NOT NULL AND host IS NOT NULL),
+captures AS (SELECT *, CASE WHEN length(h) <= 253 THEN nullif(regexp_replace(h, '\.$', ''), '') END AS host FROM urls),
+keys AS (
+  SELECT page_id, unnest(list_transform(range(1, CASE WHEN regexp_matches(host, '^[0-9.]+$') THEN 2 ELSE greatest(len(string_split(host, '.')), 2) END), lambda i: array_to_string(list_slice(string_split(host, '.'), i, 999), '.'))) AS entry FROM captures WHERE host IS NOT NULL
+  UNION SELECT page_id, host || '/' || head FROM captures WHERE host IS NOT NULL AND head IS NOT NULL),
+names AS (SELECT DISTINCT entry FROM keys),
 numbered AS (
   SELECT entry, CAST('0x' || substr(md5('l' || entry), 1, 4) AS BIGINT) AS a, CAST('0x' || substr(md5('l' || entry), 5, 4) AS BIGINT) AS b,
          CAST('0x' || substr(md5('l' || entry), 9, 4) AS BIGINT) AS c, CAST('0x' || substr(md5('l' || entry), 13, 4) AS BIGINT) AS d
@@ -19,11 +23,8 @@ numbered AS (
 entries AS (
   SELECT entry, 1704067200 + 60 * b AS valid_from, CASE WHEN d < 49152 THEN 1704067200 + 60 * (b + c) END AS valid_to
   FROM numbered WHERE a < 32768 AND NOT (d < 49152 AND c = 0)),
-keys AS (
-  SELECT page_id, url, fetched_at, unnest(list_transform(range(1, greatest(len(string_split(host, '.')), 2)), lambda i: array_to_string(list_slice(string_split(host, '.'), i, 99), '.'))) AS entry FROM captures WHERE host IS NOT NULL
-  UNION SELECT page_id, url, fetched_at, host || '/' || head FROM captures WHERE host IS NOT NULL AND head IS NOT NULL),
 hits AS (
-  SELECT k.page_id, k.entry FROM keys k JOIN entries e ON k.entry = e.entry AND k.fetched_at >= e.valid_from AND (e.valid_to IS NULL OR k.fetched_at < e.valid_to))
+  SELECT k.page_id, k.entry FROM keys k JOIN captures c ON k.page_id = c.page_id JOIN entries e ON k.entry = e.entry AND c.fetched_at >= e.valid_from AND (e.valid_to IS NULL OR c.fetched_at < e.valid_to))
 SELECT c.page_id, c.url, c.fetched_at, count(h.entry) > 0 AS blocked, count(DISTINCT h.entry) AS n_entries, min(h.entry) AS entry
 FROM captures c LEFT JOIN hits h ON c.page_id = h.page_id GROUP BY c.page_id, c.url, c.fetched_at
 """

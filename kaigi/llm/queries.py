@@ -34,9 +34,9 @@ def captures_of(pages: DataFrame) -> DataFrame:
 
 
 def entries_of(pages: DataFrame) -> DataFrame:
-    """A dated list made by rule from the pages' hosts and parent domains: half of them enter it, most leave it again."""
-    host = url_filter.host_of(F.col("url"))
-    names = pages.select(F.explode(F.array(host, F.concat(host, F.lit("/"), url_filter.path_head(F.col("url"))))).alias("entry")).where("entry is not null").distinct()
+    """A dated list made by rule from the pages' hosts, parent domains and first parts of paths: half of them enter it, most
+    leave it again."""
+    names = pages.select(F.explode(url_filter.keys_of(F.col("url"))).alias("entry")).distinct()
     number = lambda a: F.conv(F.substring(F.md5(F.concat(F.lit("l"), F.col("entry"))), a, 4), 16, 10).cast("long")
     listed = names.where(number(1) < 32768)
     added = listed.select("entry", F.lit("add").alias("action"), (1704067200 + 60 * number(5)).alias("at"))

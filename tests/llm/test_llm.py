@@ -399,6 +399,35 @@ def test_url_filter_by_time(spark, empty):
     entries = spark.createDataFrame([("b.com", "add", 5), ("b.com", "add", 6), ("b.com", "remove", 10), ("b.com", "add", 15), ("a.b.com/x", "add", 1), ("a.b.com", "add", 9), ("a.b.com", "remove", 9), (None, "add", 1)], "entry string, action string, at long")
     got = sorted((r.id, r.blocked, r.n_entries, r.entry) for r in url_filter.filter_captures(captures, entries).collect())
     assert got == [(1, True, 2, "a.b.com/x"), (1, True, 2, "a.b.com/x"), (2, False, 0, None), (3, True, 1, "b.com"), (4, False, 0, None), (5, False, 0, None), (6, False, 0, None)]
+    assert url_filter.filter_captures(empty.select(F.col("value").alias("url"), F.lit(1).alias("fetched_at")), entries).count() == 0
+    clash = captures.select("url", "fetched_at", F.lit(1).alias("Blocked"), F.lit(2).alias("entry"), F.lit(3).alias("entry_"), F.lit(4).alias("salt"), F.lit(5).alias("n"), F.lit(6).alias("c"))
+    found = url_filter.filter_captures(clash, entries)
+    assert found.columns == ["url", "fetched_at", "Blocked", "entry", "entry_", "salt", "n", "c", "blocked_", "n_entries", "entry__"] and found.where("blocked_").count() == 3
+
+
+def test_url_filter_equals_brute_force(spark):
+    """Random events over days, equal times included; hosts in figures, very long ones, and one with most of the captures."""
+    r = random.Random(6)
+    names = ["b.com", "a.b.com", "x.a.b.com", "b.com/p", "1.2.3.4", "3.4", "c.org"]
+    entries = [(r.choice(names), r.choice(["add", "remove", "add", "drop"]), r.randrange(0, 5 * 86400, 3600)) for _ in range(160)]
+    hosts = ["b.com", "x.a.b.com", "x.a.b.com.", "1.2.3.4", "c.org", "z.c.org", "y." * 400 + "b.com"]
+    captures = [(i, f"http://{'b.com' if i % 3 else r.choice(hosts)}/{r.choice(['p', 'q', ''])}", r.randrange(0, 5 * 86400, 1800)) for i in range(4000)]
+    active = {n: sorted({(t, a == "remove") for e, a, t in entries if e == n and a != "drop"}) for n in names}
+
+    def state(name, t):
+        upto = [gone for at, gone in active[name] if at <= t]
+        return bool(upto) and not upto[-1]
+
+    want = {}
+    for i, url, t in captures:
+        host = url.split("/")[2].rstrip(".")
+        labels = host.split(".")
+        keys = {host} if host[0].isdigit() else {".".join(labels[k:]) for k in range(max(1, len(labels) - 1))}
+        keys |= {host + "/" + url.split("/")[3]} if url.split("/")[3] else set()
+        found = sorted(k for k in keys & set(names) if state(k, t)) if len(host) <= 253 else []
+        want[i] = (bool(found), len(found), found[0] if found else None)
+    got = url_filter.filter_captures(spark.createDataFrame(captures, "id int, url string, fetched_at long"), spark.createDataFrame(entries, "entry string, action string, at long"))
+    assert {r.id: (r.blocked, r.n_entries, r.entry) for r in got.collect()} == want
 
 
 def test_secrets(spark, odd, empty):
@@ -423,6 +452,46 @@ def test_surrogates(spark, odd, empty):
     assert same.count() == odd.count() and surrogates.pseudonymise(empty, "k").count() == 0
 
 
+def test_formats_and_coreference_of_surrogates(spark):
+    numbers = ["+33 1 23 45 67 89", "+34 912 34 56 78", "+49 30 12345678", "+44 20 7946 0958", "(743) 555-3824", "743-555-3824", "0171 1234567", "01 23 45 67 89", "3782 822463 10005", "4222222222222"]
+    kept = ["2024-01-26 and 01.02.2024", "1234567890123", "10 000 000", "1.2.3.4.5", "room 12-345-67", "mail@host without a domain"]
+    texts = [*(f"call {x}, please" for x in numbers), *kept, "4785 3805 9239 1139 or 4785380592391139 or 4785-3805-9239-1139", "+1 (499) 555-6503, +1 499 555 6503, +14995556503"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.text, r.n_entities) for r in surrogates.pseudonymise(docs, "k").collect()}
+    for i, x in enumerate(numbers):
+        text, n = got[i]
+        assert n == 1 and x not in text and re.sub(r"\d", "9", text) == re.sub(r"\d", "9", texts[i]), text
+    assert [got[len(numbers) + i] for i in range(len(kept))] == [(x, 0) for x in kept]
+    for i in (len(texts) - 2, len(texts) - 1):
+        same = {re.sub(r"\D", "", x) for x in re.split(" or |, ", got[i][0])}
+        assert len(same) == 1 and got[i][1] == 3 and same.isdisjoint(re.sub(r"\D", "", x) for x in texts[i].split(" or "))
+
+
+def test_surrogates_are_distinct_and_no_entities(spark):
+    """Few values of one shape, so that many first attempts collide."""
+    mails = [f"{c}@x.org" for c in "abcdefghijklmnopqrst"]
+    values = [*((x, "email") for x in mails), *((f"Mr Smith{chr(97 + i % 26)}{chr(97 + i // 26)}", "man") for i in range(300)), *((f"+1499555{i:04}", "phone") for i in range(300))]
+    rows = surrogates.assign(spark.createDataFrame(values, "value string, kind string"), "k").collect()
+    made = [r.surrogate for r in rows]
+    assert len(rows) == len(values) == len(set(made)) and not set(made) & {v for v, _ in values}
+    again = surrogates.assign(spark.createDataFrame(values[::-1], "value string, kind string"), "k").collect()
+    assert {(r.value, r.surrogate) for r in rows} == {(r.value, r.surrogate) for r in again}
+
+
+@pytest.mark.parametrize("text", ["a" * 10**6, "x@" + "a." * 500_000, "1" * 10**6, "Ab " * 333_333, " " * 10**6 + "x", "a@" * 500_000, "=" * 10**6, "\n" * 10**6, "http://" + "a." * 500_000, "<a " * 333_333, "1." * 500_000, "+1 " * 333_333])
+def test_no_pattern_is_slow_on_long_runs(spark, text):
+    import time
+
+    from pyspark.ml.feature import VectorAssembler  # noqa: F401
+
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    began = time.time()
+    some = docs.select(F.size(surrogates.entities_of(F.col("text"))), F.size(F.split("text", surrogates.ENTITY, -1)), F.size(url_filter.keys_of(F.col("text"))), url_filter.path_head(F.col("text")))
+    some.collect()
+    secrets.with_features(secrets.candidates(docs)).collect()
+    assert time.time() - began < 10
+
+
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_query_equals_its_sql(spark, name):
     same_rows(spark, queries.queries()[name], queries.oracle_sql()[name], SF)
