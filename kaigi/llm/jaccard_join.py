@@ -20,6 +20,7 @@ and sets stay distributed.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -285,15 +286,16 @@ def _unpacked(batches):
 
 def _other_pairs(limit: Threshold, light: int):
     """Members of different components, of one block or of two; apart from `head`, the first member of a list that all
-    others were held against before."""
+    others were held against before.  Pairs leave as they are found, _SQUARE * _SQUARE at most at a time."""
 
-    def rows(part: pa.Table) -> pa.Table:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = pa.Table.from_batches(list(batches))
         columns = [np.asarray(part.column(c), np.int64) for c in ("x", "y", "kind", "key", "doc_id", "n", "at", "component", "own", "head")]
         order = np.lexsort((columns[4], columns[3], columns[2], columns[1], columns[0]))
         x, y, kind, key, doc, n, at, component, own, head = (c[order] for c in columns)
         new = np.ones(len(key), bool)
         new[1:] = (key[1:] != key[:-1]) | (kind[1:] != kind[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])
-        starts, found = np.flatnonzero(new), [np.zeros((0, 2), np.int64)]
+        starts, found, held = np.flatnonzero(new), [], 0
         for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(doc)], strict=True):
             if (component[s:e] == component[s]).all():
                 continue
@@ -305,12 +307,15 @@ def _other_pairs(limit: Threshold, light: int):
                         ok &= own[i] != own[j]
                     ok &= _fits(limit, light, kind[s], n[i], at[i], n[j], at[j])
                     i, j = (v[ok] for v in np.broadcast_arrays(i, j))
-                    if len(i):
-                        found.append(np.stack([doc[i], doc[j]], axis=1))
-            if len(found) > 256:
-                found = [np.unique(np.concatenate(found), axis=0)]
-        pairs = np.concatenate(found)
-        return _pairs_table(pairs[:, 0], pairs[:, 1])
+                    found.append(np.stack([doc[i], doc[j]], axis=1))
+                    held += len(i)
+                    if held >= _SQUARE * _SQUARE // 2 or len(found) > 4096:
+                        pairs = np.concatenate(found)
+                        yield from _pairs_table(pairs[:, 0], pairs[:, 1]).to_batches(max_chunksize=100_000)
+                        found, held = [], 0
+        if held:
+            pairs = np.concatenate(found)
+            yield from _pairs_table(pairs[:, 0], pairs[:, 1]).to_batches(max_chunksize=100_000)
 
     return rows
 
