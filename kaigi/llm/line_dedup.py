@@ -3,7 +3,8 @@ r"""Line dedup (10): range-partitioned line hashes, streamed in order of hash, d
 Lines are hashed where their document is; only hashes travel.  They are dealt by ranges of (hash, document), so that one
 line's run may span many partitions, and sorted by hash, document and position.  A stream over each partition counts the
 documents of every run and holds back no more rows than decide it; runs that touch a partition's edge are decided by a join
-with the edges' counts, of which there are two per partition.  What comes back is one compressed bitmap per document.
+with the edges' counts, of which there are two per partition.  What comes back is one compressed bitmap of the lines to keep for
+each document that loses any.
 
 A line's key is the line without [\x20\x09-\x0D] at both ends and with A-Z lower-cased.  Null and empty texts are one empty
 line; keys under `min_chars` code points always stay.  Rows with the same doc_id count as one document but keep their own
@@ -26,10 +27,10 @@ from .textbytes import LOWER, SPACES, batch_slices, run_hashes
 
 MIN_DOCS = 10
 MIN_CHARS = 1
-_LINES = "hash long, check long, doc_id long, row long, line int"
-_RUNS = "kind int, hash long, check long, docs long, doc_id long, row long, line int, first boolean"
+_LINES = "hash long, check long, doc_id long, row long, line int, lines int"
+_RUNS = "kind int, hash long, check long, docs long, doc_id long, row long, line int, lines int, first boolean"
 _RUNS_PA = pa.schema(
-    [("kind", pa.int32()), ("hash", pa.int64()), ("check", pa.int64()), ("docs", pa.int64()), ("doc_id", pa.int64()), ("row", pa.int64()), ("line", pa.int32()), ("first", pa.bool_())]
+    [("kind", pa.int32()), ("hash", pa.int64()), ("check", pa.int64()), ("docs", pa.int64()), ("doc_id", pa.int64()), ("row", pa.int64()), ("line", pa.int32()), ("lines", pa.int32()), ("first", pa.bool_())]
 )
 
 
@@ -76,8 +77,8 @@ def _line_rows(min_chars: int):
                 check = run_hashes(data, starts, ends, seed=1)
                 take = pa.array(at[some])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes.view(np.int64)), pa.array(check.view(np.int64)), batch.column(0).take(take), batch.column(2).take(take), pa.array(line.astype(np.int32))],
-                    names=["hash", "check", "doc_id", "row", "line"],
+                    [pa.array(hashes.view(np.int64)), pa.array(check.view(np.int64)), batch.column(0).take(take), batch.column(2).take(take), pa.array(line.astype(np.int32)), pa.array(np.diff(first)[at[some]].astype(np.int32))],
+                    names=["hash", "check", "doc_id", "row", "line", "lines"],
                 )
 
     return rows
@@ -105,7 +106,7 @@ def _decided(min_docs: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            h, c, columns = np.asarray(batch.column(0)), np.asarray(batch.column(1)), [batch.column(i) for i in (2, 3, 4)]
+            h, c, columns = np.asarray(batch.column(0)), np.asarray(batch.column(1)), [batch.column(i) for i in (2, 3, 4, 5)]
             d = np.asarray(columns[0].fill_null(int(NO_ID)))
             cuts = np.flatnonzero((h[1:] != h[:-1]) | (c[1:] != c[:-1])) + 1
             starts, stops = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(h)]])
@@ -153,17 +154,17 @@ def _decided(min_docs: int):
     return rows
 
 
-def _bitmap(lines: F.Column) -> F.Column:
+def _bitmap(gone: F.Column, lines: F.Column) -> F.Column:
     @F.arrow_udf(T.BinaryType())
-    def packed(column: pa.Array) -> pa.Array:
+    def packed(gone: pa.Array, lines: pa.Array) -> pa.Array:
         blobs = []
-        for x in column.to_pylist():
-            bits = np.zeros(max(x) + 1, bool)
-            bits[x] = True
-            blobs.append(zlib.compress(np.packbits(bits).tobytes()))
+        for x, n in zip(gone.to_pylist(), lines.to_pylist(), strict=True):
+            keep = np.ones(n, bool)
+            keep[x] = False
+            blobs.append(zlib.compress(np.packbits(keep).tobytes()))
         return pa.array(blobs, pa.binary())
 
-    return packed(lines)
+    return packed(gone, lines)
 
 
 def row_key(docs: DataFrame) -> F.Column:
@@ -171,49 +172,52 @@ def row_key(docs: DataFrame) -> F.Column:
     return F.xxhash64(docs["text"])
 
 
-def drop_bitmaps(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS, keep_first: bool = False) -> DataFrame:
-    """doc_id, row, drop: for each document that loses lines, a zlib-compressed bitmap with a bit set for each of them (the
-    bits after its end are clear).  keep_first: the line's first occurrence, by document and position, stays."""
-    lines = docs.select("doc_id", "text", row_key(docs).alias("row")).mapInArrow(_line_rows(min_chars), _LINES)
+def keep_bitmaps(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS, keep_first: bool = False) -> DataFrame:
+    """doc_id, row, keep: for each document that loses lines, a zlib-compressed bitmap with a bit for each of its lines, set
+    where it stays; documents that keep all lines have no row.  keep_first: the line's first occurrence, by document and
+    position, stays."""
+    # written once, as the ranges are found from a sample of it before it is dealt
+    lines = settled(docs.select("doc_id", "text", row_key(docs).alias("row")).mapInArrow(_line_rows(min_chars), _LINES))
     order = ["hash", "check", F.col("doc_id").asc_nulls_last(), "row", "line"]
     runs = settled(lines.repartitionByRange(*order[:3]).sortWithinPartitions(*order).mapInArrow(_decided(min_docs), _RUNS))
     place = F.struct(F.coalesce("doc_id", F.lit(int(NO_ID))).alias("d"), F.col("row").alias("r"), F.col("line").alias("l"))
-    # two rows for each partition at most, so this is small enough to broadcast
+    # of each partition the first and last run, so two rows for each at most
     edges = runs.where("kind = 1").groupBy("hash", "check").agg(F.sum("docs").alias("total"), F.min(place).alias("least"))
-    open_runs = runs.where("kind = 2").drop("docs", "first").join(F.broadcast(edges.where(F.col("total") >= min_docs)), ["hash", "check"])
+    open_runs = runs.where("kind = 2").drop("docs", "first").join(edges.where(F.col("total") >= min_docs), ["hash", "check"])
     open_runs = open_runs.withColumn("first", place == F.col("least"))
-    dropped = runs.where("kind = 0").select("doc_id", "row", "line", "first").unionByName(open_runs.select("doc_id", "row", "line", "first"))
+    dropped = runs.where("kind = 0").select("doc_id", "row", "line", "lines", "first").unionByName(open_runs.select("doc_id", "row", "line", "lines", "first"))
     # kind 0 rows of a run that goes on beyond an edge still have their first occurrence here
     if keep_first:
         dropped = dropped.where(~F.col("first"))
-    return dropped.groupBy("doc_id", "row").agg(F.collect_list("line").alias("lines")).select("doc_id", "row", _bitmap(F.col("lines")).alias("drop"))
+    bitmaps = dropped.groupBy("doc_id", "row").agg(F.collect_list("line").alias("gone"), F.max("lines").alias("lines"))
+    return bitmaps.select("doc_id", "row", _bitmap(F.col("gone"), F.col("lines")).alias("keep"))
 
 
 def with_bitmaps(docs: DataFrame, bitmaps: DataFrame, name: str) -> DataFrame:
     """docs with each row's bitmap (null: nothing goes) in a column of the given name."""
-    right = bitmaps.select(F.col("doc_id").alias(f"{name}_id"), F.col("row").alias(f"{name}_row"), F.col("drop").alias(name))
+    right = bitmaps.select(F.col("doc_id").alias(f"{name}_id"), F.col("row").alias(f"{name}_row"), F.col("keep").alias(name))
     on = docs["doc_id"].eqNullSafe(right[f"{name}_id"]) & (row_key(docs) == right[f"{name}_row"])
     return docs.join(right, on, "left").drop(f"{name}_id", f"{name}_row")
 
 
-def _parts(text: str | None, drop: bytes | None) -> tuple[list[str], int]:
+def _parts(text: str | None, keep: bytes | None) -> tuple[list[str], int]:
     lines = (text or "").split("\n")
-    if drop is None:
+    if keep is None:
         return lines, len(lines)
-    bits = np.unpackbits(np.frombuffer(zlib.decompress(drop), np.uint8))[: len(lines)].tolist()
-    return [x for x, gone in zip(lines, bits + [0] * (len(lines) - len(bits)), strict=True) if not gone], len(lines)
+    bits = np.unpackbits(np.frombuffer(zlib.decompress(keep), np.uint8), count=len(lines)).tolist()
+    return [x for x, stays in zip(lines, bits, strict=True) if stays], len(lines)
 
 
 @F.arrow_udf(T.StringType())
-def kept_text(text: pa.Array, drop: pa.Array) -> pa.Array:
+def kept_text(text: pa.Array, keep: pa.Array) -> pa.Array:
     """The lines that stay, joined by \\n; a text that loses none comes back as it is, null too."""
-    return pa.array([t if x is None else "\n".join(_parts(t, x)[0]) for t, x in zip(text.to_pylist(), drop.to_pylist(), strict=True)], pa.string())
+    return pa.array([t if x is None else "\n".join(_parts(t, x)[0]) for t, x in zip(text.to_pylist(), keep.to_pylist(), strict=True)], pa.string())
 
 
 @F.arrow_udf(T.StructType([T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType()), T.StructField("kept_sha256", T.StringType())]))
-def kept_digest(text: pa.Array, drop: pa.Array) -> pa.Array:
+def kept_digest(text: pa.Array, keep: pa.Array) -> pa.Array:
     out = []
-    for t, x in zip(text.to_pylist(), drop.to_pylist(), strict=True):
+    for t, x in zip(text.to_pylist(), keep.to_pylist(), strict=True):
         kept, n = _parts(t, x)
         out.append({"n_lines": n, "n_dropped": n - len(kept), "kept_sha256": hashlib.sha256("\n".join(kept).encode()).hexdigest()})
     return pa.array(out, pa.struct([("n_lines", pa.int64()), ("n_dropped", pa.int64()), ("kept_sha256", pa.string())]))
@@ -228,12 +232,12 @@ def free_name(docs: DataFrame, wanted: str) -> str:
 
 def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS, keep_first: bool = False) -> DataFrame:
     """docs with the repeated lines taken out of text; every other column as it was."""
-    name = free_name(docs, "drop_bits")
-    joined = with_bitmaps(docs, drop_bitmaps(docs, min_docs, min_chars, keep_first), name)
+    name = free_name(docs, "keep_bits")
+    joined = with_bitmaps(docs, keep_bitmaps(docs, min_docs, min_chars, keep_first), name)
     return joined.select(*(kept_text("text", name).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns))
 
 
 def digest(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """doc_id, n_lines, n_dropped, kept_sha256 of every row."""
     docs = docs.select("doc_id", "text")
-    return with_bitmaps(docs, bitmaps, "drop_bits").select("doc_id", kept_digest("text", "drop_bits").alias("x")).select("doc_id", "x.*")
+    return with_bitmaps(docs, bitmaps, "keep_bits").select("doc_id", kept_digest("text", "keep_bits").alias("x")).select("doc_id", "x.*")
