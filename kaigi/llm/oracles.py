@@ -43,7 +43,8 @@ o{len(path)} AS (
 f{len(path)} AS (SELECT *, room * open_w + used * w <= budget * w AS is_full FROM o{len(path)}),
 g{len(path)} AS (
   SELECT *, coalesce(sum(CASE WHEN is_full THEN room END) OVER ({part}), 0)::HUGEINT AS filled, coalesce(sum(CASE WHEN NOT is_full THEN w END) OVER ({part}), 0)::HUGEINT AS weight_left FROM f{len(path)}),
-b{len(path)} AS (SELECT {keys}, {"tokens, " if len(path) == 3 else ""}CASE WHEN is_full THEN room ELSE (w * (budget - filled)) // greatest(weight_left, 1) END AS budget FROM g{len(path)})"""
+h{len(path)} AS (SELECT *, CASE WHEN is_full THEN room ELSE (w * (budget - filled)) // greatest(weight_left, 1) END AS share, row_number() OVER ({part} ORDER BY CASE WHEN is_full THEN -1 ELSE (w * (budget - filled)) % greatest(weight_left, 1) END DESC, {keys}) AS place FROM g{len(path)}),
+b{len(path)} AS (SELECT {keys}, {"tokens, " if len(path) == 3 else ""}(share + CASE WHEN NOT is_full AND place <= budget - sum(share) OVER ({part}) THEN 1 ELSE 0 END)::HUGEINT AS budget FROM h{len(path)})"""
 
 
 _OP3 = f"""
