@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .exchange import salted
+from .exchange import salted, settled
 
 LONGEST_HOST = 253
 
@@ -47,7 +47,7 @@ def keys_of(url: Column) -> Column:
 def intervals(entries: DataFrame) -> DataFrame:
     """entry, valid_from, valid_to (exclusive; null: still active) from entry, action, at."""
     events = entries.where("entry is not null and at is not null and action in ('add', 'remove')").groupBy("entry", "at").agg(F.max("action").alias("action"))
-    events = events.withColumn("day", F.floor(F.col("at").cast("double") / 86400))
+    events = settled(events.withColumn("day", F.floor(F.col("at").cast("double") / 86400)))
     days = events.groupBy("entry", "day").agg(F.min("at").alias("first"))
     days = days.select("entry", "day", F.lead("first").over(Window.partitionBy("entry").orderBy("day")).alias("next_day"))
     within = F.lead("at").over(Window.partitionBy("entry", "day").orderBy("at"))
