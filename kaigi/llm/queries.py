@@ -80,7 +80,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
-    return line_dedup.digest(docs, line_dedup.drop_bitmaps(docs))
+    return line_dedup.digest(docs, line_dedup.keep_bitmaps(docs))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
