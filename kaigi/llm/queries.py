@@ -24,7 +24,7 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.scan(_read(spark, sf_dir, "documents"), secrets.train(secrets.generated_findings(spark)))
+    return secrets.learn_and_scan(_read(spark, sf_dir, "documents"))
 
 
 def captures_of(pages: DataFrame) -> DataFrame:
