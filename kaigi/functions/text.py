@@ -18,7 +18,8 @@ FULL_WIDTH_DIGITS = "０１２３４５６７８９"
 
 def strip(c: Column) -> Column:
     """Without white space, in the sense of Unicode, at both ends."""
-    return F.regexp_replace(c, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    # the look-behind keeps long runs inside a text from being tried again at each of their characters
+    return F.regexp_replace(c, r"(?U)^[\s\x1c-\x1f]+|(?<![\s\x1c-\x1f])[\s\x1c-\x1f]+$", "")
 
 
 def strip_label(c: Column) -> Column:
@@ -98,3 +99,8 @@ def resolve_url(base: Column, href: Column) -> Column:
 
 def last_part(url: Column) -> Column:
     return F.element_at(F.split(url, "/"), -1)
+
+
+def json_int(c: Column, field: str) -> Column:
+    """A whole number in a JSON object, null where there is none."""
+    return F.from_json(c, f"`{field}` string")[field].try_cast("int")

@@ -66,13 +66,26 @@ def file_name(name: Column, space: str) -> Column:
     return F.concat(F.replace(name, F.lit(" "), F.lit(space)), F.lit(".txt"))
 
 
-def prefix_sums(counts: DataFrame, order: str, value: str, width: int = 1024) -> DataFrame:
-    """counts with `before`: the sum of value over smaller order values.  Sums over blocks of `width` keep each window small."""
-    block = F.floor(F.col(order) / width)
-    blocks = counts.groupBy(block.alias("_block")).agg(F.sum(value).alias("_sum"))
-    blocks = blocks.withColumn("_start", F.coalesce(F.sum("_sum").over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_sum")
+def session_name(file: Column, space: str) -> Column:
+    """The name that a file name stands for; where blanks were left out (space is empty) they stay out."""
+    stem = F.regexp_replace(file, r"\.[^.]*$", "")
+    return F.replace(stem, F.lit(space), F.lit(" ")) if space else stem
+
+
+def prefix_sums(counts: DataFrame, order: str, value: str, blocks: int = 1024) -> DataFrame:
+    """counts with `before`: the sum of value over smaller order values, of whatever type; order is unique.
+
+    Rows are dealt into ranges between at most `blocks` of the order values, those with the least hashes, so that windows
+    stay small; only these bounds reach the driver."""
+    picked = [r[0] for r in counts.where(F.col(order).isNotNull()).orderBy(F.xxhash64(order), order).limit(blocks).select(order).collect()]
+    bounds = F.array(*(F.lit(x) for x in picked)) if picked else F.array().cast("array<string>")
+    key = F.col(order) if picked else F.col(order).cast("string")
+    block = F.size(F.filter(bounds, lambda b: b <= key))
+    sums = counts.groupBy(block.alias("_block")).agg(F.sum(value).alias("_sum")).groupBy().agg(F.map_from_entries(F.collect_list(F.struct("_block", "_sum"))).alias("_sums"))
+    placed = counts.withColumn("_block", block).crossJoin(F.broadcast(sums))
+    start = F.aggregate(F.map_entries("_sums"), F.lit(0).cast("long"), lambda s, e: s + F.when(e["key"] < F.col("_block"), e["value"]).otherwise(0).cast("long"))
     within = Window.partitionBy("_block").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return counts.withColumn("_block", block).join(blocks, "_block").withColumn("before", F.col("_start") + F.coalesce(F.sum(value).over(within), F.lit(0))).drop("_block", "_start")
+    return placed.withColumn("before", start + F.coalesce(F.sum(value).over(within), F.lit(0))).drop("_block", "_sums")
 
 
 def utterances(lines: DataFrame, session: str = "session_seq", line_no: str = "line_no", line: str = "line", reset_at_session: bool = False) -> DataFrame:

@@ -34,15 +34,17 @@ def last_wins(rows: DataFrame, key: str, order: str) -> DataFrame:
     return rows.groupBy(key).agg(F.max_by(F.struct(*(c for c in rows.columns if c != key)), order).alias("_last")).select(key, "_last.*")
 
 
-def members(profiles: DataFrame) -> DataFrame:
-    """name, kana, gender, party, faction (of the last term), terms from the nested member table; of equal names the last."""
+def members(profiles: DataFrame, keep_order: bool = False) -> DataFrame:
+    """name, kana, gender, party, faction (of the last term), terms from the nested member table; of equal names the last.
+    keep_order: with seq, the place in the table."""
     m = F.col("m")
     last = F.when(F.size(m["terms"]) > 0, F.element_at(m["terms"], -1))
     flat = profiles.select(F.posexplode("members").alias("seq", "m")).select(
         "seq", m["name"].alias("name"), m["kana"].alias("kana"), m["gender"].alias("gender"), F.coalesce(last["party"], F.lit("-")).alias("party"), F.coalesce(last["faction"], F.lit("-")).alias("faction"),
         F.transform(m["terms"], lambda t: t["term"]).alias("terms"),
     )
-    return last_wins(flat, "name", "seq").drop("seq")
+    found = last_wins(flat, "name", "seq")
+    return found if keep_order else found.drop("seq")
 
 
 def with_harvest(speakers: DataFrame, dim: DataFrame, speaker: str = "speaker_id") -> DataFrame:
@@ -51,12 +53,14 @@ def with_harvest(speakers: DataFrame, dim: DataFrame, speaker: str = "speaker_id
     return speakers.join(d, speaker, "left").withColumn("role", F.coalesce(F.nullif("role", F.lit("")), "_role", F.lit(""))).withColumn("party", or_empty(F.col("_party"))).drop("_role", "_party")
 
 
-def with_members(speakers: DataFrame, dim: DataFrame, speaker: str = "speaker_id") -> DataFrame:
-    """Left join with member profiles under different defaults for matched and unmatched speakers, flagged in_member_json."""
-    joined = speakers.alias("s").join(dim.alias("d"), F.col(f"s.{speaker}") == F.col("d.name"), "left")
-    known = F.col("d.name").isNotNull()
+def with_members(speakers: DataFrame, dim: DataFrame, speaker: str = "speaker_id", key: str = "name") -> DataFrame:
+    """Left join with member profiles under different defaults for matched and unmatched speakers, flagged in_member_json.
+    Where speakers have a `name`, that of the profile goes before it."""
+    joined = speakers.alias("s").join(dim.alias("d"), F.col(f"s.{speaker}") == F.col(f"d.{key}"), "left")
+    known = F.col(f"d.{key}").isNotNull()
     filled = [F.coalesce(F.col(f"d.{c}"), F.lit("")).alias(c) for c in ("kana", "gender", "party", "faction")]
-    rest = [F.col(f"s.{c}") for c in speakers.columns if c != "role"]
+    name = lambda c: F.coalesce("d.name", "s.name").alias("name") if c == "name" else F.col(f"s.{c}")
+    rest = [name(c) for c in speakers.columns if c not in ("role", "party")]
     role = F.coalesce(F.nullif(F.col("s.role"), F.lit("")), F.when(known, "議員").otherwise("不明"))
     return joined.select(*rest, role.alias("role"), *filled, F.coalesce(F.col("d.terms"), F.array().cast("array<int>")).alias("terms"), known.alias("in_member_json"))
 

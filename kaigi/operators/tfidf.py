@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 
 def term_counts(tokens: DataFrame, entity: str, term: str = "term") -> DataFrame:
-    """entity, term, tf."""
-    return tokens.groupBy(entity, term).agg(F.count(F.lit(1)).alias("tf"))
+    """entity, term, tf and, where tokens tell by `exact` which of them were written as the term is, how many were: `count`."""
+    exact = [F.count_if("exact").alias("count")] if "exact" in tokens.columns else []
+    return tokens.groupBy(entity, term).agg(F.count(F.lit(1)).alias("tf"), *exact)
 
 
 def document_frequency(tf: DataFrame, term: str = "term") -> DataFrame:
@@ -25,15 +26,16 @@ def vocabulary(df: DataFrame, n_entities: int, min_df: int, max_df: float, max_f
 def tfidf(
     tf: DataFrame, entity: str, n_entities: int, *, min_df: int = 2, max_df: float = 1.0, max_features: int | None = None, sublinear: bool = False, term: str = "term"
 ) -> DataFrame:
-    """entity, term, tf, df, weight: smooth inverse document frequency, each entity's weights of length 1.
+    """entity, term, tf, df, weight (and what else tf has): smooth inverse document frequency, each entity's weights of length 1.
 
     n_entities counts entities without tokens too.  No term left gives no rows.
     """
     vocab = vocabulary(document_frequency(tf, term), n_entities, min_df, max_df, max_features, term).select(term, "df")
     count = 1 + F.log(F.col("tf")) if sublinear else F.col("tf").cast("double")
     raw = tf.join(vocab, term).withColumn("raw", count * (F.log(F.lit(1.0 + n_entities) / (1 + F.col("df"))) + 1))
-    norm = raw.groupBy(entity).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
-    return raw.join(norm, entity).select(entity, term, "tf", "df", (F.col("raw") / F.col("norm")).alias("weight"))
+    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(entity)))
+    rest = [c for c in tf.columns if c not in (entity, term, "tf")]
+    return raw.withColumn("weight", F.col("raw") / norm).select(entity, term, "tf", "df", "weight", *rest)
 
 
 def ranked(weights: DataFrame, entity: str, n: int, term: str = "term") -> DataFrame:

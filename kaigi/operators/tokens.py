@@ -46,18 +46,37 @@ def morphological(tagger: Callable[[], Callable] | None = None) -> Tokenizer:
     return F.pandas_udf(tagged, MORPHEMES)
 
 
+def base_form(m: Column) -> Column:
+    return F.coalesce(F.nullif(m["lemma"], F.lit("")), m["surface"])
+
+
+def is_katakana(w: Column) -> Column:
+    return w.rlike("^[ァ-ヴー]+$")
+
+
+def is_hiragana(w: Column) -> Column:
+    return w.rlike("^[ぁ-ん]+$")
+
+
+def is_number(w: Column) -> Column:
+    return w.rlike(r"^[0-9０-９\s\-・]+$")
+
+
+def has_ascii(w: Column) -> Column:
+    return w.rlike("[a-zA-Z]")
+
+
 def keeps(m: Column, rules: TokenRules) -> Column:
     """Does a morpheme stay?  Everything but the tokenizer is plain column logic."""
-    base = F.coalesce(F.nullif(m["lemma"], F.lit("")), m["surface"])
+    base = base_form(m)
     skip = ["非自立可能", "接尾辞", "数詞"] + (["助数詞相当語"] if rules.drop_counters else [])
-    ok = (m["pos1"] == NOUN) & ~F.coalesce(m["pos2"], F.lit("")).isin(skip) & (F.length(base) >= 2) & ~base.isin(list(rules.stop) or [""])
+    ok = (m["pos1"] == NOUN) & ~F.coalesce(m["pos2"], F.lit("")).isin(skip) & (F.length(base) >= 2) & ~base.isin(list(rules.stop or ()) or [""])
     if rules.drop_persons:
         ok &= F.coalesce(m["pos3"], F.lit("")) != PERSON
     if rules.max_length:
         ok &= F.length(base) <= rules.max_length
-    katakana = base.rlike("^[ァ-ヴー]+$")
-    ok &= ~(katakana & (F.coalesce(m["pos2"], F.lit("")) == PROPER)) if rules.katakana == "proper" else ~katakana
-    ok &= ~base.rlike(r"^[0-9０-９\s\-・]+$") & ~base.rlike("^[ぁ-ん]+$") & ~base.rlike("[a-zA-Z]")
+    ok &= ~(is_katakana(base) & (F.coalesce(m["pos2"], F.lit("")) == PROPER)) if rules.katakana == "proper" else ~is_katakana(base)
+    ok &= ~is_number(base) & ~is_hiragana(base) & ~has_ascii(base)
     if rules.drop_hyphen:
         ok &= ~base.contains("-")
     if rules.drop_eras:
@@ -68,9 +87,13 @@ def keeps(m: Column, rules: TokenRules) -> Column:
 
 
 def token_table(texts: DataFrame, entity: str, text: str, rules: TokenRules, tokenizer: Tokenizer = letter_runs) -> DataFrame:
-    """entity, term: the lower-cased tokens that stay, one row each."""
-    found = texts.select(entity, F.explode(tokenizer(F.col(text))).alias("m"))
-    return found.where(keeps(F.col("m"), rules)).select(entity, F.lower(F.coalesce(F.nullif(F.col("m.lemma"), F.lit("")), F.col("m.surface"))).alias("term"))
+    """entity, term, exact: the lower-cased tokens that stay, one row each; exact: the token has no capitals.  Counts that are
+    shown take exact ones only, weights take all."""
+    if rules.stop is None:
+        raise ValueError("these rules need their stop words: see profiles.stop_words_from")
+    found = texts.select(entity, F.explode(tokenizer(F.col(text))).alias("m")).where(keeps(F.col("m"), rules))
+    base = base_form(F.col("m"))
+    return found.select(entity, F.lower(base).alias("term"), (base == F.lower(base)).alias("exact"))
 
 
 def without_front_matter(body: Column) -> Column:

@@ -12,8 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, text
-from ..operators import incremental, minutes, speakers, tfidf
+from ..operators import incremental, minutes, speakers, tfidf, tokens
+from ..profiles import COUNCIL, PARLIAMENT
 from ..sources import readers
+from ..staging import settled
+from . import pipelines
 
 #: A stand-in dictionary of category words, as the tables hold no Japanese.
 CATEGORIES = [(0, "articles", w) for w in ("the", "der", "die", "das", "le", "la", "les", "el", "los")] + [
@@ -23,6 +26,9 @@ STOPS = ("the", "and", "of", "la", "de", "die")
 ERA_TEXTS = ("令和元年５月１日", "平成 31 年 4 月 30 日", "昭和64年1月7日", "no date", "自　令和２年２月３０日")
 FILES = ("20240126_a_b_12.json", "20240126_a_b_9.json", "20231201_x.json", "nodate")
 NAMES = ("山田　太郎", "ﾔﾏﾀﾞ", "德田 榮一", "Ａｂｃ")
+#: Letters and the full-width ones that stand for them where rules leave out what has ASCII letters.
+_SMALL = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_WIDE = "".join(chr(ord(x) + 0xFEE0) for x in _SMALL)
 _TOKENS = r"regexp_extract_all(lower(text), '[\p{L}]{2,}')"
 
 
@@ -42,8 +48,13 @@ def _counts(spark, sf, entity="doc_id"):
     return tfidf.term_counts(_tokens(spark, sf, entity), entity)
 
 
+def _settled_counts(spark, sf, entity="doc_id"):
+    """For what reads the counts more than once: texts are split once."""
+    return settled(_counts(spark, sf, entity))
+
+
 def session_tfidf_top30(spark, sf):
-    weights = tfidf.tfidf(_counts(spark, sf), "doc_id", _docs(spark, sf).count(), min_df=2, max_df=0.7, max_features=10_000)
+    weights = tfidf.tfidf(_settled_counts(spark, sf), "doc_id", _docs(spark, sf).count(), min_df=2, max_df=0.7, max_features=10_000)
     return tfidf.ranked(weights, "doc_id", 30).select("doc_id", "rank", "term", F.round("weight", 4).alias("score"), "tf")
 
 
@@ -67,7 +78,7 @@ def speaker_utterance_stats(spark, sf):
 
 
 def _speaker_weights(spark, sf):
-    return tfidf.tfidf(_counts(spark, sf, "source"), "source", _docs(spark, sf).select("source").distinct().count(), min_df=2, max_df=0.6, sublinear=True)
+    return tfidf.tfidf(_settled_counts(spark, sf, "source"), "source", _docs(spark, sf).select("source").distinct().count(), min_df=2, max_df=0.6, sublinear=True)
 
 
 def speaker_tfidf_top200(spark, sf):
@@ -102,7 +113,7 @@ def _scores(spark, sf):
 
 
 def _speaker_weights_all(spark, sf):
-    return tfidf.tfidf(_counts(spark, sf, "source"), "source", _docs(spark, sf).select("source").distinct().count(), min_df=2, max_df=1.0, sublinear=True)
+    return tfidf.tfidf(_settled_counts(spark, sf, "source"), "source", _docs(spark, sf).select("source").distinct().count(), min_df=2, max_df=1.0, sublinear=True)
 
 
 def category_scores(spark, sf):
@@ -118,20 +129,81 @@ def category_lint(spark, sf):
 
 
 def stopword_anti_join(spark, sf):
-    from ..operators.tokens import drop_stop_words
-
     stops = spark.createDataFrame([(w,) for w in STOPS], "term string")
-    return drop_stop_words(_tokens(spark, sf), stops).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_tokens"))
+    return tokens.drop_stop_words(_tokens(spark, sf), stops).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_tokens"))
 
 
 def token_class_filters(spark, sf):
     word = F.explode(F.filter(F.split("text", r"\s+"), lambda x: x != "")).alias("word")
     w, count = F.col("word"), lambda c, name: F.count_if(c).alias(name)
     return _docs(spark, sf).select("source", word).groupBy("source").agg(
-        count(F.length(w) < 2, "short"), count(w.rlike(r"^[0-9０-９\s\-・]+$"), "digits"), count(w.rlike("[a-zA-Z]"), "ascii"), count(w.contains("-"), "hyphen"), count(w.rlike("^[ぁ-ん]+$"), "hiragana"), count(w.rlike("^[ァ-ヴー]+$"), "katakana"), count(F.length(w) > 10, "long_words")
+        count(F.length(w) < 2, "short"), count(tokens.is_number(w), "digits"), count(tokens.has_ascii(w), "ascii"), count(w.contains("-"), "hyphen"), count(tokens.is_hiragana(w), "hiragana"), count(tokens.is_katakana(w), "katakana"), count(F.length(w) > 10, "long_words")
     )
 
 
+def token_filters(spark, sf):
+    """Words as morphemes whose classes follow from their length: what stays under the rules of both profiles."""
+    word = F.explode(F.filter(F.split("text", r"\s+"), lambda x: x != "")).alias("w")
+    kinds = F.array(*map(F.lit, ("普通名詞", "固有名詞", "数詞", "接尾辞", "助数詞相当語")))
+    n = F.length("w")
+    m = F.struct(
+        F.col("w").alias("surface"), F.when(n % 7 > 0, F.translate("w", _SMALL, _WIDE)).alias("lemma"), F.when(n % 11 > 0, tokens.NOUN).otherwise("動詞").alias("pos1"), F.element_at(kinds, n % 5 + 1).alias("pos2"), F.when(n % 3 == 0, tokens.PERSON).alias("pos3")
+    )
+    rules = {"parliament_sessions": PARLIAMENT.session_rules, "parliament_speakers": PARLIAMENT.speaker_rules, "council_sessions": COUNCIL.session_rules, "council_speakers": COUNCIL.with_speaker_stops(STOPS).speaker_rules}
+    return _docs(spark, sf).select("source", word).select("source", m.alias("m")).groupBy("source").agg(*(F.count_if(tokens.keeps(F.col("m"), r)).alias(name) for name, r in rules.items()))
+
+
+def _assembly(spark, sf):
+    """Conversations as meetings of 12 speakers of each role, with texts that the rules of the parliament take."""
+    group, conv = F.when(F.col("turn") > 0, F.concat(F.lit("group"), F.col("conv_id") % 3)), F.col("conv_id") % 12
+    speech = F.struct(F.col("turn"), F.concat("role", conv).alias("speaker"), F.when(F.col("conv_id") % 5 == 0, "委員").alias("speakerRole"), group.alias("speakerGroup"), F.translate("text", _SMALL, _WIDE).alias("speech"))
+    found = _read(spark, sf, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(speech)).alias("speechRecord"))
+    return found.withColumn("file_name", F.concat(F.lit("20240126_"), "conv_id", F.lit(".json")))
+
+
+def _speaker_tables(spark, sf):
+    meetings = _assembly(spark, sf)
+    header = minutes.parliament_header(F.col("conv_id"), F.lit("house"), F.lit("meeting"), F.lit("1"), F.lit("2024-01-26"))
+    sessions = meetings.select(F.lpad(F.col("conv_id").cast("string"), 12, "0").alias("session_seq"), minutes.meeting_text(header, F.col("speechRecord")).alias("text"))
+    categories = _categories(spark).withColumn("word", F.translate("word", _SMALL, _WIDE))
+    return pipelines.speaker_tables(pipelines.corpus_segments(sessions, PARLIAMENT), PARLIAMENT, pipelines.harvested_speakers(meetings, PARLIAMENT), categories)
+
+
+def speakers_meta(spark, sf):
+    return _speaker_tables(spark, sf)[0].drop("first_seg")
+
+
+def tfidf_words(spark, sf):
+    return _speaker_tables(spark, sf)[1]
+
+
+def tfidf_categories(spark, sf):
+    return _speaker_tables(spark, sf)[2].drop("cat_seq")
+
+
+def safe_file_names(spark, sf):
+    return _read(spark, sf, "pages").select("page_id", text.safe_filename(F.col("url")).alias("file_name"))
+
+
+def stripped_texts(spark, sf):
+    return _docs(spark, sf).select("doc_id", F.length(text.strip(F.col("text"))).cast("long").alias("n_chars"), F.size(text.split_lines(F.col("text"), every_kind=True)).cast("long").alias("n_lines"))
+
+
+def to_enrich(spark, sf):
+    """Meetings without any speech; those without an assistant's turn count as unreadable."""
+    some = F.max(F.when(F.col("role") == "assistant", 1)).alias("a")
+    found = _read(spark, sf, "conversations").groupBy("conv_id").agg(some, F.collect_list(F.struct(F.when(F.col("turn") > 1, F.col("text")).alias("speech"))).alias("speechRecord"))
+    return incremental.to_enrich(found.withColumn("bad", F.when(F.col("a").isNull(), "x")), "bad").select("conv_id")
+
+
+def latest_members(spark, sf):
+    """Labels as a member table: the last term's party and all terms of each member."""
+    term = F.struct(F.col("doc_id").cast("int").alias("term"), F.concat(F.lit("p"), "quality").alias("party"), F.concat(F.lit("f"), "toxic").alias("faction"))
+    rows = _read(spark, sf, "labels").withColumn("member", F.floor(F.col("doc_id") / 7)).groupBy("member").agg(F.array_sort(F.collect_list(term)).alias("terms"))
+    table = rows.select(F.array(F.struct(F.concat(F.lit("m"), F.col("member") % 1000).alias("name"), F.col("member").cast("string").alias("kana"), F.lit("x").alias("gender"), "terms")).alias("members")).groupBy().agg(F.flatten(F.array_sort(F.collect_list("members"))).alias("members"))
+    return speakers.members(table).withColumn("terms", F.array_join(F.col("terms").cast("array<string>"), ","))
+
+
 def _meetings(spark, sf):
     """Conversations as meetings: conv_id, speechRecord in the order of turns."""
     speech = F.struct(F.col("turn"), F.when(F.col("role") == "assistant", "").otherwise(F.col("role")).alias("speaker"), F.when(F.col("role") == "user", "議長").alias("speakerRole"), F.col("text").alias("speech"))
@@ -161,8 +233,6 @@ def session_split_loose(spark, sf):
 
 
 def session_split_strict(spark, sf):
-    from ..profiles import PARLIAMENT
-
     placed = minutes.strict_sessions(_lines(spark, sf), ["conv_id"], PARLIAMENT.header)
     return placed.groupBy("conv_id", "session_no").agg(F.max("name").alias("name"), F.count(F.lit(1)).alias("n_lines"))
 
@@ -180,18 +250,17 @@ def incremental_new_sessions(spark, sf):
 
 
 def incremental_new_meetings(spark, sf):
-    events = _read(spark, sf, "events").withColumn("issue", F.expr("event_id div 3"))
-    return incremental.new_rows(events.where("event_type = 'view'").select("issue").distinct(), events.where("event_type = 'error'").select("issue").distinct(), "issue")
+    found = _read(spark, sf, "events").select(F.expr("event_id div 3").alias("issue")).distinct()
+    return incremental.new_rows(found, _read(spark, sf, "labels").select(F.col("doc_id").alias("issue")), "issue")
 
 
 def html_links(spark, sf):
-    found = readers.links(_read(spark, sf, "pages"), suffix="e")
+    found = readers.links(_read(spark, sf, "pages"), suffix="")
     return found.groupBy("page_id", "target", "file_name").agg(F.count(F.lit(1)).alias("n"))
 
 
 def json_props(spark, sf):
-    value = F.from_json("props", "k string")["k"].try_cast("int")
-    return _read(spark, sf, "events").select(value.alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    return _read(spark, sf, "events").select(text.json_int(F.col("props"), "k").alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
 
 
 def has_text_predicate(spark, sf):
@@ -224,13 +293,14 @@ def nfkc_name(spark, sf):
 
 
 def run_counters(spark, sf):
-    return _docs(spark, sf).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.length("text") > 0).alias("ok"), F.count_if(F.coalesce(F.length("text"), F.lit(0)) == 0).alias("skipped"), F.sum(F.length("text")).cast("long").alias("n_chars"))
+    return pipelines.text_counters(_docs(spark, sf), "text")
 
 
 _QUERIES = (
     session_tfidf_top30, session_term_counts, document_frequency, vocabulary_pruned, speaker_utterance_stats, speaker_tfidf_top200, top3_speakers_top5_words, speaker_meta_left_join, member_flag_join, category_scores, category_top5,
     category_lint, stopword_anti_join, token_class_filters, transcript_format, utterance_segments, session_split_loose, session_split_strict, first_value_meta, last_wins_dedup, incremental_new_sessions, incremental_new_meetings,
     html_links, json_props, has_text_predicate, chunk_2000, printable_ratio, era_date_parse, filename_sort_key, nfkc_name, run_counters,
+    speakers_meta, tfidf_words, tfidf_categories, token_filters, safe_file_names, stripped_texts, to_enrich, latest_members,
 )
 
 
@@ -258,6 +328,34 @@ _LINES = _SPEECHES + ", ln AS (SELECT conv_id, unnest(string_split(text, chr(10)
 _SCORES = f"""WITH {_weights("source", "1.0", "", True)}, {_CATS}, e AS (SELECT DISTINCT source FROM documents), c AS (SELECT DISTINCT cat_seq, category FROM cats),
 m AS (SELECT source, cat_seq, word, weight, row_number() OVER (PARTITION BY source, cat_seq ORDER BY round(weight, 10) DESC, word) AS r FROM weights JOIN cats ON term = word)"""
 
+_WIDE_TEXT = f"translate({{}}, '{_SMALL}', '{_WIDE}')"
+_WIDE_CATS = "cats(cat_seq, category, word) AS (VALUES " + ", ".join(f"({a}, '{b}', '{c.translate(str.maketrans(_SMALL, _WIDE))}')" for a, b, c in CATEGORIES) + ")"
+_SPEAKERS = f"""WITH sp AS (SELECT conv_id, turn, role || (conv_id % 12) AS speaker, CASE WHEN conv_id % 5 = 0 THEN '委員' ELSE '' END AS r, CASE WHEN turn > 0 THEN 'group' || (conv_id % 3) END AS grp, trim(coalesce({_WIDE_TEXT.format('text')}, ''), ' ' || chr(9) || chr(10) || chr(13)) AS speech FROM conversations),
+mk AS (SELECT conv_id, turn, CASE WHEN r <> '' THEN '◎' || r || '（' || speaker || '君）' ELSE '◎' || speaker || '君' END AS marker, speech FROM sp),
+tx AS (SELECT conv_id, chr(10) || chr(10) || '==== 第' || conv_id || '回 house meeting 1 2024-01-26 ====' || chr(10) || chr(10) || string_agg(chr(10) || marker || CASE WHEN speech = '' THEN '' ELSE chr(10) || speech END, chr(10) ORDER BY turn) AS text FROM mk GROUP BY conv_id),
+ln AS (SELECT conv_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM tx),
+k AS (SELECT *, starts_with(line, '◎') AND contains(line, '君') AS titled FROM ln WHERE NOT starts_with(line, '◎') OR contains(line, '君')),
+s AS (SELECT *, sum(titled::INT) OVER (ORDER BY conv_id, line_no ROWS UNBOUNDED PRECEDING) AS seg_id FROM k),
+g AS (SELECT seg_id, max(CASE WHEN titled THEN substr(line, 2) END) AS marker, trim(coalesce(string_agg(line, chr(10) ORDER BY conv_id, line_no) FILTER (WHERE NOT titled), ''), ' ' || chr(9) || chr(10) || chr(13)) AS text FROM s WHERE seg_id > 0 GROUP BY seg_id),
+seg AS (SELECT seg_id, CASE WHEN starts_with(marker, '委員（') THEN '委員' END AS role, regexp_extract(marker, '([a-z]+[0-9]+)君', 1) AS speaker_id, text FROM g),
+info AS (SELECT speaker_id, speaker_id AS name, arg_min(role, seg_id) FILTER (WHERE role IS NOT NULL) AS role, count(*) FILTER (WHERE text <> '') AS utterance_count FROM seg GROUP BY speaker_id HAVING count(*) FILTER (WHERE text <> '') >= 10),
+dim AS (SELECT speaker AS speaker_id, arg_min(r, (conv_id, turn)) AS role, arg_min(grp, (conv_id, turn)) FILTER (WHERE grp IS NOT NULL) AS party FROM sp GROUP BY speaker),
+pieces AS (SELECT speaker_id, unnest(list_transform(range((greatest(length(text), 1) + 1999) // 2000), lambda i: substr(text, 2000 * i + 1, 2000))) AS text FROM seg SEMI JOIN info USING (speaker_id)),
+tok AS (SELECT * FROM (SELECT speaker_id, unnest({_TOKENS}) AS term FROM pieces) WHERE NOT regexp_matches(term, '[a-zA-Z]')),
+tf AS (SELECT speaker_id, term, count(*) AS tf FROM tok GROUP BY ALL), n AS (SELECT count(*)::DOUBLE AS n FROM info), df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+raw AS (SELECT speaker_id, term, tf, (1 + ln(tf)) * (ln((1.0 + n) / (1 + df)) + 1) AS raw FROM tf JOIN df USING (term), n WHERE df >= 2 AND df <= 0.6 * n),
+weights AS (SELECT speaker_id, term, tf, raw / sqrt(sum(raw * raw) OVER (PARTITION BY speaker_id)) AS weight FROM raw),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY speaker_id ORDER BY round(weight, 10) DESC, term) AS rank FROM weights),
+about AS (SELECT speaker_id, name, coalesce(nullif(info.role, ''), dim.role, '') AS role, coalesce(party, '') AS party, utterance_count, total_words FROM info LEFT JOIN dim USING (speaker_id) LEFT JOIN (SELECT speaker_id, sum(tf) AS total_words FROM tf GROUP BY speaker_id) USING (speaker_id))"""
+_KEEPS = r"""CASE WHEN length(w) % 11 > 0 AND list_element(['普通名詞', '固有名詞', '数詞', '接尾辞', '助数詞相当語'], length(w) % 5 + 1) NOT IN ({skip}) AND length(b) >= 2 {more}
+AND NOT regexp_matches(b, '^[0-9０-９\s\-・]+$') AND NOT regexp_matches(b, '^[ぁ-ん]+$') AND NOT regexp_matches(b, '[a-zA-Z]') AND NOT contains(b, '-') AND NOT regexp_matches(b, '^[ァ-ヴー]+$') AND b NOT IN {stops} THEN 1 END"""
+_SKIP = "'数詞', '接尾辞', '非自立可能'"
+_TOKEN_FILTERS = rf"""WITH w AS (SELECT source, unnest(list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '')) AS w FROM documents), m AS (SELECT source, w, CASE WHEN length(w) % 7 > 0 THEN {_WIDE_TEXT.format('w')} ELSE w END AS b FROM w)
+SELECT source, count({_KEEPS.format(skip=_SKIP, more="AND length(w) % 3 <> 0 AND length(b) <= 10", stops=PARLIAMENT.session_rules.stop)}) AS parliament_sessions,
+count({_KEEPS.format(skip=_SKIP + ", '助数詞相当語'", more="AND NOT suffix(b, '君')", stops=PARLIAMENT.speaker_rules.stop)}) AS parliament_speakers,
+count({_KEEPS.format(skip=_SKIP, more="AND b NOT IN ('明治', '大正', '昭和', '平成', '令和')", stops=COUNCIL.session_rules.stop)}) AS council_sessions,
+count({_KEEPS.format(skip=_SKIP + ", '助数詞相当語'", more="AND NOT suffix(b, '君')", stops=STOPS)}) AS council_speakers FROM m GROUP BY source"""
+
 _ORACLES = {
     "session_tfidf_top30": f"WITH {_weights('doc_id', '0.7', 'LIMIT 10000', False).replace('count(DISTINCT doc_id)', 'count(*)')} SELECT doc_id, rank, term, round(weight, 4) AS score, tf FROM ranked WHERE rank <= 30",
     "session_term_counts": f"WITH {_TOK} SELECT * FROM tf",
@@ -286,9 +384,9 @@ conv_id, md5(trim(coalesce(text, ''), ' ' || chr(9) || chr(10) || chr(13))) AS d
     "first_value_meta": "SELECT conv_id, arg_min(role, turn) AS raw_name, arg_min(role, turn) FILTER (WHERE turn > 0 AND role <> '') AS role FROM conversations GROUP BY conv_id",
     "last_wins_dedup": "SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value FROM events GROUP BY user_id",
     "incremental_new_sessions": "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
-    "incremental_new_meetings": "SELECT DISTINCT event_id // 3 AS issue FROM events WHERE event_type = 'view' AND event_id // 3 NOT IN (SELECT event_id // 3 FROM events WHERE event_type = 'error')",
-    "html_links": """WITH h AS (SELECT page_id, url, unnest(regexp_extract_all(html, '(?i)<a\\b[^>]*?\\bhref\\s*=\\s*["'']([^"'']*)["'']', 1)) AS href FROM pages), k AS (SELECT * FROM h WHERE suffix(href, 'e')),
-r AS (SELECT page_id, href, regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.\\-]*://[^/?#]*)', 1) AS root, regexp_extract(regexp_replace(url, '[?#].*$', ''), '^([a-zA-Z][a-zA-Z0-9+.\\-]*://.*/)[^/]*$', 1) AS folder, regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.\\-]*:)', 1) AS scheme FROM k)
+    "incremental_new_meetings": "SELECT DISTINCT event_id // 3 AS issue FROM events WHERE event_id // 3 NOT IN (SELECT doc_id FROM labels)",
+    "html_links": """WITH h AS (SELECT page_id, url, unnest(regexp_extract_all(html, '(?i)<a\\b[^>]*?\\bhref\\s*=\\s*["'']([^"'']*)["'']', 1)) AS href FROM pages),
+r AS (SELECT page_id, href, regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.\\-]*://[^/?#]*)', 1) AS root, regexp_extract(regexp_replace(url, '[?#].*$', ''), '^([a-zA-Z][a-zA-Z0-9+.\\-]*://.*/)[^/]*$', 1) AS folder, regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.\\-]*:)', 1) AS scheme FROM h)
 SELECT page_id, CASE WHEN regexp_matches(href, '^[a-zA-Z][a-zA-Z0-9+.\\-]*:') THEN href WHEN starts_with(href, '//') THEN scheme || href WHEN starts_with(href, '/') THEN root || href WHEN length(folder) > length(root) THEN folder || href ELSE root || '/' || href END AS target, list_last(string_split(href, '/')) AS file_name, count(*) AS n FROM r GROUP BY ALL""",
     "json_props": "SELECT try_cast(json_extract_string(props, '$.k') AS INT) AS k, count(*) AS n FROM events GROUP BY 1",
     "has_text_predicate": "SELECT conv_id, bool_or(length(coalesce(text, '')) > 0) AS has_text, count(*) AS n FROM conversations GROUP BY conv_id",
@@ -297,7 +395,19 @@ SELECT page_id, CASE WHEN regexp_matches(href, '^[a-zA-Z][a-zA-Z0-9+.\\-]*:') TH
     "era_date_parse": "WITH v(t) AS (VALUES " + ", ".join(f"('{x}')" for x in ERA_TEXTS) + r"""), h AS (SELECT t, translate(t, '０１２３４５６７８９', '0123456789') AS u FROM v), p AS (SELECT t, regexp_extract(u, '(明治|大正|昭和|平成|令和)\s*(元|\d+)\s*年\s*(\d+)\s*月\s*(\d+)\s*日', ['e', 'y', 'm', 'd']) AS x FROM h)
 SELECT t, CASE WHEN x.e <> '' THEN printf('%04d-%02d-%02d', CASE x.e WHEN '明治' THEN 1868 WHEN '大正' THEN 1912 WHEN '昭和' THEN 1926 WHEN '平成' THEN 1989 ELSE 2019 END + CASE WHEN x.y = '元' THEN 1 ELSE try_cast(x.y AS INT) END - 1, try_cast(x.m AS INT), try_cast(x.d AS INT)) END AS day FROM p""",
     "filename_sort_key": "WITH v(f) AS (VALUES " + ", ".join(f"('{x}')" for x in FILES) + r"), s AS (SELECT f, regexp_replace(f, '\.[^.]*$', '') AS stem FROM v) SELECT f, split_part(stem, '_', 1) AS day, coalesce(try_cast(nullif(regexp_extract(stem, '(\d+)$', 1), '') AS BIGINT), 0) AS number FROM s",
-    "run_counters": "SELECT count(*) AS n, count_if(length(text) > 0)::BIGINT AS ok, count_if(coalesce(length(text), 0) = 0)::BIGINT AS skipped, sum(length(text))::BIGINT AS n_chars FROM documents",
+    "run_counters": "SELECT count(*) AS n, count_if(length(text) > 0)::BIGINT AS ok, count_if(coalesce(length(text), 0) = 0)::BIGINT AS skipped, sum(length(text))::BIGINT AS n_chars, sum(strlen(text))::BIGINT AS n_bytes FROM documents",
+    "speakers_meta": f"{_SPEAKERS} SELECT speaker_id AS id, name, role, party, utterance_count, coalesce(total_words, 0)::BIGINT AS total_words FROM about",
+    "tfidf_words": f"{_SPEAKERS} SELECT speaker_id, name, role, party, utterance_count, term AS word, round(weight, 6) AS tfidf, tf AS count, rank FROM ranked JOIN about USING (speaker_id) WHERE rank <= 200",
+    "tfidf_categories": f"""{_SPEAKERS}, {_WIDE_CATS}, c AS (SELECT DISTINCT cat_seq, category FROM cats),
+m AS (SELECT speaker_id, cat_seq, word, weight, row_number() OVER (PARTITION BY speaker_id, cat_seq ORDER BY round(weight, 10) DESC, word) AS r FROM weights JOIN cats ON term = word)
+SELECT speaker_id, any_value(name) AS name, any_value(role) AS role, any_value(party) AS party, any_value(utterance_count) AS utterance_count, category, round(coalesce(sum(weight), 0.0), 6) AS score, count(word) AS word_count, coalesce(string_agg(word, ',' ORDER BY r) FILTER (WHERE r <= 5), '') AS top_words
+FROM about CROSS JOIN c LEFT JOIN m USING (speaker_id, cat_seq) GROUP BY speaker_id, cat_seq, category""",
+    "token_filters": _TOKEN_FILTERS,
+    "safe_file_names": r"""SELECT page_id, trim(regexp_replace(url, '[\\/:*?"<>|]', '_', 'g')) AS file_name FROM pages""",
+    "stripped_texts": r"SELECT doc_id, length(regexp_replace(regexp_replace(text, '^[\s\x0B\x1C-\x1F\x{85}\p{Z}]+', ''), '[\s\x0B\x1C-\x1F\x{85}\p{Z}]+$', ''))::BIGINT AS n_chars, len(regexp_split_to_array(text, '\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]'))::BIGINT AS n_lines FROM documents WHERE text IS NOT NULL",
+    "to_enrich": "SELECT conv_id FROM conversations GROUP BY conv_id HAVING count(*) FILTER (WHERE turn > 1 AND length(text) > 0) = 0 OR count(*) FILTER (WHERE role = 'assistant') = 0",
+    "latest_members": """WITH t AS (SELECT doc_id // 7 AS member, string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id) AS terms, arg_max('p' || quality, doc_id) AS party, arg_max('f' || toxic, doc_id) AS faction FROM labels GROUP BY 1)
+SELECT 'm' || (member % 1000) AS name, arg_max(member::VARCHAR, member::VARCHAR) AS kana, 'x' AS gender, arg_max(party, member::VARCHAR) AS party, arg_max(faction, member::VARCHAR) AS faction, arg_max(terms, member::VARCHAR) AS terms FROM t GROUP BY 1""",
 }
 
 

@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import front_matter
-from ..functions.text import folded_name, nfkc
+from ..functions.text import chunks, folded_name, nfkc
 from ..operators import minutes, speakers, tfidf, tokens
 from ..profiles import Profile
-from ..sources.readers import readable, sort_key
+from ..sources import sinks
+from ..sources.readers import body_lines, readable, sort_key
+from ..staging import settled
 
 
 def parliament_sessions(meetings: DataFrame) -> DataFrame:
@@ -27,30 +29,107 @@ def council_sessions(documents: DataFrame) -> DataFrame:
 
 
 def session_features(sessions: DataFrame, profile: Profile, tokenizer=tokens.letter_runs) -> DataFrame:
-    """session_seq, term, tf, df, weight, rank."""
+    """session_seq, term, tf, df, weight, count, rank."""
     body = tokens.without_front_matter(F.col("text")) if profile.strip_markers else F.col("text")
     found = tokens.token_table(sessions.withColumn("body", body), "session_seq", "body", profile.session_rules, tokenizer)
-    tf = tfidf.term_counts(found, "session_seq").persist()
     low, high = profile.session_df
-    return tfidf.ranked(tfidf.tfidf(tf, "session_seq", sessions.count(), min_df=low, max_df=high, max_features=profile.max_features), "session_seq", profile.top_session_terms)
+    weights = tfidf.tfidf(settled(tfidf.term_counts(found, "session_seq")), "session_seq", sessions.count(), min_df=low, max_df=high, max_features=profile.max_features)
+    return tfidf.ranked(weights, "session_seq", profile.top_session_terms)
+
+
+def first_session_terms(features: DataFrame, sessions: DataFrame, n: int = 10) -> DataFrame:
+    """The first session's n best terms, as a look at the result."""
+    first = sessions.agg(F.min("session_seq").alias("session_seq"))
+    return features.where(F.col("rank") <= n).join(F.broadcast(first), "session_seq", "left_semi").orderBy("rank")
+
+
+def corpus_size(sessions: DataFrame) -> DataFrame:
+    """n_sessions, n_chars, n_bytes, n_empty of a corpus."""
+    return text_counters(sessions, "text").select(F.col("n").alias("n_sessions"), "n_chars", "n_bytes", F.col("skipped").alias("n_empty"))
+
+
+def text_counters(rows: DataFrame, text: str) -> DataFrame:
+    """n, ok (with text), skipped (without), n_chars, n_bytes: the counters of a run."""
+    long = F.length(text) > 0
+    return rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(long).alias("ok"), F.count_if(~F.coalesce(long, F.lit(False))).alias("skipped"), F.sum(F.length(text)).cast("long").alias("n_chars"), F.sum(F.octet_length(text)).cast("long").alias("n_bytes"))
+
+
+def corpus_segments(sessions: DataFrame, profile: Profile) -> DataFrame:
+    """Utterances with speaker_id of sessions (session_seq, text) in the order of session_seq, of whatever type it is."""
+    return settled(named_segments(minutes.utterances(body_lines(sessions, "session_seq", "text"), "session_seq"), profile))
+
+
+def normalised(names: DataFrame, name: str, profile: Profile) -> DataFrame:
+    """name and speaker_id of the distinct names: each is normalised once."""
+    return names.select(name).where(F.col(name).isNotNull()).distinct().withColumn("speaker_id", folded_name(nfkc(name), profile.fold_variants))
 
 
 def named_segments(segments: DataFrame, profile: Profile) -> DataFrame:
-    """segments with speaker_id: names are normalised once each; segments of an empty name go."""
-    names = segments.select("name").distinct().withColumn("speaker_id", folded_name(nfkc("name"), profile.fold_variants))
-    return segments.join(names, "name").where(F.length("speaker_id") > 0)
+    """segments with speaker_id; segments of an empty name go."""
+    return segments.join(normalised(segments, "name", profile), "name").where(F.length("speaker_id") > 0)
+
+
+def harvested_speakers(meetings: DataFrame, profile: Profile) -> DataFrame:
+    """speaker_id, role, party from the meetings' speeches (file_name, speechRecord) in the order of the files."""
+    key = sort_key(F.col("file_name"))
+    speeches = meetings.select(key["day"].alias("day"), key["number"].alias("number"), "file_name", F.posexplode("speechRecord").alias("i", "s"))
+    speeches = speeches.select("s.speaker", "s.speakerRole", "s.speakerGroup", F.struct("day", "number", "file_name", "i").alias("at"))
+    named = speeches.join(normalised(speeches, "speaker", profile), "speaker").where(F.length("speaker_id") > 0)
+    return speakers.harvested(named, "speaker_id", "at", "speakerRole", "speakerGroup")
+
+
+def member_dimension(profiles: DataFrame, profile: Profile) -> DataFrame:
+    """speaker_id and the profile of each member; of names that are equal when normalised, the last one's."""
+    flat = speakers.members(profiles, keep_order=True)
+    return speakers.last_wins(flat.join(normalised(flat, "name", profile), "name"), "speaker_id", "seq").drop("seq")
 
 
 def speaker_analysis(segments: DataFrame, profile: Profile, categories: DataFrame | None = None, tokenizer=tokens.letter_runs) -> tuple[DataFrame, DataFrame, DataFrame | None]:
-    """(speakers, ranked words, category scores); counting comes before tokenising."""
-    counts = speakers.utterance_counts(segments).persist()
+    """(speakers, ranked words, category scores); counting comes before tokenising, which takes texts in slices of 2,000."""
+    counts = speakers.utterance_counts(segments)
     kept = counts.where(F.col("utterance_count") >= profile.min_utterances)
-    found = tokens.token_table(speakers.active(segments, counts, profile.min_utterances), "speaker_id", "text", profile.speaker_rules, tokenizer)
-    tf = tfidf.term_counts(found, "speaker_id").persist()
+    some = speakers.active(segments, counts, profile.min_utterances).select("speaker_id", F.explode(chunks(F.col("text"))).alias("text"))
+    found = tokens.token_table(some, "speaker_id", "text", profile.speaker_rules, tokenizer)
+    tf = settled(tfidf.term_counts(found, "speaker_id"))
     low, high = profile.speaker_df
-    weights = tfidf.tfidf(tf, "speaker_id", kept.count(), min_df=low, max_df=high, sublinear=True).persist()
+    weights = tfidf.tfidf(tf, "speaker_id", kept.count(), min_df=low, max_df=high, sublinear=True)
     totals = tf.groupBy("speaker_id").agg(F.sum("tf").alias("total_words"))
     info = speakers.first_values(segments, "speaker_id", "seg_id")
     meta = kept.join(info, "speaker_id").join(totals, "speaker_id", "left").fillna(0, ["total_words"]).withColumn("is_pseudo", F.col("speaker_id").isin("会議録情報", "(発言者不明君)"))
     scores = speakers.category_scores(weights, kept, categories, "speaker_id") if categories is not None else None
     return meta, tfidf.ranked(weights, "speaker_id", profile.top_speaker_terms), scores
+
+
+PARLIAMENT_INFO = ("name", "role", "party")
+COUNCIL_INFO = ("name", "role", "gender", "party", "faction", "terms")
+
+
+def speaker_tables(segments: DataFrame, profile: Profile, dim: DataFrame, categories: DataFrame, tokenizer=tokens.letter_runs) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(speakers_meta, tfidf_words, tfidf_categories) with their columns in order.
+
+    dim: harvested_speakers for a profile without members, member_dimension for one with (`terms` in it decides).  speakers_meta
+    has the further column first_seg, by which speakers with equally many utterances are put in order.
+    """
+    meta, words, scores = speaker_analysis(segments, profile, categories, tokenizer)
+    meta = settled(meta)
+    base = meta.select("speaker_id", F.col("raw_name").alias("name"), F.coalesce("role", F.lit("")).alias("role"), "utterance_count", "total_words", "first_seg")
+    if "terms" in dim.columns:
+        about, info = speakers.with_members(base, dim, key="speaker_id"), COUNCIL_INFO
+        columns = ("name", "kana", "gender", "party", "faction", "terms", "role", "in_member_json")
+    else:
+        about, info, columns = speakers.with_harvest(base, dim), PARLIAMENT_INFO, PARLIAMENT_INFO
+    speakers_meta = about.select(F.col("speaker_id").alias("id"), *columns, "utterance_count", "total_words", "first_seg")
+    carried = about.select("speaker_id", *info, "utterance_count")
+    joined = lambda rows, *rest: rows.join(carried, "speaker_id").select("speaker_id", *info, "utterance_count", *rest)
+    tfidf_words = joined(words.select("speaker_id", F.col("term").alias("word"), F.round("weight", 6).alias("tfidf"), "count", "rank"), "word", "tfidf", "count", "rank")
+    tfidf_categories = joined(scores.select("speaker_id", "cat_seq", "category", F.round("score", 6).alias("score"), "word_count", "top_words"), "category", "score", "word_count", "top_words", "cat_seq")
+    return speakers_meta, tfidf_words, tfidf_categories
+
+
+def export_speaker_tables(tables: tuple[DataFrame, DataFrame, DataFrame], folder: str) -> None:
+    """speakers_meta as JSON by utterances, the other two as CSV by speaker and rank or category."""
+    meta, words, scores = tables
+    sinks.ordered_json(meta.withColumn("_by", -F.col("utterance_count")), f"{folder}/speakers_meta", "_by", "first_seg", drop=("_by", "first_seg"))
+    place = meta.select(F.col("id").alias("speaker_id"), "first_seg")
+    sinks.ordered_csv(words.join(place, "speaker_id"), f"{folder}/tfidf_words", "first_seg", "rank", drop=("first_seg",))
+    sinks.ordered_csv(scores.join(place, "speaker_id"), f"{folder}/tfidf_categories", "first_seg", "cat_seq", drop=("first_seg", "cat_seq"))

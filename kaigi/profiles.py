@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from pathlib import Path
 
 # Stop words and category names.  Lists over about 200 entries (the council's stop words for speakers, all
@@ -52,9 +52,9 @@ def categories_from(path: str) -> list[tuple[int, str, str]]:
 
 @dataclass(frozen=True)
 class TokenRules:
-    """Which tokens stay; stop: words that go."""
+    """Which tokens stay; stop: words that go, None where they have yet to be given."""
 
-    stop: tuple[str, ...] = ()
+    stop: tuple[str, ...] | None = ()
     max_length: int | None = None
     drop_persons: bool = False
     drop_counters: bool = False
@@ -67,7 +67,6 @@ class TokenRules:
 @dataclass(frozen=True)
 class Profile:
     name: str
-    corpus_file: str
     header: str
     min_utterances: int
     fold_variants: bool
@@ -83,12 +82,16 @@ class Profile:
     session_df: tuple[int, float] = (2, 0.7)
     speaker_df: tuple[int, float] = (2, 0.6)
 
+    def with_speaker_stops(self, words: list[str] | tuple[str, ...]) -> Profile:
+        """The profile with stop words for speakers; the council's has none until they are given."""
+        return replace(self, speaker_rules=replace(self.speaker_rules, stop=tuple(words)))
+
 
 PARLIAMENT = Profile(
-    "parliament", "kokkai_all.txt", r"^==== (.+?) \d{4}-\d{2}-\d{2} ====$", 10, False, True, tuple(PARLIAMENT_CATEGORIES),
+    "parliament", r"^==== (.+?) \d{4}-\d{2}-\d{2} ====$", 10, False, True, tuple(PARLIAMENT_CATEGORIES),
     TokenRules(tuple(PARLIAMENT_SESSION_STOPS), max_length=10, drop_persons=True, katakana="proper"), TokenRules(tuple(PARLIAMENT_SPEAKER_STOPS), drop_counters=True, drop_title=True), "_",
 )
 COUNCIL = Profile(
-    "council", "gijiroku_all.txt", r"^==== (.+?) \d{4}-\d{2}-\d{2}(?:〜\d{4}-\d{2}-\d{2})? ====$", 50, True, False, tuple(COUNCIL_CATEGORIES),
-    TokenRules(tuple(COUNCIL_SESSION_STOPS), drop_eras=True), TokenRules(tuple(PARLIAMENT_SPEAKER_STOPS), drop_counters=True, drop_title=True), "",
+    "council", r"^==== (.+?) \d{4}-\d{2}-\d{2}(?:〜\d{4}-\d{2}-\d{2})? ====$", 50, True, False, tuple(COUNCIL_CATEGORIES),
+    TokenRules(tuple(COUNCIL_SESSION_STOPS), drop_eras=True), TokenRules(None, drop_counters=True, drop_title=True), "",
 )

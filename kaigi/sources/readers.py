@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import json
+import re
 import time
+import urllib.parse
+import urllib.request
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -106,14 +109,15 @@ def readable(documents: DataFrame) -> DataFrame:
 
 
 class MeetingApi(DataSource):
-    """Paginated meeting lists as `spark.read.format("meeting_api").option("fetch", "package.module:function")`.
+    """Paginated meeting lists as `spark.read.format("meeting_api").option("base", "https://host/api")`.
 
-    fetch(query: dict) returns one page as a dict with meetingRecord, numberOfRecords and nextRecordPosition.  Options:
+    Pages come from base/meeting_list, or from option fetch, "package.module:function", a function that takes the query as a dict
+    and returns one page as a dict with meetingRecord, numberOfRecords and nextRecordPosition.  Options:
     session, house, meeting, from, until, speaker, any (one at least; empty ones and session 0 are not sent), pause (seconds).
     A failing page ends the scan: what came before it is returned.
     """
 
-    FILTERS = {"session": "sessionFrom", "house": "nameOfHouse", "meeting": "nameOfMeeting", "from": "from", "until": "until", "speaker": "speaker", "any": "any"}
+    FILTERS = {"session": "session", "house": "nameOfHouse", "meeting": "nameOfMeeting", "from": "from", "until": "until", "speaker": "speaker", "any": "any"}
 
     @classmethod
     def name(cls) -> str:
@@ -134,15 +138,20 @@ class _MeetingReader(DataSourceReader):
         self.query = {send: options[k] for k, send in MeetingApi.FILTERS.items() if options.get(k) and not (k == "session" and options[k] == "0")}
         if not self.query:
             raise ValueError("a search condition is needed")
+        if "fetch" not in options and "base" not in options:
+            raise ValueError("option base or fetch is needed")
 
     def partitions(self) -> list[InputPartition]:
         return [InputPartition(0)]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        import importlib
+        if "fetch" in self.options:
+            import importlib
 
-        module, _, function = self.options["fetch"].partition(":")
-        fetch = getattr(importlib.import_module(module), function)
+            module, _, function = self.options["fetch"].partition(":")
+            fetch = getattr(importlib.import_module(module), function)
+        else:
+            fetch = lambda query: get_json(f"{self.options['base'].rstrip('/')}/meeting_list", query)
         at, seen = 1, 0
         while at:
             try:
@@ -162,8 +171,31 @@ def parsed_meetings(records: DataFrame) -> DataFrame:
     return records.select(F.from_json("record", MEETING).alias("m")).select("m.*")
 
 
-def full_meetings(targets: DataFrame, fetch: Callable[[str], dict | None]) -> DataFrame:
-    """The full records of the targets' issueID, one lookup each; failures have no row."""
+def get_bytes(url: str, timeout: float = 30) -> tuple[bytes, str | None]:
+    """What the address holds, and the character set that the answer names.  Failures are OSError."""
+    with urllib.request.urlopen(url, timeout=timeout) as answer:  # noqa: S310
+        return answer.read(), answer.headers.get_content_charset()
+
+
+def get_json(url: str, query: dict, timeout: float = 30) -> dict:
+    """A JSON answer; failures are OSError, other content ValueError."""
+    return json.loads(get_bytes(f"{url}?{urllib.parse.urlencode(query)}", timeout)[0])
+
+
+def meeting_by_id(base: str) -> Callable[[str], dict | None]:
+    """A lookup for full_meetings."""
+
+    def fetch(issue: str) -> dict | None:
+        found = get_json(f"{base.rstrip('/')}/meeting", {"issueID": issue, "recordPacking": "json"}).get("meetingRecord", [])
+        return found[0] if found else None
+
+    return fetch
+
+
+def full_meetings(targets: DataFrame, fetch: Callable[[str], dict | None], pause: float = 0.5) -> DataFrame:
+    """The full records of the targets' issueID, one lookup each, with a pause after each; failures have no row.
+
+    One task does all lookups, so that the pause holds for the service as a whole."""
 
     def looked_up(batches):
         for batch in batches:
@@ -175,6 +207,62 @@ def full_meetings(targets: DataFrame, fetch: Callable[[str], dict | None]) -> Da
                     record = None
                 if record:
                     found.append((issue, json.dumps(record, ensure_ascii=False)))
+                time.sleep(pause)
             yield pd.DataFrame(found, columns=["issueID", "record"])
 
-    return parsed_meetings(targets.select("issueID").mapInPandas(looked_up, "issueID string, record string"))
+    return parsed_meetings(targets.select("issueID").coalesce(1).mapInPandas(looked_up, "issueID string, record string"))
+
+
+#: Tried in this order where a page names no character set.
+CHARSETS = ("utf-8", "cp932", "euc_jp")
+
+
+def decoded(content: bytes, charset: str | None) -> str:
+    """The text of a page: by the answer's character set, the one that the page names, or the first that fits."""
+    named = re.search(rb"""<meta[^>]{0,200}?charset\s{0,9}=\s{0,9}["']?([\w\-]{1,40})""", content[:4096], re.I)
+    for name in (charset, named and named[1].decode("ascii"), *CHARSETS):
+        try:
+            if name:
+                return content.decode(name)
+        except (LookupError, UnicodeDecodeError):
+            continue
+    return content.decode("utf-8", "replace")
+
+
+def fetched_pages(urls: DataFrame, url: str = "url", fetch: Callable[[str], tuple[bytes, str | None]] = get_bytes) -> DataFrame:
+    """url, html of every address that answers."""
+
+    def got(batches):
+        for batch in batches:
+            found = []
+            for address in batch[url]:
+                try:
+                    found.append((address, decoded(*fetch(address))))
+                except (OSError, ValueError):
+                    continue
+            yield pd.DataFrame(found, columns=["url", "html"])
+
+    return urls.select(url).coalesce(1).mapInPandas(got, "url string, html string")
+
+
+def downloaded(found: DataFrame, fetch: Callable[[str], tuple[bytes, str | None]] = get_bytes, pause: float = 1.0) -> DataFrame:
+    """file_name, target, content of links whose target answers, with a pause after each; sinks.save_files keeps them."""
+
+    def got(batches):
+        for batch in batches:
+            rows = []
+            for name, target in zip(batch.file_name, batch.target, strict=True):
+                try:
+                    rows.append((name, target, fetch(target)[0]))
+                except (OSError, ValueError):
+                    continue
+                time.sleep(pause)
+            yield pd.DataFrame(rows, columns=["file_name", "target", "content"])
+
+    return found.select("file_name", "target").coalesce(1).mapInPandas(got, "file_name string, target string, content binary")
+
+
+def session_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """path, file_name, text of the session files, by path."""
+    files = spark.read.text(require(spark, folder), wholetext=True)
+    return files.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("text")).orderBy("path")

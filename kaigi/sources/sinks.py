@@ -2,23 +2,55 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
 from typing import Protocol
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import safe_filename, strip
+from ..operators.minutes import file_name
+from .readers import require
 
 
 def meeting_file(meeting: DataFrame) -> Column:
     """YYYYMMDD_house_meeting_issue_issueID.json of each meeting."""
     part = lambda c: safe_filename(F.coalesce(F.col(c), F.lit("")))
-    return F.concat(F.concat_ws("_", F.replace(F.coalesce(F.col("date"), F.lit("0000-00-00")), F.lit("-"), F.lit("")), part("nameOfHouse"), part("nameOfMeeting"), part("issue"), part("issueID")), F.lit(".json"))
+    return F.concat(F.concat_ws("_", F.replace(F.coalesce(F.col("date"), F.lit("00000000")), F.lit("-"), F.lit("")), part("nameOfHouse"), part("nameOfMeeting"), part("issue"), part("issueID")), F.lit(".json"))
 
 
 def save_meetings(meetings: DataFrame, path: str) -> None:
-    meetings.withColumn("file_name", meeting_file(meetings)).write.mode("append").partitionBy("date").json(path)
+    """Appends the whole records, with the name that each one's file would have in file_name, as JSON lines: one table, whose
+    files follow the partitions and not the meetings."""
+    meetings.withColumn("file_name", meeting_file(meetings)).write.mode("append").json(path)
+
+
+def meeting_files(meetings: DataFrame, folder: str) -> int:
+    """One JSON file for each meeting, named by meeting_file, as save_files writes them."""
+    record = F.to_json(F.struct(*(c for c in meetings.columns if c not in ("file_name", "_corrupt"))), {"ignoreNullFields": "false"})
+    return save_files(meetings.select(meeting_file(meetings).alias("file_name"), record.cast("binary").alias("content")), folder)
+
+
+def save_files(rows: DataFrame, folder: str) -> int:
+    """Writes each row's content (binary) as folder/file_name, from the tasks, and returns the number of files.
+
+    The folder must be the same on all machines, such as a mount.  Each file appears whole or not at all, so a task that runs
+    again does no harm; of equal names one stays."""
+
+    def written(batches):
+        os.makedirs(folder, exist_ok=True)
+        for batch in batches:
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                with tempfile.NamedTemporaryFile(dir=folder, prefix=".part-", delete=False) as out:
+                    out.write(content or b"")
+                os.chmod(out.name, 0o644)
+                os.replace(out.name, os.path.join(folder, os.path.basename(name)))
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    return rows.select("file_name", "content").mapInArrow(written, "n long").agg(F.sum("n")).first()[0] or 0
 
 
 def features_json(ranked: DataFrame, label: str, path: str) -> None:
@@ -28,25 +60,40 @@ def features_json(ranked: DataFrame, label: str, path: str) -> None:
     ranked.groupBy(label).agg(items.alias("items")).coalesce(1).write.mode("overwrite").json(path)
 
 
-def ordered_json(rows: DataFrame, path: str, *order) -> None:
-    rows.coalesce(1).sortWithinPartitions(*order).write.mode("overwrite").json(path)
+def ordered_json(rows: DataFrame, path: str, *order, drop: tuple[str, ...] = ()) -> None:
+    rows.coalesce(1).sortWithinPartitions(*order).drop(*drop).write.mode("overwrite").json(path)
 
 
-def ordered_csv(rows: DataFrame, path: str, *order) -> None:
-    flat = [F.array_join(F.col(c).cast("array<string>"), ",").alias(c) if t.startswith("array") else F.col(c) for c, t in rows.dtypes]
+def ordered_csv(rows: DataFrame, path: str, *order, drop: tuple[str, ...] = ()) -> None:
+    flat = [F.array_join(F.col(c).cast("array<string>"), ",").alias(c) if t.startswith("array") else F.col(c) for c, t in rows.dtypes if c not in drop]
     rows.coalesce(1).sortWithinPartitions(*order).select(*flat).write.mode("overwrite").option("header", True).csv(path)
 
 
-def session_files(sessions: DataFrame, path: str, name: str = "session_name", order: str = "session_seq") -> None:
-    """A folder session_name=... with the text of each session; of equal names the last."""
+def last_sessions(sessions: DataFrame, name: str = "session_name", order: str = "session_seq") -> DataFrame:
+    """name, text of the sessions with text: stripped, with a line end; of equal names the last."""
     last = sessions.groupBy(name).agg(F.max_by("text", order).alias("text"))
-    last.select(name, F.concat(strip(F.col("text")), F.lit("\n")).alias("value")).write.mode("overwrite").partitionBy(name).text(path)
+    return last.where(F.length(strip(F.col("text"))) > 0).select(name, F.concat(strip(F.col("text")), F.lit("\n")).alias("text"))
+
+
+def session_files(sessions: DataFrame, folder: str, space: str = "_", name: str = "session_name", order: str = "session_seq") -> int:
+    """One text file for each session, named by minutes.file_name, as save_files writes them."""
+    last = last_sessions(sessions, name, order)
+    return save_files(last.select(file_name(safe_filename(F.col(name)), space).alias("file_name"), F.col("text").cast("binary").alias("content")), folder)
+
+
+def corpus_text(sessions: DataFrame, path: str, order: str = "session_seq") -> None:
+    """The concatenated corpus: texts by `order`, in part files that make it up one after the other."""
+    sessions.orderBy(order).select("text").write.mode("overwrite").text(path)
 
 
 class RetrievalSink(Protocol):
-    """Where sessions are sent for retrieval: returns the file ids of (session_name, text) rows."""
+    """Where texts are sent for retrieval."""
+
+    def create(self, name: str) -> str:
+        """A new store; its id."""
 
-    def send(self, rows: DataFrame) -> DataFrame: ...
+    def send(self, rows: DataFrame) -> DataFrame:
+        """The file ids of (session_name, text) rows."""
 
 
 class ManifestSink:
@@ -55,6 +102,9 @@ class ManifestSink:
     def __init__(self, path: str, granularity: str = "session"):
         self.path, self.granularity = path, granularity
 
+    def create(self, name: str) -> str:
+        return new_store_id()
+
     def send(self, rows: DataFrame) -> DataFrame:
         made = rows.select("session_name", F.sha2(F.concat_ws("\n", "session_name", "text"), 256).alias("file_id"), F.length("text").alias("n_chars"), F.lit(self.granularity).alias("granularity"))
         made.write.mode("append").parquet(self.path)
@@ -63,3 +113,28 @@ class ManifestSink:
 
 def new_store_id() -> str:
     return f"store-{uuid.uuid4().hex}"
+
+
+def send_corpus(spark: SparkSession, sessions: DataFrame, sink: RetrievalSink, name: str, id_path: str) -> str:
+    """Makes a store, sends the whole corpus and writes the store's id to id_path; the id."""
+    store = sink.create(name)
+    sink.send(sessions.select(F.col("label").alias("session_name"), "text"))
+    spark.createDataFrame([(store,)], "value string").coalesce(1).write.mode("overwrite").text(id_path)
+    return store
+
+
+def store_id(spark: SparkSession, given: str | None, id_path: str) -> str:
+    """The store to use: the one given, else the one written by send_corpus, else a ValueError."""
+    if given and given.strip():
+        return given.strip()
+    try:
+        rows = spark.read.text(require(spark, id_path)).collect()
+    except FileNotFoundError:
+        raise ValueError(f"no store is given and there is none in {id_path}") from None
+    return rows[0].value.strip()
+
+
+def retrieval_filter(log: DataFrame, session_name: str) -> dict | None:
+    """What limits a retrieval to one session; None if it was never sent."""
+    found = log.where(F.col("session_name") == session_name).select("file_id").limit(1).collect()
+    return {"type": "eq", "key": "file_id", "value": found[0].file_id} if found else None

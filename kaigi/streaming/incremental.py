@@ -11,20 +11,27 @@ from ..sources.sinks import RetrievalSink
 
 
 def landed_meetings(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
-    """A stream of meeting files, each meeting once as long as its issueID is in the state of the last 7 days of arrival."""
+    """A stream of meeting files, each meeting once and never again: the state holds the issueID of every meeting so far."""
     raw = spark.readStream.schema(MEETING).option("multiLine", True).option("maxFilesPerTrigger", files_per_batch).json(folder)
-    return raw.withColumn("arrived", F.current_timestamp()).withWatermark("arrived", "7 days").dropDuplicatesWithinWatermark(["issueID"])
-
-
-def send_batch(sessions: DataFrame, log_path: str, sink: RetrievalSink) -> int:
-    """Sends sessions (session_name, text) that the log lacks and adds them to it; the number sent.  Running again is a no-op."""
-    spark = sessions.sparkSession
-    ids = sink.send(new_rows(sessions, upload_log(spark, log_path), "session_name")).cache()
-    n = ids.count()
-    if n:
-        ids.select(*(x.split()[0] for x in UPLOADS.split(", "))).write.mode("append").parquet(log_path)
-    ids.unpersist()
-    return n
+    return raw.dropDuplicates(["issueID"])
+
+
+def send_batch(sessions: DataFrame, log_path: str, sink: RetrievalSink, at_once: int | None = None) -> int:
+    """Sends sessions (session_name, text) that the log lacks and adds them to it; the number sent.  Running again is a no-op.
+
+    at_once: so many sessions are sent, by name, before the log is written; what follows a failure is all that is sent again.
+    1 writes the log after each session."""
+    spark, total = sessions.sparkSession, 0
+    while True:
+        new = new_rows(sessions, upload_log(spark, log_path), "session_name")
+        ids = sink.send(new.orderBy("session_name").limit(at_once) if at_once else new).cache()
+        n = ids.count()
+        if n:
+            ids.select(*(x.split()[0] for x in UPLOADS.split(", "))).write.mode("append").parquet(log_path)
+        ids.unpersist()
+        total += n
+        if not at_once or n < at_once:
+            return total
 
 
 def send_stream(sessions: DataFrame, log_path: str, sink: RetrievalSink, checkpoint: str):
