@@ -24,6 +24,14 @@ from .exchange import settled
 from .quality import words_of
 
 LEVELS = ("domain", "lang", "source")
+#: What the query and the pipeline use: weights of domains and languages, share of all tokens, epochs at most, and seed.
+WEIGHTS = {"domain": {"d4": 1, "d5": 2}, "lang": {"en": 4, "de": 2, "fr": 2, "es": 1}}
+SHARE, EPOCHS, ORDER_SEED = (6, 10), 3, 17
+
+
+def domain_of(docs: DataFrame) -> Column:
+    """Stands for the domain, which the tables don't have: sources by the length of their name."""
+    return F.concat(F.lit("d"), F.length(docs["source"]).cast("string"))
 
 
 def _named(c: Column) -> Column:
@@ -77,6 +85,11 @@ def budgets(leaves: DataFrame, weights: dict[str, dict[str, int]], total: int, m
     return down.select(*LEVELS, F.col("tokens").cast("long").alias("tokens"), F.col("budget").cast("long").alias("budget"))
 
 
+def cut(text: Column, tokens: Column) -> Column:
+    """The first `tokens` words of a text, joined by one space."""
+    return F.array_join(F.slice(words_of(text), F.lit(1), tokens.cast("int")), " ")
+
+
 def order_key(seed: int, epoch: Column) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), epoch.cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
 

@@ -9,16 +9,9 @@ from pyspark.sql import functions as F
 
 from . import decontaminate, jaccard_join, language_id, line_dedup, mixing, quality, secrets, substring_dedup, surrogates, url_filter
 
-#: The weights of op3: of domains (here: sources by the length of their name, as the tables have no domains) and languages.
-MIX_WEIGHTS = {"domain": {"d4": 1, "d5": 2}, "lang": {"en": 4, "de": 2, "fr": 2, "es": 1}}
-MIX_SHARE, MIX_EPOCHS, MIX_SEED = (6, 10), 3, 17
 PII_KEY = "a key kept outside the repository in production"
 
 
-def domain_of(docs: DataFrame) -> F.Column:
-    return F.concat(F.lit("d"), F.length("source").cast("string"))
-
-
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -51,7 +44,7 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
-    return mixing.mix(docs, domain_of(docs), MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED).drop("row")
+    return mixing.mix(docs, mixing.domain_of(docs), mixing.WEIGHTS, mixing.SHARE, mixing.EPOCHS, mixing.ORDER_SEED).drop("row")
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
