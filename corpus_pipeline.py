@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kaigi.llm import decontaminate, jaccard_join, line_dedup, mixing, quality, queries
+from kaigi.llm import decontaminate, jaccard_join, line_dedup, mixing, quality
 from kaigi.llm.exchange import settled
 
 
@@ -38,14 +38,17 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row for each time that a document is taken: its columns and epoch, n_tokens and n_taken."""
-    taken = mixing.mix(docs, queries.domain_of(docs), queries.MIX_WEIGHTS, queries.MIX_SHARE, queries.MIX_EPOCHS, queries.MIX_SEED)
+    """One row for each time that a document is taken: its columns and epoch, n_tokens and n_taken.  Where a leaf's prefix ends
+    inside a document, its text is cut to the n_taken words."""
+    taken = mixing.mix(docs, mixing.domain_of(docs), mixing.WEIGHTS, mixing.SHARE, mixing.EPOCHS, mixing.ORDER_SEED)
     # equal rows are taken each for itself, so each is met by one row of the plan only
     taken = taken.groupBy("doc_id", "row", "epoch", "tokens").agg(F.max("n_taken").alias("n_taken"))
     name = line_dedup.free_name(docs, "mix")
     plan = taken.select(F.col("doc_id").alias(f"{name}_id"), F.col("row").alias(f"{name}_row"), F.struct("epoch", F.col("tokens").alias("n_tokens"), "n_taken").alias(name))
     joined = docs.join(plan, docs["doc_id"].eqNullSafe(plan[f"{name}_id"]) & (F.xxhash64(docs["text"]) == plan[f"{name}_row"]))
-    return joined.select(*(F.col(f"`{c}`") for c in docs.columns), *(F.col(f"{name}.{c}").alias(line_dedup.free_name(docs, c)) for c in ("epoch", "n_tokens", "n_taken")))
+    text = F.when(F.col(f"{name}.n_taken") < F.col(f"{name}.n_tokens"), mixing.cut(F.col("text"), F.col(f"{name}.n_taken"))).otherwise(F.col("text")).alias("text")
+    columns = [text if c == "text" else F.col(f"`{c}`") for c in docs.columns]
+    return joined.select(*columns, *(F.col(f"{name}.{c}").alias(line_dedup.free_name(docs, c)) for c in ("epoch", "n_tokens", "n_taken")))
 
 
 STAGES = [
@@ -56,7 +59,7 @@ STAGES = [
     ("source_mixing", source_mixing),
 ]
 
-#: No SQL: adaptive sketches, verification of overlaps and seeded prefixes in one statement; tests hold run() against brute force.
+#: No SQL: verification of overlaps and components in one statement over all stages; tests/llm holds run() against brute force.
 ORACLE_SQL = None
 
 
