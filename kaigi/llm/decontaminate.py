@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .exchange import settled
+from .exchange import settled, sized
 from .line_dedup import free_name
 from .textbytes import NOT_ALNUM, U64, Texts, batch_slices, mix
 
@@ -251,4 +251,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
     """docs without the rows that overlap an item; all their columns stay as they are."""
     name = free_name(docs, "leak")
     leaks = settled(overlaps(docs, benchmark, **options).select(F.col("doc_id").alias(f"{name}_id"), F.col("row").alias(f"{name}_row")).distinct())
-    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks[f"{name}_id"]) & (F.xxhash64(docs["text"]) == leaks[f"{name}_row"]), "left_anti")
+    return docs.join(sized(leaks), docs["doc_id"].eqNullSafe(leaks[f"{name}_id"]) & (F.xxhash64(docs["text"]) == leaks[f"{name}_row"]), "left_anti")

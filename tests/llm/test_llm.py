@@ -22,6 +22,7 @@ def words(t):
 
 
 words_in = words
+FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 @pytest.fixture(scope="module")
@@ -316,14 +317,18 @@ def leaked(docs, items, least=13):
     mask marks."""
     out = set()
     for d, text in docs:
-        w = re.findall("[a-z0-9]+", text.lower())
+        w = re.findall(r"[a-z0-9\u0080-\U0010ffff]+", (text or "").translate(FOLD))
+        places = collections.defaultdict(list)
+        for p, x in enumerate(w):
+            places[x].append(p)
         for _, x in items:
-            q = re.findall("[a-z0-9]+", x.lower())
+            q = re.findall(r"[a-z0-9\u0080-\U0010ffff]+", x.translate(FOLD))
             masks = decontaminate.MASKS if len(q) >= least else decontaminate.whole_masks(len(q)) if len(q) >= 5 else []
-            for shift in range(-len(q) + 1, len(w)):
+            votes = collections.Counter(p - i for i, x in enumerate(q) for p in places.get(x, ()))
+            for shift in [s for s, n in votes.items() if n >= 4]:
                 same = [0 <= shift + i < len(w) and w[shift + i] == q[i] for i in range(len(q))]
                 a, b = max(0, -shift), min(len(q), len(w) - shift)
-                if sum(same) < 4 or not any(all(same[s + j] for j, c in enumerate(m) if c == "1") for m in masks for s in range(a, b - len(m) + 1)):
+                if not any(all(same[s + j] for j, c in enumerate(m) if c == "1") for m in masks for s in range(a, b - len(m) + 1)):
                     continue
                 begins, ends = [s for s in range(a, b) if same[s] or s == 0], [e for e in range(a + 1, b + 1) if same[e - 1] or e == len(q)]
                 if any(e - s >= min(least, len(q)) and 10 * sum(same[s:e]) >= 8 * (e - s) for s in begins for e in ends):
@@ -537,26 +542,80 @@ def test_empty_tables(empty):
         assert got.count() == 0
 
 
-def test_pipeline_stages(spark, odd):
-    docs, bench = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
-    for start in (docs, odd):
-        at = start
-        for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
-            after = stage(spark, at, SF)
-            after = corpus_pipeline.settled(after)
-            if i < 4:
-                assert after.columns == start.columns, name
-            rows, left = [(r.doc_id, r.text) for r in at.collect()], [(r.doc_id, r.text) for r in after.collect()]
-            if name == "quality_rules":
-                good = collections.Counter(r.doc_id for r in quality.assess(at).where("kept").collect())
-                assert collections.Counter(d for d, _ in left) == good
-            if name == "ngram_jaccard_join":
-                comp = components([x for x in rows if x[0] is not None], 5, 80)
-                assert collections.Counter(d for d, _ in left) == collections.Counter(d for d, _ in rows if d is None or comp[d][1] == d)
-            if name == "benchmark_decontamination":
-                leaks = {r.doc_id for r in decontaminate.overlaps(at, bench).collect()}
-                assert sorted(map(str, left)) == sorted(str(x) for x in rows if x[0] not in leaks)
-            at = after
+def first_lines(rows):
+    """(doc_id, lang, source, text) without repeated lines of 10 documents or more but for the first, wordless texts left out."""
+    key = lambda x: x.strip(" \t\n\x0b\x0c\r").translate(FOLD)
+    held, first = collections.defaultdict(set), {}
+    for d, _, _, t in sorted(rows, key=lambda r: r[0]):
+        for i, x in enumerate(t.split("\n")):
+            held[key(x)].add(d)
+            first.setdefault(key(x), (d, i))
+    kept = lambda d, i, x: not key(x) or len(held[key(x)]) < 10 or first[key(x)] == (d, i)
+    made = [(d, lang, source, "\n".join(x for i, x in enumerate(t.split("\n")) if kept(d, i, x))) for d, lang, source, t in rows]
+    return [r for r in made if words(r[3])]
+
+
+def mixed_by_hand(rows):
+    """(doc_id, epoch, n_taken, text) of rows (doc_id, lang, source, text) under the pipeline's weights."""
+    held = collections.defaultdict(list)
+    for d, lang, source, t in rows:
+        held[f"d{len(source)}" if source is not None else "", lang or "", source or ""].append((d, len(words(t)), t))
+    room = {leaf: 3 * sum(n for _, n, _ in x) for leaf, x in held.items()}
+    total = sum(room.values()) // 3
+    budget = {(): min(total * mixing.SHARE[0] // mixing.SHARE[1], total * 3)}
+    for depth, level in enumerate(mixing.LEVELS):
+        nodes = collections.defaultdict(dict)
+        for leaf, n in room.items():
+            nodes[leaf[:depth]][leaf[depth]] = nodes[leaf[:depth]].get(leaf[depth], 0) + n
+        for parent, children in nodes.items():
+            weight = {c: mixing.WEIGHTS.get(level, {}).get(c, 1) for c in children}
+            full, left = set(), budget[parent]
+            while True:
+                opened = sum(weight[c] for c in children if c not in full)
+                more = {c for c in children if c not in full and children[c] * opened <= left * weight[c]}
+                if not more:
+                    break
+                c = min(more, key=lambda c: children[c] / weight[c])
+                full.add(c)
+                left -= children[c]
+            share = {c: children[c] if c in full else weight[c] * left // opened for c in children}
+            rest = budget[parent] - sum(share.values())
+            for c in sorted((c for c in children if c not in full), key=lambda c: (-(weight[c] * left % opened), c))[:rest]:
+                share[c] += 1
+            budget.update({(*parent, c): n for c, n in share.items()})
+    out = []
+    for leaf, docs in held.items():
+        size = sum(n for _, n, _ in docs)
+        epochs, rest = divmod(budget[leaf], size)
+        out += [(d, e, n, t) for d, n, t in docs for e in range(epochs)]
+        for d, n, t in sorted(docs, key=lambda x: hashlib.md5(f"{mixing.ORDER_SEED}|{epochs}|{x[0]}".encode()).hexdigest()):
+            if rest > 0:
+                out.append((d, epochs, min(n, rest), t if n <= rest else " ".join(words(t)[:rest])))
+            rest -= n
+    return collections.Counter(out)
+
+
+def test_pipeline_equals_brute_force(spark):
+    docs, bench = (spark.read.parquet(f"{SF}/{t}.parquet").collect() for t in ("documents", "benchmark"))
+    good = {row[0] for row in quality_of([(r.doc_id, r.text, r.lang, r.source) for r in docs]) if row[-1]}
+    rows = first_lines([(r.doc_id, r.lang, r.source, r.text) for r in docs if r.doc_id in good])
+    near = components([(d, t) for d, _, _, t in rows], 5, 80)
+    rows = [r for r in rows if near[r[0]][1] == r[0]]
+    gone = leaked([(d, t) for d, _, _, t in rows], [(r.item_id, r.text) for r in bench])
+    assert gone
+    want = mixed_by_hand([r for r in rows if r[0] not in gone])
+    got = corpus_pipeline.run(spark, SF)
+    assert collections.Counter((r.doc_id, r.epoch, r.n_taken, r.text) for r in got.collect()) == want
+
+
+def test_pipeline_stages_on_odd_rows(spark, odd, empty):
+    at = odd
+    for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        after = corpus_pipeline.settled(stage(spark, at, SF))
+        if i < 4:
+            assert after.columns == odd.columns, name
+        assert stage(spark, empty, SF).count() == 0, name
+        at = after
 
 
 @pytest.mark.parametrize("block", [3, 4096])
