@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kaigi.llm import decontaminate, jaccard_join, line_dedup, mixing, quality
-from kaigi.llm.exchange import settled
+from kaigi.llm.exchange import settled, sized
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +29,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     of equal ids, all rows do.  Rows without a doc_id stay."""
     name = line_dedup.free_name(docs, "near")
     found = settled(jaccard_join.similar_components(docs, k=5, percent=80).where("component_id < doc_id").select(F.col("doc_id").alias(name)).distinct())
-    return docs.join(found, docs["doc_id"] == found[name], "left_anti")
+    return docs.join(sized(found), docs["doc_id"] == found[name], "left_anti")
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
