@@ -279,6 +279,39 @@ def test_language_odd(odd, empty):
     assert language_id.learn_and_identify(empty).count() == 0
 
 
+def test_forward_pass_equals_plain_loops():
+    """Positions' distributions, pooling and the cutting into runs against scalar arithmetic."""
+    import numpy as np
+    import pyarrow as pa
+
+    net, text = language_id.Network.fresh(["a", "b", "c"], 4, 5), "Ünï text " * 40
+    data = [x + 32 if 65 <= x <= 90 else x for x in text.encode()]
+    clip = lambda x: min(1.0, max(0.0, x / 4 + 0.5))
+    total = np.zeros(3)
+    for at in range(0, len(data), language_id.RUN):
+        run = data[at : at + language_id.RUN]
+        states = []
+        for d in (0, 1):
+            T, U, h, out = net.T[d].astype(float), net.U[d].astype(float), [0.0] * 4, {}
+            # the backward direction passes the filler beyond the run's end first
+            steps = list(range(len(run))) if d == 0 else list(range(language_id.RUN - 1, -1, -1))
+            for t in steps:
+                x = run[t] if t < len(run) else 256
+                z = [clip(T[i, x] + sum(U[i, j] * h[j] for j in range(4))) for i in range(4)]
+                r = [clip(T[4 + i, x] + sum(U[4 + i, j] * h[j] for j in range(4))) for i in range(4)]
+                c = [min(1.0, max(-1.0, T[8 + i, x] + sum(U[8 + i, j] * r[j] * h[j] for j in range(4)))) for i in range(4)]
+                h = [h[i] + z[i] * (c[i] - h[i]) for i in range(4)]
+                out[t] = h
+            states.append(out)
+        for t in range(len(run)):
+            logits = net.V.astype(float) @ np.array([*states[0][t], *states[1][t]]) + net.c
+            p = np.exp(logits - logits.max())
+            total += p / p.sum()
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text]), pa.array([False]), pa.array([True])], names=["doc_id", "text", "held_out", "letters"])
+    got = next(language_id._predictions(net)(iter([batch]))).to_pylist()[0]
+    assert got["lang_pred"] == "abc"[total.argmax()] and abs(got["score"] - total.max() / len(data)) < 1e-4 and got["n_positions"] == len(data) == sum(got["position_langs"])
+
+
 def test_gradients_are_right():
     import numpy as np
 
@@ -518,6 +551,27 @@ def test_surrogates_are_distinct_and_no_entities(spark):
     assert {(r.value, r.surrogate) for r in rows} == {(r.value, r.surrogate) for r in again}
 
 
+def test_surrogates_equal_brute_force(spark):
+    """Every document: what stands between entities stays, each entity becomes one other of its form, everywhere the same."""
+    import regex
+
+    found = regex.compile(surrogates.ENTITY.replace(r"\p{Lu}", "[[:upper:]]"))
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    made, texts, n = {}, {r.doc_id: r.text for r in docs.collect()}, 0
+    for r in surrogates.pseudonymise(docs, "k").collect():
+        text, at = texts[r.doc_id] or "", 0
+        entities = list(found.finditer(text))
+        assert r.n_entities == len(entities)
+        pattern = "(.+?)".join(regex.escape(text[a:b]) for a, b in zip([0, *(m.end() for m in entities)], [*(m.start() for m in entities), len(text)], strict=True))
+        match = regex.fullmatch(pattern, r.text or "", regex.S)
+        for m, x in zip(entities, match.groups(), strict=True):
+            n += 1
+            assert made.setdefault(m[0], x) == x and x != m[0]
+            if m[0][0] in "+0123456789(" and "@" not in m[0] and m[0].count(".") != 3:
+                assert regex.sub(r"\d", "9", x) == regex.sub(r"\d", "9", m[0])
+    assert n > 20 and not set(made) & set(made.values()) and len(set(made.values())) == len({regex.sub(r"\D", "", v) if v[0] in "+0123456789(" and "@" not in v else v for v in made})
+
+
 @pytest.mark.parametrize("text", ["a" * 10**6, "x@" + "a." * 500_000, "1" * 10**6, "Ab " * 333_333, " " * 10**6 + "x", "a@" * 500_000, "=" * 10**6, "\n" * 10**6, "http://" + "a." * 500_000, "<a " * 333_333, "1." * 500_000, "+1 " * 333_333])
 def test_no_pattern_is_slow_on_long_runs(spark, text):
     import time
