@@ -112,7 +112,8 @@ def mix(docs: DataFrame, domain: Column, weights: dict[str, dict[str, int]], sha
     for at in range(0, digits, 2):
         # of each leaf, `last` holds the one bucket that its prefix ends in, `from` what comes before that
         last = last.withColumn("bucket", F.substring("key", 1, min(at + 2, digits)))
-        sums = last.groupBy(*LEVELS, "bucket").agg(F.sum("tokens").alias("held"), F.first("rest").alias("leaf_rest"), F.first("from").alias("leaf_from"))
+        # written, so that rows are added up by leaf and bucket, and only the sums are dealt by leaf for the window
+        sums = settled(last.groupBy(*LEVELS, "bucket").agg(F.sum("tokens").alias("held"), F.first("rest").alias("leaf_rest"), F.first("from").alias("leaf_from")))
         before = Window.partitionBy(*LEVELS).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
         sums = sums.withColumn("start", F.col("leaf_from") + F.coalesce(F.sum("held").over(before), F.lit(0))).where("start < leaf_rest").drop("leaf_rest", "leaf_from")
         last = settled(last.join(sums, [*LEVELS, "bucket"]))
