@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .exchange import NO_ID, settled
+from .exchange import NO_ID, settled, sized
 from .textbytes import LOWER, SPACES, batch_slices, run_hashes
 
 MIN_DOCS = 10
@@ -182,8 +182,8 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN
     runs = settled(lines.repartitionByRange(*order[:3]).sortWithinPartitions(*order).mapInArrow(_decided(min_docs), _RUNS))
     place = F.struct(F.coalesce("doc_id", F.lit(int(NO_ID))).alias("d"), F.col("row").alias("r"), F.col("line").alias("l"))
     # of each partition the first and last run, so two rows for each at most
-    edges = runs.where("kind = 1").groupBy("hash", "check").agg(F.sum("docs").alias("total"), F.min(place).alias("least"))
-    open_runs = runs.where("kind = 2").drop("docs", "first").join(edges.where(F.col("total") >= min_docs), ["hash", "check"])
+    edges = settled(runs.where("kind = 1").groupBy("hash", "check").agg(F.sum("docs").alias("total"), F.min(place).alias("least")).where(F.col("total") >= min_docs))
+    open_runs = runs.where("kind = 2").drop("docs", "first").join(sized(edges), ["hash", "check"])
     open_runs = open_runs.withColumn("first", place == F.col("least"))
     dropped = runs.where("kind = 0").select("doc_id", "row", "line", "lines", "first").unionByName(open_runs.select("doc_id", "row", "line", "lines", "first"))
     # kind 0 rows of a run that goes on beyond an edge still have their first occurrence here
