@@ -73,7 +73,8 @@ def chunks(c: Column, size: int = 2000) -> Column:
 def parse_marker(c: Column) -> Column:
     """struct(role, name) of what follows the marker sign: ROLE（NAME君）, NAME君, or the bare text as a name."""
     bare = strip(c)
-    with_role, with_title = r"^(.+?)（(.+?)君）\s*$", r"^(.+?)君\s*$"
+    # the role ends at the first bracket after its first character and gives nothing back, so long markers take linear time
+    with_role, with_title = r"^(.[^（\n\r]*+)（(.+)君）\s*$", r"^(.+)君\s*$"
     role = F.when(bare.rlike(with_role), strip(F.regexp_extract(bare, with_role, 1)))
     name = F.when(bare.rlike(with_role), strip(F.regexp_extract(bare, with_role, 2))).when(bare.rlike(with_title), strip(F.regexp_extract(bare, with_title, 1))).otherwise(bare)
     return F.struct(role.alias("role"), name.alias("name"))
@@ -89,12 +90,37 @@ def japanese_words(c: Column) -> Column:
     return F.regexp_extract_all(F.lower(c), F.lit("[一-龥々]{2,}|[ァ-ヴー]{2,}"), 0)
 
 
+def without_dots(path: Column) -> Column:
+    """A path that begins with a slash, without its parts . and .. (.. at the top is left out)."""
+    parts = F.split(path, "/")
+    n = F.size(parts)
+    numbered = F.transform(parts, lambda x, i: F.struct(x.alias("x"), (i == n - 1).alias("last")))
+
+    def step(kept, p):
+        up = F.when(F.size(kept) > 1, F.slice(kept, F.lit(1), F.size(kept) - 1)).otherwise(kept)
+        end = F.when(p["last"], F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+        return F.when(p["x"] == "..", F.concat(up, end)).when(p["x"] == ".", F.concat(kept, end)).otherwise(F.concat(kept, F.array(p["x"])))
+
+    joined = F.array_join(F.aggregate(numbered, F.array().cast("array<string>"), step), "/")
+    return F.when(path.rlike(r"/\.\.?(?:/|$)"), joined).otherwise(path)
+
+
 def resolve_url(base: Column, href: Column) -> Column:
-    """href against the page's address: absolute, scheme-relative, root-relative and relative references."""
+    """href against the page's address: absolute, scheme-relative, root-relative and relative references, also those that are a
+    query or a fragment only; repeated slashes of a relative one are one."""
     root = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*)", 1)
-    folder = F.regexp_extract(F.regexp_replace(base, r"[?#].*$", ""), r"^([a-zA-Z][a-zA-Z0-9+.\-]*://.*/)[^/]*$", 1)
-    folder = F.when(F.length(folder) > F.length(root) + 0, folder).otherwise(F.concat(root, F.lit("/")))
-    return F.when(href.rlike(r"^[a-zA-Z][a-zA-Z0-9+.\-]*:"), href).when(href.startswith("//"), F.concat(F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.\-]*:)", 1), href)).when(href.startswith("/"), F.concat(root, href)).otherwise(F.concat(folder, href))
+    plain = F.regexp_replace(base, r"[?#].*$", "")
+    folder = F.regexp_replace(F.substring(plain, F.length(root) + 1, F.length(plain)), "[^/]*$", "")
+    path, rest = F.regexp_extract(href, "^[^?#]*", 0), F.regexp_extract(href, "[?#].*$", 0)
+    rooted = F.when(href.startswith("/"), path).otherwise(F.regexp_replace(F.concat(F.when(folder == "", "/").otherwise(folder), path), "/{2,}", "/"))
+    return (
+        F.when(href == "", base)
+        .when(href.rlike(r"^[a-zA-Z][a-zA-Z0-9+.\-]*:"), href)
+        .when(href.startswith("//"), F.concat(F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.\-]*:)", 1), href))
+        .when(href.startswith("#"), F.concat(F.regexp_replace(base, "#.*$", ""), href))
+        .when(href.startswith("?"), F.concat(plain, href))
+        .otherwise(F.concat(root, without_dots(rooted), rest))
+    )
 
 
 def last_part(url: Column) -> Column:

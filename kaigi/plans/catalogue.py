@@ -385,7 +385,7 @@ conv_id, md5(trim(coalesce(text, ''), ' ' || chr(9) || chr(10) || chr(13))) AS d
     "last_wins_dedup": "SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value FROM events GROUP BY user_id",
     "incremental_new_sessions": "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
     "incremental_new_meetings": "SELECT DISTINCT event_id // 3 AS issue FROM events WHERE event_id // 3 NOT IN (SELECT doc_id FROM labels)",
-    "html_links": """WITH h AS (SELECT page_id, url, unnest(regexp_extract_all(html, '(?i)<a\\b[^>]*?\\bhref\\s*=\\s*["'']([^"'']*)["'']', 1)) AS href FROM pages),
+    "html_links": """WITH h AS (SELECT page_id, url, unnest(regexp_extract_all(html, '(?i)<a\\b[^<>]*?\\bhref\\s*=\\s*["'']([^"'']*)["'']', 1)) AS href FROM pages),
 r AS (SELECT page_id, href, regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.\\-]*://[^/?#]*)', 1) AS root, regexp_extract(regexp_replace(url, '[?#].*$', ''), '^([a-zA-Z][a-zA-Z0-9+.\\-]*://.*/)[^/]*$', 1) AS folder, regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.\\-]*:)', 1) AS scheme FROM h)
 SELECT page_id, CASE WHEN regexp_matches(href, '^[a-zA-Z][a-zA-Z0-9+.\\-]*:') THEN href WHEN starts_with(href, '//') THEN scheme || href WHEN starts_with(href, '/') THEN root || href WHEN length(folder) > length(root) THEN folder || href ELSE root || '/' || href END AS target, list_last(string_split(href, '/')) AS file_name, count(*) AS n FROM r GROUP BY ALL""",
     "json_props": "SELECT try_cast(json_extract_string(props, '$.k') AS INT) AS k, count(*) AS n FROM events GROUP BY 1",

@@ -68,7 +68,7 @@ def body_lines(texts: DataFrame, key: str, text: str) -> DataFrame:
 
 def links(pages: DataFrame, suffix: str = ".pdf", url: str = "url", html: str = "html") -> DataFrame:
     """The pages' columns but html, href, target and file_name of every link whose reference ends with suffix."""
-    found = F.regexp_extract_all(F.col(html), F.lit(r"""(?i)<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']"""), 1)
+    found = F.regexp_extract_all(F.col(html), F.lit(r"""(?i)<a\b[^<>]*?\bhref\s*=\s*["']([^"']*)["']"""), 1)
     rest = [c for c in pages.columns if c != html]
     return pages.select(*rest, F.explode(F.filter(found, lambda h: h.endswith(suffix))).alias("href")).select(*rest, "href", resolve_url(F.col(url), F.col("href")).alias("target"), last_part(F.col("href")).alias("file_name"))
 

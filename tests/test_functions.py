@@ -100,3 +100,30 @@ def test_profile_counts():
 def test_links(spark):
     pages = spark.createDataFrame([(1, "http://h.jp/a/b.html?q", """<a href="x.pdf">1</a><a class=z href='/r/y.pdf'>2</a><a href="https://o.jp/z.pdf">3</a><a href="x.pdf?v">4</a>""")], "page_id int, url string, html string")
     assert [(r.target, r.file_name) for r in readers.links(pages).collect()] == [("http://h.jp/a/x.pdf", "x.pdf"), ("http://h.jp/r/y.pdf", "y.pdf"), ("https://o.jp/z.pdf", "z.pdf")]
+
+
+def test_urls_resolve_as_in_browsers(spark):
+    from urllib.parse import urljoin
+
+    bases = ["http://h.jp/a/b/c.html", "http://h.jp/a/b/?q=1/2#x", "https://h.jp", "http://h.jp/"]
+    hrefs = ["x.pdf", "../x.pdf", "../../x.pdf", "./x.pdf", "a/../b/./c.pdf", "/r/../x.pdf", "//o.jp/x", "http://o.jp/../x", "?q=2", "#f", "", "d/..", "d/.", "x.pdf?a=../b", "a//b", "../../../../x"]
+    rows = spark.createDataFrame([(b, h) for b in bases for h in hrefs], "base string, href string")
+    got = {(r.base, r.href): r.u for r in rows.select("base", "href", text.resolve_url(F.col("base"), F.col("href")).alias("u")).collect()}
+    assert {k: v for k, v in got.items() if v != urljoin(*k)} == {}
+
+
+@pytest.mark.parametrize("made", [" " * 10**6 + "x", "a" * 10**6, "（" * 10**6, "x（" * 300_000 + "y君）", "君 " * 300_000, "=" * 10**6, "====" * 10 + "x" * 10**6, "1" * 10**6, "令和" + "1" * 10**6, "第 " * 300_000, "<a " * 333_333, "◎会議録情報\n" * 100_000, "\r\n" * 300_000, "/.." * 300_000])
+def test_no_function_is_slow_on_long_texts(spark, made):
+    import time
+
+    from kaigi.operators import minutes, tokens
+    from kaigi.sources import readers
+
+    t = F.col("t")
+    rows = spark.createDataFrame([(made,)], "t string")
+    began = time.time()
+    found = [text.strip(t), text.safe_filename(t), text.printable_ratio(t), F.size(text.words(t)), text.parse_marker(t), F.size(text.split_lines(t, True)), F.size(text.chunks(t)), text.folded_name(t, True), text.unix_lines(t), dates.parse_date(t), dates.front_matter(t), tokens.without_front_matter(t)]
+    rows.select(*(F.md5(F.to_json(F.struct(c.alias("c")))) for c in found)).collect()
+    minutes.loose_sessions(rows.withColumn("text", t)).count()
+    readers.links(rows.select(F.lit("http://h/").alias("url"), t.alias("html"))).count()
+    assert time.time() - began < 20
