@@ -19,11 +19,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
             named = tempfile.mkdtemp(prefix="kaigi-")
         context.setCheckpointDir(named)
-        if context.getConf().get("spark.cleaner.referenceTracking.cleanCheckpoints") is None:
-            scala.conf().set("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+    if not scala.conf().contains(_CLEAN_CHECKPOINTS):
+        scala.conf().set(_CLEAN_CHECKPOINTS, "true")
     return scala.getCheckpointDir().get()
 
 
+_CLEAN_CHECKPOINTS = "spark.cleaner.referenceTracking.cleanCheckpoints"
 _CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 

@@ -25,3 +25,24 @@ def test_every_query_has_sql_but_nfkc():
 def test_plans_have_no_cartesian_product(spark, name):
     plan = catalogue.queries()[name](spark, SF)._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan
+
+
+def test_settled_rows_go_with_their_last_reference(spark):
+    import gc
+    import os
+    import time
+
+    from kaigi.staging import checkpoint_dir, settled
+
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    held = settled(spark.range(1000))
+    part = max((x for x in os.listdir(folder) if x.startswith("rdd-")), key=lambda x: int(x[4:]))
+    assert settled(held.groupBy().count()).first()[0] == 1000
+    del held
+    for _ in range(20):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
+        if not os.path.exists(f"{folder}/{part}"):
+            return
+    raise AssertionError("still there")
