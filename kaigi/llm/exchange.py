@@ -43,12 +43,12 @@ def salted(left: DataFrame, right: DataFrame, key: str, by: Column) -> tuple[Dat
     )
 
 
-#: Rows of a few numbers that may be broadcast: some 20 MB as a hash table.
+#: Rows of a few numbers or names that may be broadcast: some 50 MB as a hash table.
 FEW = 250_000
 
 
 def sized(keys: DataFrame) -> DataFrame:
-    """keys (rows of one or two numbers, settled), broadcast if they are FEW or fewer; a join shuffles them otherwise."""
+    """keys (rows of a few numbers or names, settled), broadcast if they are FEW or fewer; a join shuffles them otherwise."""
     return F.broadcast(keys) if keys.limit(FEW + 1).count() <= FEW else keys
 
 

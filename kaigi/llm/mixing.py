@@ -20,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .exchange import settled
+from .exchange import settled, sized
 from .quality import words_of
 
 LEVELS = ("domain", "lang", "source")
@@ -104,7 +104,8 @@ def mix(docs: DataFrame, domain: Column, weights: dict[str, dict[str, int]], sha
     digits = max(1, math.ceil(math.log(max(n or 1, 2), 16)) - 2)
     plan = budgets(leaves, weights, total, max_epochs).withColumn("epochs", F.expr("budget div tokens")).withColumn("rest", F.expr("budget % tokens"))
     plan = settled(plan.withColumnRenamed("tokens", "leaf_tokens"))
-    dealt = rows.join(plan, list(LEVELS))
+    # one row for each leaf
+    dealt = rows.join(sized(plan), list(LEVELS))
     full = dealt.where("epochs > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("epochs").cast("int") - 1))).withColumn("n_taken", F.col("tokens"))
     last = dealt.where("rest > 0").withColumn("epoch", F.col("epochs").cast("int")).withColumn("key", order_key(seed, F.col("epoch"))).withColumn("from", F.lit(0).cast("long"))
     columns = ["doc_id", "row", *LEVELS, F.col("epoch").cast("int").alias("epoch"), "tokens", F.col("n_taken").cast("long").alias("n_taken")]
