@@ -137,4 +137,29 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(often)::BIGINT AS n_dropped, s
 FROM k LEFT JOIN b ON k.line_key = b.often GROUP BY doc_id
 """
 
-ORACLES = {"op2_url_filter": _OP2, "op3_source_mixing": _OP3, "op7_quality_rules": _OP7, "op8_jaccard_join": _OP8, "op9_substring_dedup": _OP9, "op10_line_dedup": _OP10}
+_OP13 = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+firsts AS (SELECT text, min(doc_id) AS first FROM d GROUP BY text),
+marks AS (SELECT doc_id, coalesce(max(quality), 0) = 1 AS good, coalesce(max(toxic), 0) = 1 AS toxic FROM labels GROUP BY doc_id),
+m AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, count(*) AS n,
+         list_concat(CASE WHEN len(ws) < 100 THEN ['A'] ELSE [] END, CASE WHEN 100 * len(list_distinct(ws)) < 80 * len(ws) THEN ['B'] ELSE [] END,
+                     CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) THEN ['C'] ELSE [] END, CASE WHEN regexp_matches(text, '[#$%&*|]') THEN ['D'] ELSE [] END,
+                     CASE WHEN doc_id > first THEN ['E'] ELSE [] END) AS fails
+  FROM d JOIN firsts USING (text) LEFT JOIN marks USING (doc_id) GROUP BY ALL),
+l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT [a.x, b.x, c.x, d.x, e.x] AS o FROM l a, l b, l c, l d, l e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT o, unnest(range(1, 6)) AS step FROM o),
+p AS (SELECT DISTINCT part FROM m),
+r AS (
+  SELECT p.part, array_to_string(o, '') AS filter_order, step::INT AS step, o[step] AS filter,
+         sum(n) FILTER (WHERE NOT list_has_any(fails, o[1:step])) AS kept, sum(n) FILTER (WHERE list_contains(fails, o[step]) AND NOT list_has_any(fails, o[1:step - 1])) AS removed,
+         sum(n) FILTER (WHERE list_contains(fails, o[step]) AND list_has_any(fails, o[1:step - 1])) AS redundant, sum(n) FILTER (WHERE fails = [o[step]]) AS unique_fails,
+         sum(n) FILTER (WHERE good AND list_contains(fails, o[step]) AND NOT list_has_any(fails, o[1:step - 1])) AS good_lost,
+         sum(n) FILTER (WHERE toxic AND list_contains(fails, o[step]) AND NOT list_has_any(fails, o[1:step - 1])) AS toxic_lost
+  FROM p, s JOIN m ON m.part = p.part GROUP BY p.part, o, step)
+SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+       coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost, coalesce(sum(removed) OVER (PARTITION BY part, filter), 0)::BIGINT AS shapley FROM r
+"""
+
+ORACLES = {"op2_url_filter": _OP2, "op3_source_mixing": _OP3, "op7_quality_rules": _OP7, "op8_jaccard_join": _OP8, "op9_substring_dedup": _OP9, "op10_line_dedup": _OP10, "op13_filter_audit": _OP13}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, language_id, line_dedup, mixing, quality, secrets, substring_dedup, surrogates, url_filter
+from . import decontaminate, filter_audit, jaccard_join, language_id, line_dedup, mixing, quality, secrets, substring_dedup, surrogates, url_filter
 
 PII_KEY = "a key kept outside the repository in production"
 
@@ -76,10 +76,14 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(docs, line_dedup.keep_bitmaps(docs))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_secret_scan, op2_url_filter, op3_source_mixing, op4_decontamination, op5_pii_surrogates, op6_language_id, op7_quality_rules, op8_jaccard_join, op9_substring_dedup, op10_line_dedup)
+        for f in (op1_secret_scan, op2_url_filter, op3_source_mixing, op4_decontamination, op5_pii_surrogates, op6_language_id, op7_quality_rules, op8_jaccard_join, op9_substring_dedup, op10_line_dedup, op13_filter_audit)
     }
 
 
