@@ -39,3 +39,13 @@ def settled(df: DataFrame) -> DataFrame:
         return df.select("*").checkpoint(eager=True)
     finally:
         spark.conf.unset(_CLEAN_UP) if before is None else spark.conf.set(_CLEAN_UP, before)
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own in the shared checkpoint folder, made anew at every call and left there."""
+    import uuid
+
+    folder = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(path)
+    return folder
