@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, filter_audit, jaccard_join, language_id, line_dedup, mixing, quality, secrets, substring_dedup, surrogates, url_filter
+from ..staging import new_folder
+from . import decontaminate, filter_audit, jaccard_join, language_id, line_dedup, mixing, quality, secrets, substring_dedup, surrogates, token_files, url_filter
 
 PII_KEY = "a key kept outside the repository in production"
 
@@ -76,6 +77,14 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(docs, line_dedup.keep_bitmaps(docs))
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    folder = new_folder(spark, "op12")
+    token_files.encode_corpus(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), folder)
+    return token_files.digest(token_files.decode_corpus(spark, folder))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
@@ -83,7 +92,7 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_secret_scan, op2_url_filter, op3_source_mixing, op4_decontamination, op5_pii_surrogates, op6_language_id, op7_quality_rules, op8_jaccard_join, op9_substring_dedup, op10_line_dedup, op13_filter_audit)
+        for f in (op1_secret_scan, op2_url_filter, op3_source_mixing, op4_decontamination, op5_pii_surrogates, op6_language_id, op7_quality_rules, op8_jaccard_join, op9_substring_dedup, op10_line_dedup, op12_token_files, op13_filter_audit)
     }
 
 
