@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..staging import new_folder
-from . import decontaminate, filter_audit, jaccard_join, language_id, line_dedup, mixing, quality, secrets, substring_dedup, surrogates, token_files, url_filter
+from . import decontaminate, filter_audit, jaccard_join, language_id, line_dedup, mixing, quality, secrets, substring_dedup, surrogates, time_partitions, token_files, url_filter
 
 PII_KEY = "a key kept outside the repository in production"
 
@@ -77,6 +77,28 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(docs, line_dedup.keep_bitmaps(docs))
 
 
+def moment_of() -> Column:
+    """A click's ts, moved back by some years for an eighth of the click_ids and to Monday 00:00 for another."""
+    ts, k = F.col("ts").cast("timestamp_ntz"), F.crc32(F.col("click_id").cast("string")) % 128
+    back = ts - F.make_dt_interval(days=((k + 6) * (k + 6) * (k + 6)).cast("int"))
+    monday = F.date_sub(ts.cast("date"), F.weekday(ts)).cast("timestamp_ntz")
+    return F.when(k < 16, back).when(k > 111, monday).otherwise(ts)
+
+
+def partitioned_twice(clicks: DataFrame, until: str, folder: str) -> DataFrame:
+    """The files of all clicks, laid over those of the clicks that had arrived before `until`."""
+    limit, order = 1 + clicks.count() // 500, ("arrived_at", "click_id")
+    early = F.col("arrived_at") < F.lit(until).cast("timestamp_ntz")
+    moment = moment_of()
+    first = time_partitions.lay_out(clicks.where(early), moment, order, limit, folder)
+    files = time_partitions.lay_out(clicks, moment, order, limit, folder, first, early)
+    return time_partitions.read_back(files, folder, clicks, "click_id").select("leaf", "part", "n_rows", "n_new", "columns", "ids_sha256", "path", "rewritten")
+
+
+def op11_time_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partitioned_twice(_read(spark, sf_dir, "clicks"), "2024-05-01 00:00:00", new_folder(spark, "op11"))
+
+
 def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -92,7 +114,7 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_secret_scan, op2_url_filter, op3_source_mixing, op4_decontamination, op5_pii_surrogates, op6_language_id, op7_quality_rules, op8_jaccard_join, op9_substring_dedup, op10_line_dedup, op12_token_files, op13_filter_audit)
+        for f in (op1_secret_scan, op2_url_filter, op3_source_mixing, op4_decontamination, op5_pii_surrogates, op6_language_id, op7_quality_rules, op8_jaccard_join, op9_substring_dedup, op10_line_dedup, op11_time_partitions, op12_token_files, op13_filter_audit)
     }
 
 
