@@ -22,11 +22,13 @@ import json
 import os
 import re
 import struct
+import unicodedata
 import uuid
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 import zstandard
 from pyspark import TaskContext
@@ -36,12 +38,17 @@ from pyspark.sql import functions as F
 from ..operators.minutes import prefix_sums
 from . import huffman
 from .exchange import settled, sized
+from .textbytes import U64, run_hashes
 
 END = 0
 #: A block ends with the document that takes it to so many tokens.
 BLOCK_TOKENS = 1 << 20
-#: Distinct pieces of text whose ids a worker remembers, and how long they may be.
-PIECES, PIECE_CHARS = 400_000, 64
+#: Places of pieces whose ids a worker remembers, and how long the pieces may be that other texts keep.
+PLACES, PIECE_CHARS = 1 << 21, 64
+#: Bytes of text, about, that are encoded at once.
+AT_ONCE = 1 << 20
+#: How a byte-level vocabulary writes a blank.
+BLANK = "Ġ"
 #: Tasks that count ids: each returns up to one row for each id of the vocabulary.
 COUNTERS = 512
 SUFFIX = ".tokens"
@@ -53,14 +60,63 @@ _HEAD = np.dtype([("doc_id", "<i8"), ("known", "<u1"), ("n", "<i8")])
 _FILE, _BLOCK, _ENTRY = "<4sIII", "<IQQQQII", "<QQQQQ"
 
 
+def _classes() -> np.ndarray:
+    """Of the first 256 characters: white space, letter, number or other, as byte-level tokenizers tell them apart."""
+    kinds = {"L": LETTER, "N": NUMBER}
+    out = np.array([kinds.get(unicodedata.category(chr(i))[0], OTHER) for i in range(256)], np.uint8)
+    out[[*range(9, 14), 0x20, 0x85, 0xA0]] = WHITE
+    return out
+
+
+WHITE, LETTER, NUMBER, OTHER = range(4)
+_CLASSES = _classes()
+
+
+def piece_starts(data: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Where the pieces of texts begin that a byte-level tokenizer merges each alone.  data: Latin-1 characters of texts one after
+    the other; first: where each begins (none is empty).
+
+    A piece is a run of one class with the blank before it, white space up to the last character before something else, or an
+    apostrophe with the letters of a short ending."""
+    kind = _CLASSES[data]
+    opens, closes = np.zeros(len(data) + 1, bool), np.zeros(len(data), bool)
+    opens[first] = opens[-1] = True
+    closes[:] = opens[1:]
+    opens = opens[:-1]
+    white = kind == WHITE
+    changes = opens.copy()
+    changes[1:] |= kind[1:] != kind[:-1]
+    after_blank = np.zeros(len(data), bool)
+    after_blank[1:] = (data[:-1] == 32) & ~opens[1:]
+    last_white = np.zeros(len(data), bool)
+    last_white[:-1] = white[:-1] & ~white[1:] & ~closes[:-1]
+    starts = np.where(white, changes | last_white, changes & ~after_blank)
+    marks = np.flatnonzero((data == 39) & changes & ~after_blank & ~closes)
+    marks = marks[kind[marks + 1] == LETTER]
+    if len(marks):
+        padded = np.concatenate([data, np.zeros(2, np.uint8)])
+        a, b = padded[marks + 1], padded[marks + 2]
+        one = np.isin(a, np.frombuffer(b"stmd", np.uint8))
+        two = ~closes[marks + 1] & (((b == 101) & ((a == 114) | (a == 118))) | ((a == 108) & (b == 108)))
+        ends = marks + np.where(one, 2, 3)
+        some = one | two
+        starts[marks[some] + 1] = False
+        ends = ends[some]
+        ends = ends[~closes[ends - 1]]
+        starts[ends[kind[ends] == LETTER]] = True
+    return np.flatnonzero(starts)
+
+
 class Encoder:
-    """ids of a text, as the tokenizers library gives them without special tokens.
+    """ids of texts, as the tokenizers library gives them without special tokens.
 
-    A byte-level tokenizer splits a text before every blank that something other than white space follows, and what lies
-    between two such places is encoded alike wherever it stands.  So each distinct piece goes through the library once.  Texts
-    that name one of the tokenizer's added tokens, and other kinds of tokenizers, are encoded whole."""
+    A byte-level tokenizer splits texts before it merges, and merges each piece alone.  So each distinct piece goes through the
+    library once in a while and is remembered: in texts of Latin-1 by a 64-bit hash, in a table where the newest piece of a place
+    stays; in other texts by itself, of those cut at the white space alone.  Texts that name one of the tokenizer's added tokens,
+    and other kinds of tokenizers, are encoded whole."""
 
-    _SPLIT = re.compile(r" (?=\S)")
+    _WHITE = "\\t-\\r \\x85\\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+    _COARSE = re.compile(f" ?[^{_WHITE}]+|[{_WHITE}]+(?=[{_WHITE}][^{_WHITE}])|[{_WHITE}]+")
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -70,42 +126,108 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             made = json.load(f)
         before = made.get("pre_tokenizer") or {}
-        self.by_pieces = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space", True) and not made.get("normalizer") and not made.get("truncation") and not made.get("padding")
+        self.by_pieces = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space", True) and not any(made.get(k) for k in ("normalizer", "truncation", "padding"))
         self.added = [a["content"] for a in made.get("added_tokens", ())]
-        self.heads: dict[str, bytes] = {}
-        self.tails: dict[str, bytes] = {}
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def encode(self, text: str) -> bytes:
-        """ids as little-endian 32-bit integers."""
-        if not self.by_pieces or any(a in text for a in self.added):
-            return self.whole([text])[0]
-        head, *tail = self._SPLIT.split(text)
-        if head not in self.heads:
-            self._learn(self.heads, [head], "")
-        try:
-            out = self.heads[head] + b"".join(map(self.tails.__getitem__, tail))
-        except KeyError:
-            self._learn(self.tails, list(set(tail).difference(self.tails)), " ")
-            if not all(map(self.tails.__contains__, tail)):  # the table was emptied
-                self._learn(self.tails, list(set(tail).difference(self.tails)), " ")
-            out = self.heads[head] + b"".join(map(self.tails.__getitem__, tail))
-        self._forget(self.heads, [head])
-        self._forget(self.tails, tail if len(text) > PIECE_CHARS * (len(tail) + 1) else ())
+        vocabulary = self.tokenizer.get_vocab()
+        self.blank = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.blank[[i for t, i in vocabulary.items() if t.startswith(BLANK)]] = True
+        self.known: dict[str, np.ndarray] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.hashes, self.at, self.long = np.zeros(PLACES, U64), np.zeros(PLACES, np.int32), np.zeros(PLACES, np.int32)
+        self.held, self.used = np.zeros(3 * PLACES, np.uint32), 0
+
+    def whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """ids of texts that together are as long as a worker can hold in pieces."""
+        out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(texts)
+        latin, places = [], []
+        for i, t in enumerate(texts):
+            if not self.by_pieces or any(a in t for a in self.added):
+                out[i] = self.whole([t])[0]
+            elif t:
+                try:
+                    latin.append(t.encode("latin-1"))
+                    places.append(i)
+                except UnicodeEncodeError:
+                    out[i] = self._by_dictionary(self._COARSE.findall(t))
+        if latin:
+            for i, ids in zip(places, self._by_hashes(latin), strict=True):
+                out[i] = ids
         return out
 
-    def _learn(self, known: dict[str, bytes], new: list[str], before: str) -> None:
-        if len(known) + len(new) > PIECES:
-            known.clear()
-        known.update(zip(new, self.whole([before + p for p in new]), strict=True))
-
-    @staticmethod
-    def _forget(known: dict[str, bytes], pieces) -> None:
-        for p in pieces:
+    def _by_dictionary(self, pieces: list[str]) -> np.ndarray:
+        if len(self.known) > PLACES // 16:
+            self.known = {}
+        new = list(set(pieces).difference(self.known))
+        self.known.update(zip(new, self._learned(new), strict=True))
+        out = np.concatenate([self.known[p] for p in pieces])
+        for p in new:
             if len(p) > PIECE_CHARS:
-                known.pop(p, None)
+                del self.known[p]
+        return out
+
+    def _by_hashes(self, texts: list[bytes]) -> list[np.ndarray]:
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        starts = piece_starts(data, bounds[:-1])
+        ends = np.append(starts[1:], len(data))
+        hashes = run_hashes(data, starts, ends)
+        if self.used > 2 * PLACES:
+            self._forget()
+        place = (hashes & U64(PLACES - 1)).astype(np.int64)
+        at, long = self.at[place].astype(np.int64), self.long[place].astype(np.int64)
+        missed = np.flatnonzero(self.hashes[place] != hashes)
+        if len(missed):
+            new, one, of = np.unique(hashes[missed], return_index=True, return_inverse=True)
+            one = missed[one]
+            ids = self._learned([data[a:b].tobytes().decode("latin-1") for a, b in zip(starts[one], ends[one], strict=True)])
+            sizes = np.array([len(x) for x in ids])
+            if self.used + sizes.sum() > len(self.held):  # one text of long pieces; the next call forgets them
+                self.held = np.concatenate([self.held, np.zeros(int(sizes.sum()), np.uint32)])
+            begins = self.used + np.cumsum(sizes) - sizes
+            self.held[self.used : self.used + sizes.sum()] = np.concatenate(ids)
+            self.used += int(sizes.sum())
+            slot = (new & U64(PLACES - 1)).astype(np.int64)
+            self.hashes[slot] = new
+            # Of several for one place the last stays, in all three arrays alike.
+            self.at[slot], self.long[slot] = begins, sizes
+            at[missed], long[missed] = begins[of], sizes[of]
+        ends_of = np.cumsum(long)
+        ids = self.held[np.repeat(at - ends_of + long, long) + np.arange(ends_of[-1])]
+        cuts = np.concatenate([[0], ends_of])[np.searchsorted(starts, bounds)]
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    def _learned(self, pieces: list[str]) -> list[np.ndarray]:
+        """ids of pieces from the library; those of a blank and no more white space go through it joined."""
+        out: list[np.ndarray | None] = [None] * len(pieces)
+        joined = [i for i, p in enumerate(pieces) if p[0] == " " and len(p) <= PIECE_CHARS and p[-1] != " " and len(p.split()) == 1]
+        for a in range(0, len(joined), 200):
+            # Each of these begins with the only id of its own that begins with a blank.
+            some = joined[a : a + 200]
+            ids = self.whole(["".join([pieces[i] for i in some])])[0]
+            cuts = np.flatnonzero(self.blank[ids])
+            if len(cuts) == len(some):
+                bounds = np.append(cuts, len(ids)).tolist()
+                for i, b, c in zip(some, bounds, bounds[1:], strict=False):
+                    out[i] = ids[b:c]
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i, x in zip(rest, self.whole([pieces[i] for i in rest]), strict=True):
+            out[i] = x
+        return out
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder_of(path: str) -> Encoder:
+    """One for each worker process, with what it remembers from its earlier tasks."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 def tokenised(docs: DataFrame, path: str, end: int = END) -> DataFrame:
@@ -115,23 +237,26 @@ def tokenised(docs: DataFrame, path: str, end: int = END) -> DataFrame:
     ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
 
     def packed(batches):
-        encoder, squeeze, part = Encoder(path), zstandard.ZstdCompressor(level=1), TaskContext.get().partitionId()
-        last, heads, ids, held = np.array([end], "<u4").tobytes(), [], [], 0
+        encoder, squeeze, part = encoder_of(path), zstandard.ZstdCompressor(level=1), TaskContext.get().partitionId()
+        last, heads, ids, held = np.array([end], np.uint32), [], [], 0
 
         def block():
             found = np.array(heads, _HEAD)
-            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([len(heads)], pa.int64()), pa.array([held]), pa.array([found.tobytes()]), pa.array([squeeze.compress(b"".join(ids))])], ["part", "n_docs", "n_tokens", "heads", "ids"])
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([len(heads)], pa.int64()), pa.array([held]), pa.array([found.tobytes()]), pa.array([squeeze.compress(np.concatenate(ids).astype("<u4").tobytes())])], ["part", "n_docs", "n_tokens", "heads", "ids"])
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                own = encoder.encode(text.as_py())
-                n = len(own) // 4 + 1
-                heads.append((doc_id or 0, doc_id is not None, n))
-                ids += (own, last)
-                held += n
-                if held >= BLOCK_TOKENS:
-                    yield block()
-                    heads, ids, held = [], [], 0
+            sizes = np.cumsum(pc.binary_length(batch.column(1)).to_numpy()) // AT_ONCE
+            bounds = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(bounds, bounds[1:], strict=False):
+                texts = batch.column(1).slice(a, b - a).to_pylist()
+                for doc_id, own in zip(batch.column(0).slice(a, b - a).to_pylist(), encoder.encode(texts), strict=True):
+                    n = len(own) + 1
+                    heads.append((doc_id or 0, doc_id is not None, n))
+                    ids += (own, last)
+                    held += n
+                    if held >= BLOCK_TOKENS:
+                        yield block()
+                        heads, ids, held = [], [], 0
         if heads:
             yield block()
 
