@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from ..functions import dates, text
 from ..operators import incremental, minutes, speakers, tfidf, tokens
 from ..profiles import COUNCIL, PARLIAMENT
-from ..sources import readers
-from ..staging import settled
+from ..sources import landing, readers
+from ..staging import new_folder, settled
 from . import pipelines
 
 #: A stand-in dictionary of category words, as the tables hold no Japanese.
@@ -254,6 +254,16 @@ def incremental_new_meetings(spark, sf):
     return incremental.new_rows(found, _read(spark, sf, "labels").select(F.col("doc_id").alias("issue")), "issue")
 
 
+def landed_merge(spark, sf):
+    """Events as a listing without props land by day, then the records of errors and purchases take their place; the table as it
+    is then, in a folder of its own, and the days that were rewritten."""
+    folder = new_folder(spark, "landed")
+    events = _read(spark, sf, "events").select("event_id", F.col("ts").cast("date").alias("day"), "event_type", "value", "props")
+    landing.land(events.withColumn("props", F.lit(None).cast("string")), folder, "event_id", "day")
+    done = landing.merge(events.where(F.col("event_type").isin("error", "purchase")), folder, "event_id", "day")
+    return landing.landed(spark, folder).select("event_id", landing.DAY, "event_type", "props", F.col(landing.DAY).isin(list(done.rewritten)).alias("rewritten"))
+
+
 def html_links(spark, sf):
     found = readers.links(_read(spark, sf, "pages"), suffix="")
     return found.groupBy("page_id", "target", "file_name").agg(F.count(F.lit(1)).alias("n"))
@@ -300,7 +310,7 @@ _QUERIES = (
     session_tfidf_top30, session_term_counts, document_frequency, vocabulary_pruned, speaker_utterance_stats, speaker_tfidf_top200, top3_speakers_top5_words, speaker_meta_left_join, member_flag_join, category_scores, category_top5,
     category_lint, stopword_anti_join, token_class_filters, transcript_format, utterance_segments, session_split_loose, session_split_strict, first_value_meta, last_wins_dedup, incremental_new_sessions, incremental_new_meetings,
     html_links, json_props, has_text_predicate, chunk_2000, printable_ratio, era_date_parse, filename_sort_key, nfkc_name, run_counters,
-    speakers_meta, tfidf_words, tfidf_categories, token_filters, safe_file_names, stripped_texts, to_enrich, latest_members,
+    speakers_meta, tfidf_words, tfidf_categories, token_filters, safe_file_names, stripped_texts, to_enrich, latest_members, landed_merge,
 )
 
 

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import front_matter
 from ..functions.text import chunks, folded_name, nfkc
-from ..operators import minutes, speakers, tfidf, tokens
+from ..operators import incremental, minutes, speakers, tfidf, tokens
 from ..profiles import Profile
-from ..sources import sinks
-from ..sources.readers import body_lines, readable, sort_key
+from ..sources import landing, sinks
+from ..sources.readers import body_lines, full_meetings, readable, sort_key
 from ..staging import settled
 
 
@@ -69,6 +71,18 @@ def named_segments(segments: DataFrame, profile: Profile) -> DataFrame:
     return segments.join(normalised(segments, "name", profile), "name").where(F.length("speaker_id") > 0)
 
 
+def enrich_landed(spark: SparkSession, path: str, fetch: Callable[[str], dict | None], pause: float = 0.5) -> dict[str, int]:
+    """Looks up the landed meetings that have no speech and puts the full records in their place; counts of targets, ok, error.
+
+    Each target is looked up once; a lookup that fails leaves its meeting as it is and a target of the next run."""
+    targets = settled(incremental.to_enrich(landing.landed(spark, path)).select("issueID"))
+    full = settled(full_meetings(targets, fetch, pause))
+    n, ok = targets.count(), full.count()
+    if ok:
+        sinks.merge_meetings(full, path)
+    return {"targets": n, "ok": ok, "error": n - ok}
+
+
 def harvested_speakers(meetings: DataFrame, profile: Profile) -> DataFrame:
     """speaker_id, role, party from the meetings' speeches (file_name, speechRecord) in the order of the files."""
     key = sort_key(F.col("file_name"))

@@ -5,16 +5,14 @@ from __future__ import annotations
 import json
 import re
 import time
-import urllib.parse
-import urllib.request
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions.text import last_part, printable_ratio, resolve_url, strip, unix_lines
+from .meeting_api import get_bytes, get_json
 
 SPEECH = "struct<speaker:string,speakerRole:string,speakerGroup:string,speech:string>"
 MEETING = f"session string, nameOfHouse string, nameOfMeeting string, issue string, issueID string, date string, speechRecord array<{SPEECH}>"
@@ -108,80 +106,10 @@ def readable(documents: DataFrame) -> DataFrame:
     return found.where((printable_ratio(F.col("first_page")) >= 0.5) & (F.length(strip(F.col("full_text"))) > 0))
 
 
-class MeetingApi(DataSource):
-    """Paginated meeting lists as `spark.read.format("meeting_api").option("base", "https://host/api")`.
-
-    Pages come from base/meeting_list, or from option fetch, "package.module:function", a function that takes the query as a dict
-    and returns one page as a dict with meetingRecord, numberOfRecords and nextRecordPosition.  Options:
-    session, house, meeting, from, until, speaker, any (one at least; empty ones and session 0 are not sent), pause (seconds).
-    A failing page ends the scan: what came before it is returned.
-    """
-
-    FILTERS = {"session": "session", "house": "nameOfHouse", "meeting": "nameOfMeeting", "from": "from", "until": "until", "speaker": "speaker", "any": "any"}
-
-    @classmethod
-    def name(cls) -> str:
-        return "meeting_api"
-
-    def schema(self) -> str:
-        return "issueID string, record string"
-
-    def reader(self, schema) -> DataSourceReader:
-        return _MeetingReader({k.lower(): v for k, v in self.options.items()})
-
-
-class _MeetingReader(DataSourceReader):
-    PAGE = 100
-
-    def __init__(self, options: dict):
-        self.options = options
-        self.query = {send: options[k] for k, send in MeetingApi.FILTERS.items() if options.get(k) and not (k == "session" and options[k] == "0")}
-        if not self.query:
-            raise ValueError("a search condition is needed")
-        if "fetch" not in options and "base" not in options:
-            raise ValueError("option base or fetch is needed")
-
-    def partitions(self) -> list[InputPartition]:
-        return [InputPartition(0)]
-
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        if "fetch" in self.options:
-            import importlib
-
-            module, _, function = self.options["fetch"].partition(":")
-            fetch = getattr(importlib.import_module(module), function)
-        else:
-            fetch = lambda query: get_json(f"{self.options['base'].rstrip('/')}/meeting_list", query)
-        at, seen = 1, 0
-        while at:
-            try:
-                page = fetch({**self.query, "maximumRecords": self.PAGE, "startRecord": at, "recordPacking": "json"})
-            except (OSError, ValueError):
-                return
-            for record in page.get("meetingRecord", []):
-                seen += 1
-                yield record.get("issueID"), json.dumps(record, ensure_ascii=False)
-            at = page.get("nextRecordPosition")
-            if seen >= int(page.get("numberOfRecords", 0)):
-                return
-            time.sleep(float(self.options.get("pause", 0.5)))
-
-
 def parsed_meetings(records: DataFrame) -> DataFrame:
     return records.select(F.from_json("record", MEETING).alias("m")).select("m.*")
 
 
-def get_bytes(url: str, timeout: float = 30) -> tuple[bytes, str | None]:
-    """What the address holds, and the character set that the answer names.  Failures are OSError."""
-    with urllib.request.urlopen(url, timeout=timeout) as answer:  # noqa: S310
-        return answer.read(), answer.headers.get_content_charset()
-
-
-def get_json(url: str, query: dict, timeout: float = 30) -> dict:
-    """A JSON answer; failures are OSError, other content ValueError."""
-    return json.loads(get_bytes(f"{url}?{urllib.parse.urlencode(query)}", timeout)[0])
-
-
 def meeting_by_id(base: str) -> Callable[[str], dict | None]:
     """A lookup for full_meetings."""
 
@@ -192,10 +120,11 @@ def meeting_by_id(base: str) -> Callable[[str], dict | None]:
     return fetch
 
 
-def full_meetings(targets: DataFrame, fetch: Callable[[str], dict | None], pause: float = 0.5) -> DataFrame:
+def full_meetings(targets: DataFrame, fetch: Callable[[str], dict | None], pause: float = 0.5, tasks: int = 1) -> DataFrame:
     """The full records of the targets' issueID, one lookup each, with a pause after each; failures have no row.
 
-    One task does all lookups, so that the pause holds for the service as a whole."""
+    The pause holds for the service as a whole: each of several tasks waits as many times longer, so that more of them shorten
+    slow answers and not the pauses."""
 
     def looked_up(batches):
         for batch in batches:
@@ -207,10 +136,10 @@ def full_meetings(targets: DataFrame, fetch: Callable[[str], dict | None], pause
                     record = None
                 if record:
                     found.append((issue, json.dumps(record, ensure_ascii=False)))
-                time.sleep(pause)
+                time.sleep(pause * tasks)
             yield pd.DataFrame(found, columns=["issueID", "record"])
 
-    return parsed_meetings(targets.select("issueID").coalesce(1).mapInPandas(looked_up, "issueID string, record string"))
+    return parsed_meetings(targets.select("issueID").repartition(tasks).mapInPandas(looked_up, "issueID string, record string"))
 
 
 #: Tried in this order where a page names no character set.
@@ -229,37 +158,35 @@ def decoded(content: bytes, charset: str | None) -> str:
     return content.decode("utf-8", "replace")
 
 
-def fetched_pages(urls: DataFrame, url: str = "url", fetch: Callable[[str], tuple[bytes, str | None]] = get_bytes) -> DataFrame:
-    """url, html of every address that answers."""
+def fetched_pages(urls: DataFrame, url: str = "url", fetch: Callable[[str], tuple[bytes, str | None]] = get_bytes, pause: float = 1.0, tasks: int = 1) -> DataFrame:
+    """url, html of every address that answers; pause and tasks as in full_meetings."""
 
     def got(batches):
         for batch in batches:
-            found = []
             for address in batch[url]:
                 try:
-                    found.append((address, decoded(*fetch(address))))
+                    yield pd.DataFrame([(address, decoded(*fetch(address)))], columns=["url", "html"])
                 except (OSError, ValueError):
                     continue
-            yield pd.DataFrame(found, columns=["url", "html"])
+                time.sleep(pause * tasks)
 
-    return urls.select(url).coalesce(1).mapInPandas(got, "url string, html string")
+    return urls.select(url).repartition(tasks).mapInPandas(got, "url string, html string")
 
 
-def downloaded(found: DataFrame, fetch: Callable[[str], tuple[bytes, str | None]] = get_bytes, pause: float = 1.0) -> DataFrame:
-    """file_name, target, content of links whose target answers, with a pause after each; sinks.save_files keeps them."""
+def downloaded(found: DataFrame, fetch: Callable[[str], tuple[bytes, str | None]] = get_bytes, pause: float = 1.0, tasks: int = 1) -> DataFrame:
+    """file_name, target, content of links whose target answers, one file at a time; sinks.save_files keeps them.  pause and tasks as
+    in full_meetings."""
 
     def got(batches):
         for batch in batches:
-            rows = []
             for name, target in zip(batch.file_name, batch.target, strict=True):
                 try:
-                    rows.append((name, target, fetch(target)[0]))
+                    yield pd.DataFrame([(name, target, fetch(target)[0])], columns=["file_name", "target", "content"])
                 except (OSError, ValueError):
                     continue
-                time.sleep(pause)
-            yield pd.DataFrame(rows, columns=["file_name", "target", "content"])
+                time.sleep(pause * tasks)
 
-    return found.select("file_name", "target").coalesce(1).mapInPandas(got, "file_name string, target string, content binary")
+    return found.select("file_name", "target").repartition(tasks).mapInPandas(got, "file_name string, target string, content binary")
 
 
 def session_texts(spark: SparkSession, folder: str) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import safe_filename, strip
 from ..operators.minutes import file_name
+from .landing import Landing, land, merge
 from .readers import require
 
 
@@ -22,10 +23,15 @@ def meeting_file(meeting: DataFrame) -> Column:
     return F.concat(F.concat_ws("_", F.replace(F.coalesce(F.col("date"), F.lit("00000000")), F.lit("-"), F.lit("")), part("nameOfHouse"), part("nameOfMeeting"), part("issue"), part("issueID")), F.lit(".json"))
 
 
-def save_meetings(meetings: DataFrame, path: str) -> None:
-    """Appends the whole records, with the name that each one's file would have in file_name, as JSON lines: one table, whose
-    files follow the partitions and not the meetings."""
-    meetings.withColumn("file_name", meeting_file(meetings)).write.mode("append").json(path)
+def land_meetings(meetings: DataFrame, path: str) -> Landing:
+    """Lands whole records, with the name that each one's file would have in file_name, in a table by day; meetings that are there
+    stay as they are."""
+    return land(meetings.withColumn("file_name", meeting_file(meetings)), path, "issueID", "date")
+
+
+def merge_meetings(meetings: DataFrame, path: str) -> Landing:
+    """Puts whole records in the place of those with their issueID."""
+    return merge(meetings.withColumn("file_name", meeting_file(meetings)), path, "issueID", "date")
 
 
 def meeting_files(meetings: DataFrame, folder: str) -> int:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from kaigi.operators import incremental, minutes, speakers, tfidf, tokens
 from kaigi.plans import pipelines
 from kaigi.profiles import COUNCIL, PARLIAMENT, TokenRules, categories_from, stop_words_from
-from kaigi.sources import readers, sinks
+from kaigi.sources import landing, meeting_api, readers, retrieval, sinks
 from kaigi.streaming import incremental as streams
 from kaigi.streaming.incremental import send_batch
 
@@ -211,7 +211,7 @@ def service():
 
 
 def test_fetching_over_http(spark, tmp_path, service):
-    spark.dataSource.register(readers.MeetingApi)
+    meeting_api.enable(spark)
     listed = spark.read.format("meeting_api").option("base", service + "/api").option("session", "213").option("pause", "0").load()
     assert sorted(x.issueID for x in listed.collect()) == sorted(f"213-{i}" for i in range(1, 231))
     with pytest.raises(Exception, match="search condition"):
@@ -221,7 +221,7 @@ def test_fetching_over_http(spark, tmp_path, service):
     assert [(x.issueID, x.speechRecord[0].speech) for x in full.collect()] == [("5", "x")]
     merged = incremental.enriched(readers.parsed_meetings(spark.createDataFrame([('{"issueID": "5"}',), ('{"issueID": "6"}',)], "record string")), full)
     assert {x.issueID: bool(x.speechRecord) for x in merged.collect()} == {"5": True, "6": False}
-    pages = readers.fetched_pages(spark.createDataFrame([(service + "/links.html",), (service + "/none",)], "url string"))
+    pages = readers.fetched_pages(spark.createDataFrame([(service + "/links.html",), (service + "/none",)], "url string"), pause=0)
     assert sinks.meeting_files(merged, str(tmp_path / "m")) == 2
     links = readers.links(pages)
     assert {(x.file_name, x.target.removeprefix(service)) for x in links.collect()} == {("会.pdf", "/a/会.pdf"), ("b.pdf", "/b.pdf")}
@@ -229,8 +229,8 @@ def test_fetching_over_http(spark, tmp_path, service):
     assert sinks.save_files(got, str(tmp_path / "pdf")) == 1 and (tmp_path / "pdf" / "b.pdf").read_bytes() == b"%PDF /b.pdf"
     found = readers.pdf_pages(spark, str(tmp_path / "pdf"), lambda blob: [blob.decode()] if blob else None)
     assert [x.pages for x in found.collect()] == [["%PDF /b.pdf"]]
-    sinks.save_meetings(merged, str(tmp_path / "table"))
-    assert spark.read.json(str(tmp_path / "table")).count() == 2
+    assert sinks.land_meetings(merged, str(tmp_path / "table")).inserted == 2
+    assert landing.landed(spark, str(tmp_path / "table")).count() == 2
 
 
 def test_streams(spark, tmp_path):
@@ -238,17 +238,18 @@ def test_streams(spark, tmp_path):
     land.mkdir()
     for name, issue in (("a", "1"), ("b", "1"), ("c", "2")):
         (land / f"{name}.json").write_text(json.dumps({"issueID": issue}))
-    query = streams.landed_meetings(spark, str(land)).writeStream.format("parquet").option("path", str(tmp_path / "t")).option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
-    query.awaitTermination(60)
-    assert sorted(x.issueID for x in spark.read.parquet(str(tmp_path / "t")).collect()) == ["1", "2"]
+    for _ in range(2):
+        streams.land_stream(streams.landed_meetings(spark, str(land)), str(tmp_path / "t"), str(tmp_path / "ck")).awaitTermination(60)
+        assert sorted(x.issueID for x in landing.landed(spark, str(tmp_path / "t")).collect()) == ["1", "2"]
     spark.createDataFrame([(f"s{i}", "x") for i in range(5)], "session_name string, text string").write.parquet(str(tmp_path / "sessions"))
     sink = sinks.ManifestSink(str(tmp_path / "manifest"))
     stream = spark.readStream.schema("session_name string, text string").parquet(str(tmp_path / "sessions"))
     for _ in range(2):
-        streams.send_stream(stream, log, sink, str(tmp_path / "ck2")).awaitTermination(60)
-    assert readers.upload_log(spark, log).count() == 5
+        streams.send_stream(stream, str(tmp_path / "items"), str(tmp_path / "ck2")).awaitTermination(60)
+    assert retrieval.sent_items(spark, str(tmp_path / "items")).count() == 5
+    assert send_batch(spark.read.parquet(str(tmp_path / "sessions")), log, sink) == 5
     more = spark.createDataFrame([(f"s{i}", "x") for i in range(8)], "session_name string, text string")
-    assert send_batch(more, log, sink, at_once=1) == 3 and readers.upload_log(spark, log).count() == 8
+    assert send_batch(more, log, sink) == 3 and readers.upload_log(spark, log).count() == 8
     assert sinks.retrieval_filter(readers.upload_log(spark, log), "s7")["key"] == "file_id" and sinks.retrieval_filter(readers.upload_log(spark, log), "none") is None
     corpus = more.withColumnRenamed("session_name", "label")
     store = sinks.send_corpus(spark, corpus, sinks.ManifestSink(str(tmp_path / "whole"), "corpus"), "all", str(tmp_path / "id"))
