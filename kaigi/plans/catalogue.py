@@ -269,6 +269,11 @@ def html_links(spark, sf):
     return found.groupBy("page_id", "target", "file_name").agg(F.count(F.lit(1)).alias("n"))
 
 
+def links_by_kind(spark, sf):
+    """How often each page refers to something, by the tag that does."""
+    return readers.linked(_read(spark, sf, "pages")).groupBy("page_id", "kind").agg(F.count(F.lit(1)).alias("n"))
+
+
 def json_props(spark, sf):
     return _read(spark, sf, "events").select(text.json_int(F.col("props"), "k").alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
 
@@ -309,7 +314,7 @@ def run_counters(spark, sf):
 _QUERIES = (
     session_tfidf_top30, session_term_counts, document_frequency, vocabulary_pruned, speaker_utterance_stats, speaker_tfidf_top200, top3_speakers_top5_words, speaker_meta_left_join, member_flag_join, category_scores, category_top5,
     category_lint, stopword_anti_join, token_class_filters, transcript_format, utterance_segments, session_split_loose, session_split_strict, first_value_meta, last_wins_dedup, incremental_new_sessions, incremental_new_meetings,
-    html_links, json_props, has_text_predicate, chunk_2000, printable_ratio, era_date_parse, filename_sort_key, nfkc_name, run_counters,
+    html_links, links_by_kind, json_props, has_text_predicate, chunk_2000, printable_ratio, era_date_parse, filename_sort_key, nfkc_name, run_counters,
     speakers_meta, tfidf_words, tfidf_categories, token_filters, safe_file_names, stripped_texts, to_enrich, latest_members, landed_merge,
 )
 
@@ -398,6 +403,10 @@ conv_id, md5(trim(coalesce(text, ''), ' ' || chr(9) || chr(10) || chr(13))) AS d
     "html_links": """WITH h AS (SELECT page_id, url, unnest(regexp_extract_all(html, '(?i)<a\\b[^<>]*?\\bhref\\s*=\\s*["'']([^"'']*)["'']', 1)) AS href FROM pages),
 r AS (SELECT page_id, href, regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.\\-]*://[^/?#]*)', 1) AS root, regexp_extract(regexp_replace(url, '[?#].*$', ''), '^([a-zA-Z][a-zA-Z0-9+.\\-]*://.*/)[^/]*$', 1) AS folder, regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.\\-]*:)', 1) AS scheme FROM h)
 SELECT page_id, CASE WHEN regexp_matches(href, '^[a-zA-Z][a-zA-Z0-9+.\\-]*:') THEN href WHEN starts_with(href, '//') THEN scheme || href WHEN starts_with(href, '/') THEN root || href WHEN length(folder) > length(root) THEN folder || href ELSE root || '/' || href END AS target, list_last(string_split(href, '/')) AS file_name, count(*) AS n FROM r GROUP BY ALL""",
+    "links_by_kind": r"""WITH c AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), '(?is)(<(?:script|style)\b[^>]*>).*?</(?:script|style)\s*>', '\1', 'g') AS h FROM pages),
+t AS (SELECT page_id, unnest(regexp_extract_all(h, '(?i)<(?:a|area|link|img|script|iframe|source)\s[^>]*>')) AS tag FROM c),
+k AS (SELECT page_id, lower(regexp_extract(tag, '<(\w+)', 1)) AS kind, tag FROM t)
+SELECT page_id, kind, count(*) AS n FROM k WHERE regexp_matches(tag, CASE WHEN kind IN ('a', 'area', 'link') THEN '(?i)\shref\s*=\s*("[^"]+"|''[^'']+''|[^\s"''>])' ELSE '(?i)\ssrc\s*=\s*("[^"]+"|''[^'']+''|[^\s"''>])' END) GROUP BY page_id, kind""",
     "json_props": "SELECT try_cast(json_extract_string(props, '$.k') AS INT) AS k, count(*) AS n FROM events GROUP BY 1",
     "has_text_predicate": "SELECT conv_id, bool_or(length(coalesce(text, '')) > 0) AS has_text, count(*) AS n FROM conversations GROUP BY conv_id",
     "chunk_2000": "SELECT doc_id, i::BIGINT AS chunk_no, md5(substr(text, 2000 * i + 1, 2000)) AS digest FROM (SELECT doc_id, text, unnest(range((greatest(length(text), 1) + 1999) // 2000)) AS i FROM documents WHERE text IS NOT NULL)",

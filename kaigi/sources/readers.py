@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.html import attribute, start_tags
 from ..functions.text import last_part, printable_ratio, resolve_url, strip, unix_lines
 from .meeting_api import get_bytes, get_json
 
@@ -65,10 +66,24 @@ def body_lines(texts: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def links(pages: DataFrame, suffix: str = ".pdf", url: str = "url", html: str = "html") -> DataFrame:
-    """The pages' columns but html, href, target and file_name of every link whose reference ends with suffix."""
-    found = F.regexp_extract_all(F.col(html), F.lit(r"""(?i)<a\b[^<>]*?\bhref\s*=\s*["']([^"']*)["']"""), 1)
+    """The pages' columns but html, href, target and file_name of every link whose reference ends with suffix; empty references
+    are none."""
     rest = [c for c in pages.columns if c != html]
-    return pages.select(*rest, F.explode(F.filter(found, lambda h: h.endswith(suffix))).alias("href")).select(*rest, "href", resolve_url(F.col(url), F.col("href")).alias("target"), last_part(F.col("href")).alias("file_name"))
+    found = linked(pages, {"a": "href"}, url, html).where(F.col("href").endswith(suffix))
+    return found.select(*rest, "href", "target", last_part(F.col("href")).alias("file_name"))
+
+
+#: What refers to something else, by its tag.
+REFERENCES = {"a": "href", "area": "href", "link": "href", "img": "src", "script": "src", "iframe": "src", "source": "src"}
+
+
+def linked(pages: DataFrame, kinds: dict[str, str] = REFERENCES, url: str = "url", html: str = "html") -> DataFrame:
+    """The pages' columns but html, kind (the tag), href and target of everything that a page refers to."""
+    rest = [c for c in pages.columns if c != html]
+    wanted = F.filter(start_tags(F.col(html)), lambda t: t["tag"].isin(list(kinds)))
+    value = F.coalesce(*(F.when(F.col("_t.tag") == tag, attribute(F.col("_t"), name)) for tag, name in kinds.items()))
+    found = pages.select(*rest, F.explode(wanted).alias("_t")).select(*rest, F.col("_t.tag").alias("kind"), value.alias("href")).where("href <> ''")
+    return found.select(*rest, "kind", "href", resolve_url(F.col(url), F.col("href")).alias("target"))
 
 
 def pdf_pages(spark: SparkSession, folder: str, extract: Callable[[bytes], list[str]] | None = None) -> DataFrame:
