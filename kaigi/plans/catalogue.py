@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import dates, text
 from ..operators import incremental, minutes, speakers, tfidf, tokens
 from ..profiles import COUNCIL, PARLIAMENT
-from ..sources import landing, readers
+from ..sources import landing, readers, run_stats
 from ..staging import new_folder, settled
 from . import pipelines
 
@@ -23,12 +23,11 @@ CATEGORIES = [(0, "articles", w) for w in ("the", "der", "die", "das", "le", "la
     (1, "links", w) for w in ("and", "und", "et", "que", "with", "avec")
 ] + [(2, "places", w) for w in ("in", "on", "at", "dans", "von", "de")] + [(3, "mixed", w) for w in ("de", "la", "that", "this", "pour", "para")] + [(4, "never", w) for w in ("A", "x1", "オープン")]
 STOPS = ("the", "and", "of", "la", "de", "die")
-ERA_TEXTS = ("令和元年５月１日", "平成 31 年 4 月 30 日", "昭和64年1月7日", "no date", "自　令和２年２月３０日")
-FILES = ("20240126_a_b_12.json", "20240126_a_b_9.json", "20231201_x.json", "nodate")
-NAMES = ("山田　太郎", "ﾔﾏﾀﾞ", "德田 榮一", "Ａｂｃ")
 #: Letters and the full-width ones that stand for them where rules leave out what has ASCII letters.
 _SMALL = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _WIDE = "".join(chr(ord(x) + 0xFEE0) for x in _SMALL)
+#: A katakana sign for each letter.
+_KANA = "".join(chr(0x30A2 + i) for i in range(52))
 _TOKENS = r"regexp_extract_all(lower(text), '[\p{L}]{2,}')"
 
 
@@ -125,7 +124,11 @@ def category_top5(spark, sf):
 
 
 def category_lint(spark, sf):
-    return speakers.unreachable_words(_categories(spark), list(STOPS))
+    """The words of every benchmark item as a dictionary; a seventh of the items in katakana."""
+    word = F.explode(F.array_distinct(F.split(F.regexp_replace("text", r"[^\p{L} ]", ""), " +")))
+    found = _read(spark, sf, "benchmark").select(F.col("item_id").cast("int").alias("cat_seq"), F.concat(F.lit("c"), "item_id").alias("category"), word.alias("word")).where("word <> ''")
+    kana = F.when(F.col("cat_seq") % 7 == 0, F.translate("word", _SMALL, _KANA)).otherwise(F.col("word"))
+    return speakers.unreachable_words(found.withColumn("word", kana), list(STOPS)).distinct()
 
 
 def stopword_anti_join(spark, sf):
@@ -290,21 +293,53 @@ def printable_ratio(spark, sf):
     return _docs(spark, sf).select("doc_id", F.round(text.printable_ratio(F.col("text")), 6).alias("ratio"))
 
 
-def _values(spark, values, name):
-    return spark.createDataFrame([(v,) for v in values], f"{name} string")
+def _era_text(doc_id):
+    """A date in one of six eras (one of them unknown), with a first year here and there and digits of both widths."""
+    number = lambda n: F.when(doc_id % 2 == 0, F.translate(n.cast("string"), "0123456789", text.FULL_WIDTH_DIGITS)).otherwise(n.cast("string"))
+    era = F.element_at(F.array(*map(F.lit, (*dates.ERAS, "大和"))), (doc_id % 6 + 1).cast("int"))
+    return F.concat(F.lit("議会　"), era, F.when(doc_id % 13 == 0, "元").otherwise(number(doc_id % 64 + 1)), F.lit("年 "), number(doc_id % 12 + 1), F.lit("月"), number(doc_id % 31 + 1), F.lit("日から"))
 
 
 def era_date_parse(spark, sf):
-    return _values(spark, ERA_TEXTS, "t").select("t", dates.parse_date(F.col("t")).alias("day"))
+    return _docs(spark, sf).select("doc_id", dates.parse_date(_era_text(F.col("doc_id"))).alias("day"))
 
 
 def filename_sort_key(spark, sf):
-    key = readers.sort_key(F.col("f"))
-    return _values(spark, FILES, "f").select("f", key["day"].alias("day"), key["number"].cast("long").alias("number"))
+    """Every document as a file, a fifth of them without a day and number."""
+    name = F.when(F.col("doc_id") % 5 == 0, F.concat("source", F.lit(".json"))).otherwise(F.concat((20240101 + F.col("doc_id") % 28).cast("string"), F.lit("_"), "lang", F.lit("_"), F.col("doc_id").cast("string"), F.lit(".json")))
+    key = readers.sort_key(name)
+    return _docs(spark, sf).select("doc_id", key["day"].alias("day"), key["number"].cast("long").alias("number"))
 
 
 def nfkc_name(spark, sf):
-    return _values(spark, NAMES, "n").select("n", text.folded_name(text.nfkc("n"), True).alias("name"))
+    """Sources in full-width characters with a wide blank, which normalise to the sources."""
+    wide = F.concat(F.translate("source", _SMALL + "0123456789", _WIDE + text.FULL_WIDTH_DIGITS), F.lit("　"), F.translate("lang", _SMALL, _WIDE))
+    names = _docs(spark, sf).select(wide.alias("n")).groupBy("n").agg(F.count(F.lit(1)).alias("docs"))
+    return names.select("n", text.folded_name(text.nfkc("n"), True).alias("name"), "docs")
+
+
+def council_headers(spark, sf):
+    """Every document as a council's first page: a third without a kind of session, a quarter without a last day."""
+    d = F.col("doc_id")
+    day = lambda m, n: F.concat(F.lit("令和"), (d % 6 + 1).cast("string"), F.lit("年"), (m % 12 + 1).cast("string"), F.lit("月"), (n % 28 + 1).cast("string"), F.lit("日"))
+    kind = F.element_at(F.array(F.lit("定例会"), F.lit("臨時会"), F.lit("会")), (d % 3 + 1).cast("int"))
+    page = F.concat(F.lit("令和"), (d % 6 + 1).cast("string"), F.lit("年 第"), (d % 9 + 1).cast("string"), F.lit("回 "), kind, F.lit("\n自 "), day(d, d), F.when(d % 4 == 0, "").otherwise(F.concat(F.lit("\n至 "), day(d + 1, d * 7))))
+    return _docs(spark, sf).select("doc_id", minutes.council_header(dates.front_matter(page)).alias("header"))
+
+
+def front_matter_removed(spark, sf):
+    """Every text as a session with a block of attendance (the text itself) before its first speaker."""
+    body = F.concat(F.lit("◎会議録情報\n"), "text", F.lit("\n◎甲君\n"), "text")
+    return _docs(spark, sf).select("doc_id", F.md5(tokens.without_front_matter(body)).alias("digest"))
+
+
+def observed_counters(spark, sf):
+    """run_counters, taken while the documents are written for something else."""
+    long = F.length("text") > 0
+    counts = {"n": F.count(F.lit(1)), "ok": F.count_if(long), "skipped": F.count_if(~F.coalesce(long, F.lit(False))), "n_chars": F.sum(F.length("text")).cast("long"), "n_bytes": F.sum(F.octet_length("text")).cast("long")}
+    rows, seen = run_stats.observed(_docs(spark, sf), **counts)
+    settled(rows.select("doc_id", F.length("text")))
+    return spark.createDataFrame([tuple(seen.get[c] for c in counts)], ", ".join(f"{c} long" for c in counts))
 
 
 def run_counters(spark, sf):
@@ -314,7 +349,7 @@ def run_counters(spark, sf):
 _QUERIES = (
     session_tfidf_top30, session_term_counts, document_frequency, vocabulary_pruned, speaker_utterance_stats, speaker_tfidf_top200, top3_speakers_top5_words, speaker_meta_left_join, member_flag_join, category_scores, category_top5,
     category_lint, stopword_anti_join, token_class_filters, transcript_format, utterance_segments, session_split_loose, session_split_strict, first_value_meta, last_wins_dedup, incremental_new_sessions, incremental_new_meetings,
-    html_links, links_by_kind, json_props, has_text_predicate, chunk_2000, printable_ratio, era_date_parse, filename_sort_key, nfkc_name, run_counters,
+    html_links, links_by_kind, json_props, has_text_predicate, chunk_2000, printable_ratio, era_date_parse, filename_sort_key, nfkc_name, council_headers, front_matter_removed, run_counters, observed_counters,
     speakers_meta, tfidf_words, tfidf_categories, token_filters, safe_file_names, stripped_texts, to_enrich, latest_members, landed_merge,
 )
 
@@ -383,7 +418,9 @@ _ORACLES = {
     "member_flag_join": "SELECT d.doc_id::VARCHAR AS speaker_id, source, CASE WHEN l.doc_id IS NULL THEN '不明' ELSE '議員' END AS role, coalesce(quality::VARCHAR, '') AS party, coalesce(toxic::VARCHAR, '') AS faction, CASE WHEN l.doc_id IS NULL THEN '' ELSE quality || ',' || toxic END AS terms, l.doc_id IS NOT NULL AS in_member_json FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id",
     "category_scores": f"{_SCORES} SELECT source, cat_seq, category, round(coalesce(sum(weight), 0.0), 4) AS score, count(word) AS word_count FROM e CROSS JOIN c LEFT JOIN m USING (source, cat_seq) GROUP BY ALL",
     "category_top5": f"{_SCORES} SELECT source, cat_seq, coalesce(string_agg(word, ',' ORDER BY r) FILTER (WHERE r <= 5), '') AS top_words FROM e CROSS JOIN c LEFT JOIN m USING (source, cat_seq) GROUP BY ALL",
-    "category_lint": f"WITH {_CATS} SELECT * FROM (SELECT cat_seq, category, word, CASE WHEN length(word) < 2 THEN 'short' WHEN word IN {STOPS} THEN 'stop word' WHEN regexp_matches(word, '[A-Za-z]') THEN 'ascii' WHEN word <> lower(word) THEN 'capitals' WHEN regexp_matches(word, '^[ァ-ヴー]+$') THEN 'katakana' WHEN regexp_matches(word, '^[ぁ-ん]+$') THEN 'hiragana' END AS reason FROM cats) WHERE reason IS NOT NULL",
+    "category_lint": f"""WITH b AS (SELECT item_id::INT AS cat_seq, 'c' || item_id AS category, unnest(string_split_regex(regexp_replace(text, '[^\\p{{L}} ]', '', 'g'), ' +')) AS w FROM benchmark),
+cats AS (SELECT DISTINCT cat_seq, category, CASE WHEN cat_seq % 7 = 0 THEN translate(w, '{_SMALL}', '{_KANA}') ELSE w END AS word FROM b WHERE w <> '')
+SELECT * FROM (SELECT cat_seq, category, word, CASE WHEN length(word) < 2 THEN 'short' WHEN word IN {STOPS} THEN 'stop word' WHEN regexp_matches(word, '[A-Za-z]') THEN 'ascii' WHEN word <> lower(word) THEN 'capitals' WHEN regexp_matches(word, '^[ァ-ヴー]+$') THEN 'katakana' WHEN regexp_matches(word, '^[ぁ-ん]+$') THEN 'hiragana' END AS reason FROM cats) WHERE reason IS NOT NULL""",
     "stopword_anti_join": f"WITH {_TOK} SELECT doc_id, count(*) AS n_tokens FROM tok WHERE term NOT IN {STOPS} GROUP BY doc_id",
     "token_class_filters": r"""WITH w AS (SELECT source, unnest(list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '')) AS word FROM documents)
 SELECT source, count_if(length(word) < 2)::BIGINT AS short, count_if(regexp_matches(word, '^[0-9０-９\s\-・]+$'))::BIGINT AS digits, count_if(regexp_matches(word, '[a-zA-Z]'))::BIGINT AS ascii, count_if(contains(word, '-'))::BIGINT AS hyphen, count_if(regexp_matches(word, '^[ぁ-ん]+$'))::BIGINT AS hiragana, count_if(regexp_matches(word, '^[ァ-ヴー]+$'))::BIGINT AS katakana, count_if(length(word) > 10)::BIGINT AS long_words FROM w GROUP BY source""",
@@ -411,9 +448,15 @@ SELECT page_id, kind, count(*) AS n FROM k WHERE regexp_matches(tag, CASE WHEN k
     "has_text_predicate": "SELECT conv_id, bool_or(length(coalesce(text, '')) > 0) AS has_text, count(*) AS n FROM conversations GROUP BY conv_id",
     "chunk_2000": "SELECT doc_id, i::BIGINT AS chunk_no, md5(substr(text, 2000 * i + 1, 2000)) AS digest FROM (SELECT doc_id, text, unnest(range((greatest(length(text), 1) + 1999) // 2000)) AS i FROM documents WHERE text IS NOT NULL)",
     "printable_ratio": r"SELECT doc_id, round((length(regexp_replace(text, '[\p{C}\p{Zs}\p{Zl}\p{Zp}]', '', 'g')) + length(text) - length(replace(text, ' ', '')))::DOUBLE / greatest(length(text), 1), 6) AS ratio FROM documents",
-    "era_date_parse": "WITH v(t) AS (VALUES " + ", ".join(f"('{x}')" for x in ERA_TEXTS) + r"""), h AS (SELECT t, translate(t, '０１２３４５６７８９', '0123456789') AS u FROM v), p AS (SELECT t, regexp_extract(u, '(明治|大正|昭和|平成|令和)\s*(元|\d+)\s*年\s*(\d+)\s*月\s*(\d+)\s*日', ['e', 'y', 'm', 'd']) AS x FROM h)
-SELECT t, CASE WHEN x.e <> '' THEN printf('%04d-%02d-%02d', CASE x.e WHEN '明治' THEN 1868 WHEN '大正' THEN 1912 WHEN '昭和' THEN 1926 WHEN '平成' THEN 1989 ELSE 2019 END + CASE WHEN x.y = '元' THEN 1 ELSE try_cast(x.y AS INT) END - 1, try_cast(x.m AS INT), try_cast(x.d AS INT)) END AS day FROM p""",
-    "filename_sort_key": "WITH v(f) AS (VALUES " + ", ".join(f"('{x}')" for x in FILES) + r"), s AS (SELECT f, regexp_replace(f, '\.[^.]*$', '') AS stem FROM v) SELECT f, split_part(stem, '_', 1) AS day, coalesce(try_cast(nullif(regexp_extract(stem, '(\d+)$', 1), '') AS BIGINT), 0) AS number FROM s",
+    "era_date_parse": r"""WITH v AS (SELECT doc_id, '議会　' || (['明治', '大正', '昭和', '平成', '令和', '大和'])[doc_id % 6 + 1] || CASE WHEN doc_id % 13 = 0 THEN '元' ELSE (doc_id % 64 + 1)::VARCHAR END || '年 ' || (doc_id % 12 + 1) || '月' || (doc_id % 31 + 1) || '日から' AS u FROM documents),
+p AS (SELECT doc_id, regexp_extract(u, '(明治|大正|昭和|平成|令和)\s*(元|\d+)\s*年\s*(\d+)\s*月\s*(\d+)\s*日', ['e', 'y', 'm', 'd']) AS x FROM v)
+SELECT doc_id, CASE WHEN x.e <> '' THEN printf('%04d-%02d-%02d', CASE x.e WHEN '明治' THEN 1868 WHEN '大正' THEN 1912 WHEN '昭和' THEN 1926 WHEN '平成' THEN 1989 ELSE 2019 END + CASE WHEN x.y = '元' THEN 1 ELSE try_cast(x.y AS INT) END - 1, try_cast(x.m AS INT), try_cast(x.d AS INT)) END AS day FROM p""",
+    "filename_sort_key": r"SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN split_part(source, '_', 1) ELSE (20240101 + doc_id % 28)::VARCHAR END AS day, CASE WHEN doc_id % 5 = 0 THEN coalesce(try_cast(regexp_extract(source, '(\d+)$', 1) AS BIGINT), 0) ELSE doc_id END AS number FROM documents",
+    "nfkc_name": f"SELECT translate(source, '{_SMALL}0123456789', '{_WIDE}０１２３４５６７８９') || '　' || translate(lang, '{_SMALL}', '{_WIDE}') AS n, source || lang AS name, count(*) AS docs FROM documents GROUP BY ALL",
+    "council_headers": """WITH v AS (SELECT doc_id, printf('%04d-%02d-%02d', 2019 + doc_id % 6, doc_id % 12 + 1, doc_id % 28 + 1) AS a, CASE WHEN doc_id % 4 = 0 THEN '?' ELSE printf('%04d-%02d-%02d', 2019 + doc_id % 6, (doc_id + 1) % 12 + 1, doc_id * 7 % 28 + 1) END AS b FROM documents)
+SELECT doc_id, chr(10) || chr(10) || '==== 令和' || (doc_id % 6 + 1) || '年 第' || (doc_id % 9 + 1) || '回 ' || (['定例会', '臨時会', '種別不明'])[doc_id % 3 + 1] || ' ' || CASE WHEN a = b THEN a ELSE a || '〜' || b END || ' ====' || chr(10) AS header FROM v""",
+    "front_matter_removed": "SELECT doc_id, md5(chr(10) || text) AS digest FROM documents",
+    "observed_counters": "SELECT count(*) AS n, count_if(length(text) > 0)::BIGINT AS ok, count_if(coalesce(length(text), 0) = 0)::BIGINT AS skipped, sum(length(text))::BIGINT AS n_chars, sum(strlen(text))::BIGINT AS n_bytes FROM documents",
     "run_counters": "SELECT count(*) AS n, count_if(length(text) > 0)::BIGINT AS ok, count_if(coalesce(length(text), 0) = 0)::BIGINT AS skipped, sum(length(text))::BIGINT AS n_chars, sum(strlen(text))::BIGINT AS n_bytes FROM documents",
     "speakers_meta": f"{_SPEAKERS} SELECT speaker_id AS id, name, role, party, utterance_count, coalesce(total_words, 0)::BIGINT AS total_words FROM about",
     "tfidf_words": f"{_SPEAKERS} SELECT speaker_id, name, role, party, utterance_count, term AS word, round(weight, 6) AS tfidf, tf AS count, rank FROM ranked JOIN about USING (speaker_id) WHERE rank <= 200",

@@ -11,19 +11,30 @@ from ..functions.dates import front_matter
 from ..functions.text import chunks, folded_name, nfkc
 from ..operators import incremental, minutes, speakers, tfidf, tokens
 from ..profiles import Profile
-from ..sources import landing, sinks
-from ..sources.readers import body_lines, full_meetings, readable, sort_key
+from ..sources import landing, run_stats, sinks
+from ..sources.readers import body_lines, full_meetings, meetings, readable, sort_key
 from ..staging import settled
 
 
-def parliament_sessions(meetings: DataFrame) -> DataFrame:
+def parliament_sessions(found: DataFrame) -> DataFrame:
     """session_seq, label, text of readable meetings in the order of (day, number, file name)."""
-    some = meetings.where("_corrupt is null")
+    some = found.where("_corrupt is null")
     header = minutes.parliament_header(*(F.col(c) for c in ("session", "nameOfHouse", "nameOfMeeting", "issue", "date")))
     key = sort_key(F.col("file_name"))
     return some.select(F.concat_ws("|", key["day"], F.lpad(key["number"].cast("string"), 38, "0"), "file_name").alias("session_seq"), minutes.strip_label(header).alias("label"), minutes.meeting_text(header, F.col("speechRecord")).alias("text"))
 
 
+def format_corpus(spark: SparkSession, folder: str, path: str, run: str, stats: str) -> dict[str, int]:
+    """Meeting files to the concatenated corpus; the counts of files, ok and error (no JSON), which are added to the table stats, come
+    from the same pass."""
+    corrupt = F.col("_corrupt").isNotNull()
+    found, seen = run_stats.observed(meetings(spark, folder), files=F.count(F.lit(1)), ok=F.count_if(~corrupt), error=F.count_if(corrupt))
+    sinks.corpus_text(settled(parliament_sessions(found)), path)
+    counts = {k: int(v or 0) for k, v in seen.get.items()}
+    run_stats.save(spark, stats, run, counts)
+    return counts
+
+
 def council_sessions(documents: DataFrame) -> DataFrame:
     meta = readable(documents).withColumn("meta", front_matter(F.col("first_page")))
     header = minutes.council_header(F.col("meta"))
@@ -83,10 +94,10 @@ def enrich_landed(spark: SparkSession, path: str, fetch: Callable[[str], dict |
     return {"targets": n, "ok": ok, "error": n - ok}
 
 
-def harvested_speakers(meetings: DataFrame, profile: Profile) -> DataFrame:
+def harvested_speakers(found: DataFrame, profile: Profile) -> DataFrame:
     """speaker_id, role, party from the meetings' speeches (file_name, speechRecord) in the order of the files."""
     key = sort_key(F.col("file_name"))
-    speeches = meetings.select(key["day"].alias("day"), key["number"].alias("number"), "file_name", F.posexplode("speechRecord").alias("i", "s"))
+    speeches = found.select(key["day"].alias("day"), key["number"].alias("number"), "file_name", F.posexplode("speechRecord").alias("i", "s"))
     speeches = speeches.select("s.speaker", "s.speakerRole", "s.speakerGroup", F.struct("day", "number", "file_name", "i").alias("at"))
     named = speeches.join(normalised(speeches, "speaker", profile), "speaker").where(F.length("speaker_id") > 0)
     return speakers.harvested(named, "speaker_id", "at", "speakerRole", "speakerGroup")

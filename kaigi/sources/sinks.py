@@ -1,7 +1,10 @@
-"""Exports.  Tables stay parquet; the single files are for readers outside Spark and are written by one task."""
+"""Exports.  Tables stay parquet; ordered files for readers outside Spark are written in ranges, part by part."""
 
 from __future__ import annotations
 
+import csv
+import io
+import json
 import os
 import tempfile
 import uuid
@@ -59,20 +62,47 @@ def save_files(rows: DataFrame, folder: str) -> int:
     return rows.select("file_name", "content").mapInArrow(written, "n long").agg(F.sum("n")).first()[0] or 0
 
 
-def features_json(ranked: DataFrame, label: str, path: str) -> None:
-    """One JSON line for each label: its words with score and count, by rank."""
-    item = F.struct("rank", F.col("term").alias("word"), F.round("weight", 4).alias("score"), F.col("tf").alias("count"))
+def features_json(ranked: DataFrame, sessions: DataFrame, path: str, key: str = "session_seq", label: str = "label") -> None:
+    """One JSON line for each label, in the order in which labels first appear: the words with score and count, by rank, of the last
+    session that has the label; none where that session has none."""
+    count = "count" if "count" in ranked.columns else "tf"
+    item = F.struct("rank", F.col("term").alias("word"), F.round("weight", 4).alias("score"), F.col(count).alias("count"))
     items = F.transform(F.array_sort(F.collect_list(item)), lambda x: x.dropFields("rank"))
-    ranked.groupBy(label).agg(items.alias("items")).coalesce(1).write.mode("overwrite").json(path)
+    names = sessions.groupBy(label).agg(F.min(key).alias("_first"), F.max(key).alias(key))
+    rows = names.join(ranked.groupBy(key).agg(items.alias("items")), key, "left")
+    ordered_json(rows.select(label, F.coalesce("items", F.array()).alias("items"), "_first"), path, "_first", drop=("_first",))
 
 
 def ordered_json(rows: DataFrame, path: str, *order, drop: tuple[str, ...] = ()) -> None:
-    rows.coalesce(1).sortWithinPartitions(*order).drop(*drop).write.mode("overwrite").json(path)
+    """JSON lines in part files by ranges of the order: read by name, or as _parts.json lists them, they make up the whole."""
+    rows.orderBy(*order).drop(*drop).write.mode("overwrite").json(path)
+    _list_parts(rows.sparkSession, path)
 
 
 def ordered_csv(rows: DataFrame, path: str, *order, drop: tuple[str, ...] = ()) -> None:
-    flat = [F.array_join(F.col(c).cast("array<string>"), ",").alias(c) if t.startswith("array") else F.col(c) for c, t in rows.dtypes if c not in drop]
-    rows.coalesce(1).sortWithinPartitions(*order).select(*flat).write.mode("overwrite").option("header", True).csv(path)
+    """CSV in part files by ranges of the order; the header is the first line of the first."""
+    shown = [c for c in rows.columns if c not in drop]
+    flat = [F.array_join(F.col(c).cast("array<string>"), ",").alias(c) if t.startswith("array") else F.col(c) for c, t in rows.dtypes if c in shown]
+    options = {"escape": '"', "emptyValue": "", "nullValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    names = io.StringIO()
+    csv.writer(names, lineterminator="").writerow(shown)
+    header = rows.sparkSession.createDataFrame([(0, names.getvalue())], "_place int, _line string")
+    lines = rows.withColumn("_place", F.lit(1)).withColumn("_line", F.to_csv(F.struct(*flat), options))
+    lines.unionByName(header, allowMissingColumns=True).orderBy("_place", *order).select("_line").write.mode("overwrite").text(path)
+    _list_parts(rows.sparkSession, path)
+
+
+def _put(spark: SparkSession, path: str, text: str) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(hadoop, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def _list_parts(spark: SparkSession, path: str) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    names = sorted(s.getPath().getName() for s in hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(hadoop))
+    _put(spark, f"{path}/_parts.json", json.dumps([n for n in names if not n.startswith(("_", "."))]))
 
 
 def last_sessions(sessions: DataFrame, name: str = "session_name", order: str = "session_seq") -> DataFrame:

@@ -99,8 +99,6 @@ def test_sending_twice_is_a_no_op(spark, tmp_path):
 
 def test_exports(spark, tmp_path):
     ranked = spark.createDataFrame([("l", 1, "w", 0.12345, 3, 2), ("l", 2, "v", 0.1, 1, 2)], "label string, rank int, term string, weight double, tf int, df int")
-    sinks.features_json(ranked, "label", str(tmp_path / "f"))
-    assert json.loads(spark.read.text(str(tmp_path / "f")).first().value)["items"] == [{"word": "w", "score": 0.1235, "count": 3}, {"word": "v", "score": 0.1, "count": 1}]
     sinks.ordered_csv(ranked.withColumn("terms", F.array(F.lit(1), F.lit(2))), str(tmp_path / "c"), "rank")
     assert spark.read.option("header", True).csv(str(tmp_path / "c")).first().terms == "1,2"
     sessions = spark.createDataFrame([("n m", 1, "old"), ("n m", 2, " new \n"), ("empty", 3, " ")], "session_name string, session_seq int, text string")
