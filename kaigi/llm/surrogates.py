@@ -1,9 +1,11 @@
 """PII surrogates (5): keyed, type-consistent replacements for detected entities.
 
 Detected are e-mail addresses, IPv4 addresses, phone numbers (with a country code, in brackets, in threes and fours, or from a
-0 on), payment card numbers (16 digits in fours; of 13 to 19 digits those with a right check digit) and names after a form of
-address.  Each distinct entity of the corpus gets one surrogate, made from a keyed hash of its type and value, so equal
-entities stay equal everywhere (coreference); phone and card numbers are equal if their digits are, however they are written.
+0 on), payment card numbers (16 digits in fours; of 13 to 19 digits those with a right check digit), social security numbers
+(3-2-4) and names after a form of address: up to three words with initials and small words like `de`, which end before another form
+of address or a word that opens a sentence.  Names without a form of address, other numbers and addresses are not.  Each distinct entity of the corpus gets one surrogate, made from a keyed hash of its type and value, so equal
+entities stay equal everywhere (coreference); numbers are equal if their digits are, however they are written, and e-mail
+addresses whatever their case.
 Surrogates keep the format: letters stay letters of the same case and script, digits digits, punctuation stays; card numbers
 keep their first digit and a right check digit, phones their country code, names the gender of their form of address.  Two
 entities with one surrogate, or a surrogate that is itself an entity of the corpus, get a new attempt until all are distinct;
@@ -22,17 +24,23 @@ from .exchange import salted, settled
 
 # Nothing starts inside a run, and what repeats is bounded or gives nothing back: no text can make a pattern slow or deep.
 EMAIL = r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}][\p{L}\p{N}._%+\-]{0,63}+@(?:[\p{L}\p{N}\-]{1,63}+\.){1,10}[A-Za-z]{2,63}"
-IP = r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)"
+_OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+IP = rf"(?<![\p{{L}}\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)"
 _ABROAD = r"(?<![\p{L}\p{N}+])\+(?=(?:[ .\-()/]{0,2}\d){8,15}(?!\d))\d{1,3}(?:[ .\-/]?\(?\d{1,4}\)?){2,6}(?!\d)"
 _BRACKETS = r"(?<![\p{L}\p{N}])\(\d{2,5}\)[ ]?\d{2,4}(?:[ .\-]\d{2,4}){1,3}(?!\d)"
 _THREES = r"(?<![\p{L}\p{N}.\-/])\d{3}(?:[.]\d{3}[.]|-\d{3}-|[ ]\d{3}[ ])\d{4}(?![\p{L}\d]|[.\-]\d)"
 _FROM_ZERO = r"(?<![\p{L}\p{N}.\-/])0(?=(?:[ ./\-]?\d){8,11}(?!\d))\d{1,4}(?:[ ./\-]\d{2,8}){1,5}(?!\d)"
-PHONE = "|".join((_ABROAD, _BRACKETS, _THREES, _FROM_ZERO))
+_SOCIAL = r"(?<![\p{L}\p{N}.\-/])\d{3}-\d{2}-\d{4}(?![\p{L}\d]|[.\-]\d)"
+PHONE = "|".join((_ABROAD, _BRACKETS, _THREES, _FROM_ZERO, _SOCIAL))
 _FOURS = r"\d{4}[ \-]?\d{4}[ \-]?\d{4}[ \-]?\d{4}"
 CARD = rf"(?<!\d)(?:{_FOURS}|3[47]\d{{2}}[ \-]?\d{{6}}[ \-]?\d{{5}}|[3-6]\d{{12,18}})(?!\d)"
 #: Forms of address of men, of women, and of neither.
 MALE, FEMALE, NEUTRAL = "Mr|Herr|Monsieur|Señor|Sr|Don|Господин", "Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|Doña|Госпожа", "Dr|Prof"
-NAME = rf"(?<![\p{{L}}])(?:{MALE}|{FEMALE}|{NEUTRAL})\.? \p{{Lu}}[\p{{L}}'\-]{{1,63}}+(?: \p{{Lu}}[\p{{L}}'\-]{{1,63}}+)?"
+#: Small words within names, and words in capitals after a name that begin something else.
+PARTICLES = "de|du|des|di|da|del|della|dos|das|la|le|van|von|vom|der|den|ter|ten|zu|zum|bin|al|el|y"
+OPENERS = "Please|Thank|Thanks|Dear|Best|Kind|Regards|The|This|That|These|And|But|Or|If|In|On|At|To|For|From|With|We|You|He|She|It|They|His|Her|Our|Your|Is|Was|Has|Have|Will|Can|Could|Would|Should|Not|Yes|No|As|By|Bitte|Danke|Und|Der|Die|Das|Wir|Sie|Er|Merci|Et|Le|La|Les|Il|Elle|Nous|Vous|Gracias|El|Los|Las|Ella|Por"
+_PART = rf"(?:(?:{PARTICLES}) ){{0,3}}(?!(?:{MALE}|{FEMALE}|{NEUTRAL}|{OPENERS})(?![\p{{L}}'\-]))\p{{Lu}}[\p{{L}}'\-]{{1,63}}+"
+NAME = rf"(?<![\p{{L}}])(?:{MALE}|{FEMALE}|{NEUTRAL})\.? (?:\p{{Lu}}\. ){{0,3}}{_PART}(?: (?:\p{{Lu}}\. ){{0,3}}{_PART}){{0,2}}"
 ENTITY = "|".join((EMAIL, IP, PHONE, CARD, NAME))
 ROUNDS = 50
 
@@ -41,6 +49,7 @@ def type_of(value: Column) -> Column:
     return (
         F.when(value.contains("@"), "email")
         .when(value.rlike(r"^(?:\d{1,3}\.){3}\d{1,3}$"), "ip")
+        .when(value.rlike(rf"^(?:{_SOCIAL})$"), "social")
         .when(value.startswith("+"), "phone")
         .when(value.rlike(rf"^(?:{CARD})$"), "card")
         .when(value.rlike(r"^[\d(]"), "phone")
@@ -55,9 +64,10 @@ def _digits(value: Column) -> Column:
 
 
 def canonical(value: Column) -> Column:
-    """What equal entities have in common: the digits of numbers (with the + of a country code), else the value itself."""
+    """What equal entities have in common: the digits of numbers (with the + of a country code), addresses without regard to case, else
+    the value itself."""
     kind = type_of(value)
-    return F.when(kind == "card", _digits(value)).when(kind == "phone", F.concat(F.when(value.startswith("+"), "+").otherwise("0:"), _digits(value))).otherwise(value)
+    return F.when(kind.isin("card", "social"), _digits(value)).when(kind == "email", F.lower(value)).when(kind == "phone", F.concat(F.when(value.startswith("+"), "+").otherwise("0:"), _digits(value))).otherwise(value)
 
 
 def _stream(key: str, *parts: Column) -> Column:
@@ -150,15 +160,24 @@ def surrogate(value: Column, kind: Column, attempt: Column, key: str) -> Column:
     card = F.concat(plain, F.when(_is_right(value), right).otherwise(wrong).cast("string"))
     parts = F.split(value, " ")
     family = F.element_at(parts, -1)
-    # a family name alone and with a given name before it stays the same name
-    given = F.when(F.size(parts) > 2, F.concat(_name(F.element_at(parts, 2), kind, _stream(key, F.lit("given"), kind, F.element_at(parts, 2), attempt.cast("string")), F.lit(False), attempt), F.lit(" "))).otherwise("")
+    # a family name alone and with other names before it stays the same name; small words stay, initials get another letter
+    def before(word):
+        made = _name(word, kind, _stream(key, F.lit("given"), kind, word, attempt.cast("string")), F.lit(False), attempt)
+        initial = F.concat(_letter(F.substring(word, 1, 1), _byte(_stream(key, F.lit("initial"), word), F.lit(0))), F.lit("."))
+        return F.when(word.rlike(f"^(?:{PARTICLES})$"), word).when(word.rlike(r"^\p{Lu}\.$"), initial).otherwise(made)
+
+    middle = F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 2, F.lit(0))), before)
+    given = F.when(F.size(parts) > 2, F.concat(F.array_join(middle, " "), F.lit(" "))).otherwise("")
     name = F.concat(F.element_at(parts, 1), F.lit(" "), given, _name(family, kind, _stream(key, F.lit("family"), family, attempt.cast("string")), F.lit(True), attempt))
-    return F.when(kind == "email", mail).when(kind == "ip", F.array_join(octets, ".")).when(kind == "phone", phone).when(kind == "card", card).otherwise(name)
+    social = F.concat(F.lit("9"), _same_shape(F.substring(value, 2, 20), stream))
+    return F.when(kind == "email", mail).when(kind == "ip", F.array_join(octets, ".")).when(kind == "social", social).when(kind == "phone", phone).when(kind == "card", card).otherwise(name)
 
 
 def in_format(value: Column, made: Column) -> Column:
     """The surrogate of a canonical form, written as the value is."""
-    return F.when(type_of(value).isin("phone", "card"), _laid_out(value, _digits(F.regexp_replace(made, "^0:", "")))).otherwise(made)
+    chars = F.filter(F.split(made, ""), lambda c: c != "")
+    cased = F.array_join(F.transform(chars, lambda c, i: F.when((i < F.length(F.substring_index(value, "@", 1))) & F.substring(value, i + 1, F.lit(1)).rlike(r"\p{Lu}"), F.upper(c)).otherwise(c)), "")
+    return F.when(type_of(value).isin("phone", "card", "social"), _laid_out(value, _digits(F.regexp_replace(made, "^0:", "")))).when(type_of(value) == "email", cased).otherwise(made)
 
 
 def assign(entities: DataFrame, key: str) -> DataFrame:
