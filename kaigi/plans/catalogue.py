@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, text
-from ..operators import incremental, minutes, speakers, tfidf, tokens
+from ..operators import incremental, minutes, retrieval, speakers, tfidf, tokens
 from ..profiles import COUNCIL, PARLIAMENT
 from ..sources import landing, readers, run_stats
 from ..staging import new_folder, settled
@@ -272,6 +272,15 @@ def html_links(spark, sf):
     return found.groupBy("page_id", "target", "file_name").agg(F.count(F.lit(1)).alias("n"))
 
 
+def retrieval_top10(spark, sf):
+    """The ten documents nearest to each benchmark item."""
+    n, counts = _docs(spark, sf).count(), _settled_counts(spark, sf)
+    weights = settled(tfidf.tfidf(counts, "doc_id", n, min_df=1, max_df=1.0))
+    asked = tfidf.term_counts(_read(spark, sf, "benchmark").select("item_id", F.explode(text.words(F.col("text"))).alias("term")), "item_id")
+    queries = settled(retrieval.query_weights(asked, tfidf.document_frequency(counts), n, "item_id"))
+    return retrieval.nearest(weights, queries, 10, "doc_id", "item_id").select("item_id", "rank", "doc_id", F.round("score", 6).alias("score"))
+
+
 def links_by_kind(spark, sf):
     """How often each page refers to something, by the tag that does."""
     return readers.linked(_read(spark, sf, "pages")).groupBy("page_id", "kind").agg(F.count(F.lit(1)).alias("n"))
@@ -349,7 +358,7 @@ def run_counters(spark, sf):
 _QUERIES = (
     session_tfidf_top30, session_term_counts, document_frequency, vocabulary_pruned, speaker_utterance_stats, speaker_tfidf_top200, top3_speakers_top5_words, speaker_meta_left_join, member_flag_join, category_scores, category_top5,
     category_lint, stopword_anti_join, token_class_filters, transcript_format, utterance_segments, session_split_loose, session_split_strict, first_value_meta, last_wins_dedup, incremental_new_sessions, incremental_new_meetings,
-    html_links, links_by_kind, json_props, has_text_predicate, chunk_2000, printable_ratio, era_date_parse, filename_sort_key, nfkc_name, council_headers, front_matter_removed, run_counters, observed_counters,
+    retrieval_top10, html_links, links_by_kind, json_props, has_text_predicate, chunk_2000, printable_ratio, era_date_parse, filename_sort_key, nfkc_name, council_headers, front_matter_removed, run_counters, observed_counters,
     speakers_meta, tfidf_words, tfidf_categories, token_filters, safe_file_names, stripped_texts, to_enrich, latest_members, landed_merge,
 )
 
@@ -440,6 +449,12 @@ conv_id, md5(trim(coalesce(text, ''), ' ' || chr(9) || chr(10) || chr(13))) AS d
     "html_links": """WITH h AS (SELECT page_id, url, unnest(regexp_extract_all(html, '(?i)<a\\b[^<>]*?\\bhref\\s*=\\s*["'']([^"'']*)["'']', 1)) AS href FROM pages),
 r AS (SELECT page_id, href, regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.\\-]*://[^/?#]*)', 1) AS root, regexp_extract(regexp_replace(url, '[?#].*$', ''), '^([a-zA-Z][a-zA-Z0-9+.\\-]*://.*/)[^/]*$', 1) AS folder, regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.\\-]*:)', 1) AS scheme FROM h)
 SELECT page_id, CASE WHEN regexp_matches(href, '^[a-zA-Z][a-zA-Z0-9+.\\-]*:') THEN href WHEN starts_with(href, '//') THEN scheme || href WHEN starts_with(href, '/') THEN root || href WHEN length(folder) > length(root) THEN folder || href ELSE root || '/' || href END AS target, list_last(string_split(href, '/')) AS file_name, count(*) AS n FROM r GROUP BY ALL""",
+    "retrieval_top10": f"""WITH {_TOK}, df AS (SELECT term, count(*) AS df FROM tf GROUP BY term), idf AS (SELECT term, ln((1.0 + (SELECT count(*) FROM documents)) / (1 + df)) + 1 AS idf FROM df),
+d AS (SELECT doc_id, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY doc_id)) AS w FROM tf JOIN idf USING (term)),
+b AS (SELECT item_id, term, count(*) AS tf FROM (SELECT item_id, unnest({_TOKENS}) AS term FROM benchmark) GROUP BY ALL),
+q AS (SELECT item_id, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY item_id)) AS w FROM b JOIN idf USING (term)),
+s AS (SELECT item_id, doc_id, sum(q.w * d.w) AS score FROM q JOIN d USING (term) GROUP BY ALL)
+SELECT item_id, rank, doc_id, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY round(score, 10) DESC, doc_id) AS rank FROM s) WHERE rank <= 10""",
     "links_by_kind": r"""WITH c AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), '(?is)(<(?:script|style)\b[^>]*>).*?</(?:script|style)\s*>', '\1', 'g') AS h FROM pages),
 t AS (SELECT page_id, unnest(regexp_extract_all(h, '(?i)<(?:a|area|link|img|script|iframe|source)\s[^>]*>')) AS tag FROM c),
 k AS (SELECT page_id, lower(regexp_extract(tag, '<(\w+)', 1)) AS kind, tag FROM t)
