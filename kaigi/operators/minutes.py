@@ -92,14 +92,15 @@ def utterances(lines: DataFrame, session: str = "session_seq", line_no: str = "l
     """seg_id, role, name, session of the marker, text: what is said from one speaker marker to the next.
 
     The speaker carries over into the next session unless reset_at_session; lines before the first marker and marker lines
-    without a title go; texts are stripped and may be empty (a marker without a speech).
+    without a title go; texts are stripped and may be empty (a marker without a speech).  Lines without a session are one session,
+    before all others.
     """
     is_marker = F.col(line).startswith("◎")
     titled = is_marker & F.col(line).contains("君")
     kept = lines.select(session, line_no, F.coalesce(F.col(line), F.lit("")).alias(line)).where(~is_marker | F.col(line).contains("君"))
     own = kept.withColumn("_at", F.count(F.when(titled, 1)).over(Window.partitionBy(session).orderBy(line_no)))
-    starts = prefix_sums(kept.groupBy(session).agg(F.count(F.when(titled, 1)).alias("_n")), session, "_n").select(session, "before")
-    placed = own.join(starts, session).withColumn("seg_id", F.col("before") + F.col("_at")).where((F.col("_at") > 0) if reset_at_session else (F.col("seg_id") > 0))
+    starts = prefix_sums(kept.groupBy(session).agg(F.count(F.when(titled, 1)).alias("_n")), session, "_n").select(F.col(session).alias("_session"), "before")
+    placed = own.join(starts, F.col(session).eqNullSafe(F.col("_session"))).withColumn("seg_id", F.col("before") + F.col("_at")).where((F.col("_at") > 0) if reset_at_session else (F.col("seg_id") > 0))
     marker = F.struct(session, parse_marker(F.substring(line, 2, 2_000_000_000)).alias("m"))
     pieces = F.array_sort(F.collect_list(F.when(~titled, F.struct(session, line_no, F.col(line).alias("x")))))
     segments = placed.groupBy("seg_id").agg(F.max(F.when(titled, marker)).alias("k"), pieces.alias("p"))

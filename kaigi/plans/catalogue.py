@@ -16,7 +16,7 @@ from ..operators import incremental, minutes, retrieval, speakers, tfidf, tokens
 from ..profiles import COUNCIL, PARLIAMENT
 from ..sources import landing, readers, run_stats
 from ..staging import new_folder, settled
-from . import pipelines
+from . import pipelines, sql
 
 #: A stand-in dictionary of category words, as the tables hold no Japanese.
 CATEGORIES = [(0, "articles", w) for w in ("the", "der", "die", "das", "le", "la", "les", "el", "los")] + [
@@ -364,7 +364,7 @@ _QUERIES = (
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in _QUERIES}
+    return {f.__name__: f for f in _QUERIES} | {name: sql.query(name) for name in sql.QUERIES}
 
 
 def _weights(entity: str, max_df: str, cap: str, sublinear: bool) -> str:
@@ -489,4 +489,4 @@ SELECT 'm' || (member % 1000) AS name, arg_max(member::VARCHAR, member::VARCHAR)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
+    return _ORACLES | sql.ORACLES

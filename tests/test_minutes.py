@@ -41,6 +41,12 @@ def test_utterances_equal_a_sequential_model(spark):
         assert [(x.role, x.name, x.text) for x in got] == sequential(sessions)
 
 
+def test_lines_without_a_session_come_first(spark):
+    rows = [(None, 0, "◎甲君"), (None, 1, "first"), (1, 0, "still"), (1, 1, "◎乙君"), (1, 2, "second")]
+    got = minutes.utterances(spark.createDataFrame(rows, "session_seq int, line_no int, line string")).orderBy("seg_id").collect()
+    assert [(x.name, x.session_seq, x.text) for x in got] == [("甲", None, "first\nstill"), ("乙", 1, "second")]
+
+
 def test_prefix_sums_over_blocks(spark):
     got = minutes.prefix_sums(spark.range(20).withColumn("n", F.col("id") + 1), "id", "n", blocks=3).orderBy("id").collect()
     assert [x.before for x in got] == [sum(range(1, i + 1)) for i in range(20)]
