@@ -35,13 +35,15 @@ COMMON_WORDS = "the|and|that|with|from|this|have|page|data|file|name|user|test|v
 #: What a key word names: in one word with it, or after a word that ends in = or :
 _SHORT = r"[A-Za-z0-9+/_\-!@#$%^&*~]{6,}"
 _NAMED = rf"(?i)(?:{KEY_WORDS})[\w\-]{{0,20}}[\"']?[=:][\"']?{_SHORT}"
-_NAMES = rf"(?i)(?:{KEY_WORDS})[^\s=:]{{0,20}}\s{{0,2}}[=:]"
+#: What a text has where a key word names anything; a plainer condition than the rule, and one that the rule implies.
+_NAMES = rf"(?i){KEY_WORDS}"
 FEATURES = ("length", "digits", "uppers", "lowers", "transitions", "distinct", "coverage", "hexadecimal", "path", "assigned", "key_near", "key_before", "harmless_near")
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, word_pos (from 0), value, word and the words before1, before2, after1 around it ('' beyond the ends)."""
-    some = docs.where(F.col("text").rlike(CANDIDATE) | F.col("text").rlike(_NAMES)).select("doc_id", words_of(F.col("text")).alias("w"))
+    """doc_id, word_pos (from 0), value, word and the words before1, before2, after1 around it ('' beyond the ends).  Whether a word
+    holds one depends on it and the two words before it alone."""
+    some = docs.where(F.col("text").rlike(CANDIDATE) | (F.col("text").rlike("[=:]") & F.col("text").rlike(_NAMES))).select("doc_id", words_of(F.col("text")).alias("w"))
     n = F.size("w")
     blank = F.array(F.lit(""))
     around = F.arrays_zip(
@@ -70,7 +72,8 @@ def with_coverage(rows: DataFrame, words: DataFrame) -> DataFrame:
     than letters and before a capital that follows a small letter)."""
     parts = F.split(F.lower(F.regexp_replace("value", "([a-z])([A-Z])", "$1 $2")), "[^a-z]+")
     each = rows.select("value").distinct().select("value", F.explode(parts).alias("part")).where("length(part) between 3 and 20")
-    known = each.join(words.select("part"), "part").groupBy("value").agg(F.sum(F.length("part")).alias("covered"))
+    each, words = salted(each, words.select("part"), "part", F.xxhash64("value"))
+    known = each.join(words, ["part", "salt"]).groupBy("value").agg(F.sum(F.length("part")).alias("covered"))
     left, right = salted(rows, known, "value", F.xxhash64("word", "before1", "before2", "after1", F.rand(SEED)))
     return left.join(right, ["value", "salt"], "left").drop("salt").withColumn("covered", F.coalesce("covered", F.lit(0)))
 
