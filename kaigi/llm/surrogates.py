@@ -41,7 +41,8 @@ PARTICLES = "de|du|des|di|da|del|della|dos|das|la|le|van|von|vom|der|den|ter|ten
 OPENERS = "Please|Thank|Thanks|Dear|Best|Kind|Regards|The|This|That|These|And|But|Or|If|In|On|At|To|For|From|With|We|You|He|She|It|They|His|Her|Our|Your|Is|Was|Has|Have|Will|Can|Could|Would|Should|Not|Yes|No|As|By|Bitte|Danke|Und|Der|Die|Das|Wir|Sie|Er|Merci|Et|Le|La|Les|Il|Elle|Nous|Vous|Gracias|El|Los|Las|Ella|Por"
 _PART = rf"(?:(?:{PARTICLES}) ){{0,3}}(?!(?:{MALE}|{FEMALE}|{NEUTRAL}|{OPENERS})(?![\p{{L}}'\-]))\p{{Lu}}[\p{{L}}'\-]{{1,63}}+"
 NAME = rf"(?<![\p{{L}}])(?:{MALE}|{FEMALE}|{NEUTRAL})\.? (?:\p{{Lu}}\. ){{0,3}}{_PART}(?: (?:\p{{Lu}}\. ){{0,3}}{_PART}){{0,2}}"
-ENTITY = "|".join((EMAIL, IP, PHONE, CARD, NAME))
+# Within a word only a card number can begin, so the other patterns aren't tried there.
+ENTITY = rf"(?<!\p{{L}})(?=[\p{{L}}\p{{N}}+(])(?:{'|'.join((EMAIL, IP, PHONE, CARD, NAME))})|{CARD}"
 ROUNDS = 50
 
 
