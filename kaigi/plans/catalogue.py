@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import dates, text
 from ..operators import incremental, minutes, retrieval, speakers, tfidf, tokens
 from ..profiles import COUNCIL, PARLIAMENT
-from ..sources import landing, readers, run_stats
+from ..sources import landing, readers, run_stats, sinks
 from ..staging import new_folder, settled
 from . import pipelines, sql
 
@@ -26,6 +26,8 @@ STOPS = ("the", "and", "of", "la", "de", "die")
 #: Letters and the full-width ones that stand for them where rules leave out what has ASCII letters.
 _SMALL = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _WIDE = "".join(chr(ord(x) + 0xFEE0) for x in _SMALL)
+#: Letters that older forms of characters stand for.
+_FOLDED = "enfrdscu"
 #: A katakana sign for each letter.
 _KANA = "".join(chr(0x30A2 + i) for i in range(52))
 _TOKENS = r"regexp_extract_all(lower(text), '[\p{L}]{2,}')"
@@ -342,6 +344,44 @@ def front_matter_removed(spark, sf):
     return _docs(spark, sf).select("doc_id", F.md5(tokens.without_front_matter(body)).alias("digest"))
 
 
+def kanji_variants(spark, sf):
+    """Sources spelt with older forms of characters, folded to the newer ones."""
+    old = F.translate(F.concat("lang", "source"), _FOLDED, text.VARIANTS[0])
+    return _docs(spark, sf).select(old.alias("n")).groupBy("n").agg(F.count(F.lit(1)).alias("docs")).select(text.folded_name(F.col("n"), True).alias("name"), "docs")
+
+
+def session_file_names(spark, sf):
+    """Every document's session, the file it is written to by either kind of minutes, and the name that the file stands for."""
+    name = F.concat_ws(" ", F.concat(F.lit("第"), F.col("doc_id").cast("string"), F.lit("回")), "lang", "source")
+    files = _docs(spark, sf).select("doc_id", minutes.file_name(name, "_").alias("parliament"), minutes.file_name(name, "").alias("council"))
+    return files.withColumn("name", minutes.session_name(F.col("parliament"), "_")).withColumn("short", minutes.session_name(F.col("council"), ""))
+
+
+def meeting_file_names(spark, sf):
+    """Conversations as meetings: the names of their files, some without a day."""
+    day = F.when(F.col("conv_id") % 4 > 0, F.concat(F.lit("2024-01-"), F.lpad((F.col("conv_id") % 28 + 1).cast("string"), 2, "0")))
+    found = _read(spark, sf, "conversations").groupBy("conv_id").agg(F.count(F.lit(1)).alias("turns"))
+    found = found.select("conv_id", day.alias("date"), F.lit("h/o").alias("nameOfHouse"), F.concat(F.lit("m:"), "turns").alias("nameOfMeeting"), F.when(F.col("conv_id") % 3 > 0, "no?").alias("issue"), F.col("conv_id").cast("string").alias("issueID"))
+    return found.select("conv_id", sinks.meeting_file(found).alias("file_name"))
+
+
+def first_session_terms(spark, sf):
+    docs = _docs(spark, sf)
+    features = session_tfidf_top30(spark, sf).withColumnRenamed("doc_id", "session_seq")
+    return pipelines.first_session_terms(features, docs.select(F.col("doc_id").alias("session_seq"))).select("rank", "term", "score")
+
+
+def corpus_size(spark, sf):
+    return pipelines.corpus_size(_docs(spark, sf))
+
+
+def readable_documents(spark, sf):
+    """Documents as files whose first page is the text, or for a tenth of them control characters and the text."""
+    page = F.when(F.col("doc_id") % 10 == 0, F.concat(F.repeat(F.lit("\x01"), F.length("text") + 1), "text")).when(F.col("doc_id") % 10 == 1, "　\n ").otherwise(F.col("text"))
+    found = readers.readable(_docs(spark, sf).select(F.col("doc_id").alias("path"), F.array(page, F.lit("")).alias("pages")))
+    return found.select(F.col("path").alias("doc_id"), F.length("full_text").cast("long").alias("n_chars"))
+
+
 def observed_counters(spark, sf):
     """run_counters, taken while the documents are written for something else."""
     long = F.length("text") > 0
@@ -358,7 +398,7 @@ def run_counters(spark, sf):
 _QUERIES = (
     session_tfidf_top30, session_term_counts, document_frequency, vocabulary_pruned, speaker_utterance_stats, speaker_tfidf_top200, top3_speakers_top5_words, speaker_meta_left_join, member_flag_join, category_scores, category_top5,
     category_lint, stopword_anti_join, token_class_filters, transcript_format, utterance_segments, session_split_loose, session_split_strict, first_value_meta, last_wins_dedup, incremental_new_sessions, incremental_new_meetings,
-    retrieval_top10, html_links, links_by_kind, json_props, has_text_predicate, chunk_2000, printable_ratio, era_date_parse, filename_sort_key, nfkc_name, council_headers, front_matter_removed, run_counters, observed_counters,
+    retrieval_top10, html_links, links_by_kind, json_props, has_text_predicate, chunk_2000, printable_ratio, era_date_parse, filename_sort_key, nfkc_name, council_headers, front_matter_removed, kanji_variants, session_file_names, meeting_file_names, first_session_terms, corpus_size, readable_documents, run_counters, observed_counters,
     speakers_meta, tfidf_words, tfidf_categories, token_filters, safe_file_names, stripped_texts, to_enrich, latest_members, landed_merge,
 )
 
@@ -471,6 +511,12 @@ SELECT doc_id, CASE WHEN x.e <> '' THEN printf('%04d-%02d-%02d', CASE x.e WHEN '
     "council_headers": """WITH v AS (SELECT doc_id, printf('%04d-%02d-%02d', 2019 + doc_id % 6, doc_id % 12 + 1, doc_id % 28 + 1) AS a, CASE WHEN doc_id % 4 = 0 THEN '?' ELSE printf('%04d-%02d-%02d', 2019 + doc_id % 6, (doc_id + 1) % 12 + 1, doc_id * 7 % 28 + 1) END AS b FROM documents)
 SELECT doc_id, chr(10) || chr(10) || '==== 令和' || (doc_id % 6 + 1) || '年 第' || (doc_id % 9 + 1) || '回 ' || (['定例会', '臨時会', '種別不明'])[doc_id % 3 + 1] || ' ' || CASE WHEN a = b THEN a ELSE a || '〜' || b END || ' ====' || chr(10) AS header FROM v""",
     "front_matter_removed": "SELECT doc_id, md5(chr(10) || text) AS digest FROM documents",
+    "kanji_variants": f"SELECT translate(lang || source, '{_FOLDED}', '{text.VARIANTS[1]}') AS name, count(*) AS docs FROM documents GROUP BY 1",
+    "session_file_names": "SELECT doc_id, '第' || doc_id || '回_' || lang || '_' || source || '.txt' AS parliament, '第' || doc_id || '回' || lang || source || '.txt' AS council, '第' || doc_id || '回 ' || lang || ' ' || source AS name, '第' || doc_id || '回' || lang || source AS short FROM documents",
+    "meeting_file_names": "SELECT conv_id, CASE WHEN conv_id % 4 > 0 THEN '202401' || lpad((conv_id % 28 + 1)::VARCHAR, 2, '0') ELSE '00000000' END || '_h_o_m_' || count(*) || '_' || CASE WHEN conv_id % 3 > 0 THEN 'no_' ELSE '' END || '_' || conv_id || '.json' AS file_name FROM conversations GROUP BY conv_id",
+    "first_session_terms": f"WITH {_weights('doc_id', '0.7', 'LIMIT 10000', False).replace('count(DISTINCT doc_id)', 'count(*)')} SELECT rank, term, round(weight, 4) AS score FROM ranked WHERE rank <= 10 AND doc_id = (SELECT min(doc_id) FROM documents)",
+    "corpus_size": "SELECT count(*) AS n_sessions, sum(length(text))::BIGINT AS n_chars, sum(strlen(text))::BIGINT AS n_bytes, count_if(coalesce(length(text), 0) = 0)::BIGINT AS n_empty FROM documents",
+    "readable_documents": r"SELECT doc_id, length(text) + 1 AS n_chars FROM documents WHERE doc_id % 10 > 1 AND (length(regexp_replace(text, '[\p{C}\p{Zs}\p{Zl}\p{Zp}]', '', 'g')) + length(text) - length(replace(text, ' ', '')))::DOUBLE / greatest(length(text), 1) >= 0.5 AND regexp_matches(text, '[^\s\x0B\x1C-\x1F\x{85}\p{Z}]')",
     "observed_counters": "SELECT count(*) AS n, count_if(length(text) > 0)::BIGINT AS ok, count_if(coalesce(length(text), 0) = 0)::BIGINT AS skipped, sum(length(text))::BIGINT AS n_chars, sum(strlen(text))::BIGINT AS n_bytes FROM documents",
     "run_counters": "SELECT count(*) AS n, count_if(length(text) > 0)::BIGINT AS ok, count_if(coalesce(length(text), 0) = 0)::BIGINT AS skipped, sum(length(text))::BIGINT AS n_chars, sum(strlen(text))::BIGINT AS n_bytes FROM documents",
     "speakers_meta": f"{_SPEAKERS} SELECT speaker_id AS id, name, role, party, utterance_count, coalesce(total_words, 0)::BIGINT AS total_words FROM about",
