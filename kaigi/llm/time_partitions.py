@@ -23,6 +23,7 @@ struct).  Without rows there are no files.
 from __future__ import annotations
 
 import hashlib
+import re
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -141,9 +142,9 @@ def _store(spark: SparkSession, folder: str):
 
 
 def data_files(spark: SparkSession, folder: str) -> list[str]:
-    """The Parquet files of a layout's folder; there are no more than it has leaves and parts."""
+    """The Parquet files of a layout's folder, as full addresses; there are no more than it has leaves and parts."""
     store, path = _store(spark, folder)
-    return [s.getPath().toString() for s in store.listStatus(path) if s.getPath().getName().endswith(".parquet")]
+    return [re.sub("^file:/+", "file:///", s.getPath().toString()) for s in store.listStatus(path) if s.getPath().getName().endswith(".parquet")]
 
 
 def lay_out(rows: DataFrame, moment: Column, order: tuple[str, ...], limit: int, folder: str, before: DataFrame | None = None, known: Column | None = None) -> DataFrame:

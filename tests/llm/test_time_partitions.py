@@ -108,7 +108,7 @@ def laid(spark, rows, until, schema=SCHEMA):
     clicks = spark.createDataFrame(rows, schema) if isinstance(rows, list) else rows
     folder = new_folder(spark, "clicks")
     found = queries.partitioned_twice(clicks, until, folder).collect()
-    paths = [r.path.removeprefix("file:") for r in found]
+    paths = [r.path.removeprefix("file://") for r in found]
     assert sorted(paths) == sorted(os.path.join(d, f) for d, _, names in os.walk(folder.removeprefix("file:")) for f in names if f.endswith(".parquet"))
     for r, path in zip(found, paths, strict=True):
         read = pq.read_table(path, partitioning=None)
