@@ -5,6 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Bytes of text in a part of `by_entity`, so that its counts fit in memory, and the most parts.
+PART_BYTES, MOST_PARTS = 4 << 20, 20_000
+#: Lists of terms up to this long go to every task.
+SHORT_LIST = 50_000
+
+
+def by_entity(texts: DataFrame, entity: str, text: str) -> DataFrame:
+    """texts, each entity's in one part: its terms are counted, weighed and ranked there, so texts are sent once and counts never.
+    For entities that are many and small."""
+    size = texts.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    return texts.repartition(min(1 + size // PART_BYTES, MOST_PARTS), entity)
+
 
 def term_counts(tokens: DataFrame, entity: str, term: str = "term") -> DataFrame:
     """entity, term, tf and, where tokens tell by `exact` which of them were written as the term is, how many were: `count`."""
@@ -23,6 +35,10 @@ def vocabulary(df: DataFrame, n_entities: int, min_df: int, max_df: float, max_f
     return kept.orderBy(F.desc("total_tf"), term).limit(max_features) if max_features else kept
 
 
+def smooth_idf(n_entities: int) -> Column:
+    return F.log(F.lit(1.0 + n_entities) / (1 + F.col("df"))) + 1
+
+
 def tfidf(
     tf: DataFrame, entity: str, n_entities: int, *, min_df: int = 2, max_df: float = 1.0, max_features: int | None = None, sublinear: bool = False, term: str = "term"
 ) -> DataFrame:
@@ -31,8 +47,9 @@ def tfidf(
     n_entities counts entities without tokens too.  No term left gives no rows.
     """
     vocab = vocabulary(document_frequency(tf, term), n_entities, min_df, max_df, max_features, term).select(term, "df")
+    vocab = F.broadcast(vocab) if max_features and max_features <= SHORT_LIST else vocab
     count = 1 + F.log(F.col("tf")) if sublinear else F.col("tf").cast("double")
-    raw = tf.join(vocab, term).withColumn("raw", count * (F.log(F.lit(1.0 + n_entities) / (1 + F.col("df"))) + 1))
+    raw = tf.join(vocab, term).withColumn("raw", count * smooth_idf(n_entities))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(entity)))
     rest = [c for c in tf.columns if c not in (entity, term, "tf")]
     return raw.withColumn("weight", F.col("raw") / norm).select(entity, term, "tf", "df", "weight", *rest)

@@ -41,21 +41,22 @@ def _docs(spark, sf):
     return _read(spark, sf, "documents")
 
 
-def _tokens(spark, sf, entity="doc_id"):
-    return _docs(spark, sf).select(entity, F.explode(text.words(F.col("text"))).alias("term"))
+def _tokens(docs, entity="doc_id"):
+    return docs.select(entity, F.explode(text.words(F.col("text"))).alias("term"))
 
 
-def _counts(spark, sf, entity="doc_id"):
-    return tfidf.term_counts(_tokens(spark, sf, entity), entity)
+def _counts(spark, sf):
+    """Of the documents, in parts by doc_id; to split texts again costs less than to keep the counts."""
+    return tfidf.term_counts(_tokens(tfidf.by_entity(_docs(spark, sf).select("doc_id", "text"), "doc_id", "text")), "doc_id")
 
 
-def _settled_counts(spark, sf, entity="doc_id"):
-    """For what reads the counts more than once: texts are split once."""
-    return settled(_counts(spark, sf, entity))
+def _settled_counts(spark, sf):
+    """Of the sources; texts are split once."""
+    return settled(tfidf.term_counts(_tokens(_docs(spark, sf), "source"), "source"))
 
 
 def session_tfidf_top30(spark, sf):
-    weights = tfidf.tfidf(_settled_counts(spark, sf), "doc_id", _docs(spark, sf).count(), min_df=2, max_df=0.7, max_features=10_000)
+    weights = tfidf.tfidf(_counts(spark, sf), "doc_id", _docs(spark, sf).count(), min_df=2, max_df=0.7, max_features=10_000)
     return tfidf.ranked(weights, "doc_id", 30).select("doc_id", "rank", "term", F.round("weight", 4).alias("score"), "tf")
 
 
@@ -79,7 +80,7 @@ def speaker_utterance_stats(spark, sf):
 
 
 def _speaker_weights(spark, sf):
-    return tfidf.tfidf(_settled_counts(spark, sf, "source"), "source", _docs(spark, sf).select("source").distinct().count(), min_df=2, max_df=0.6, sublinear=True)
+    return tfidf.tfidf(_settled_counts(spark, sf), "source", _docs(spark, sf).select("source").distinct().count(), min_df=2, max_df=0.6, sublinear=True)
 
 
 def speaker_tfidf_top200(spark, sf):
@@ -114,7 +115,7 @@ def _scores(spark, sf):
 
 
 def _speaker_weights_all(spark, sf):
-    return tfidf.tfidf(_settled_counts(spark, sf, "source"), "source", _docs(spark, sf).select("source").distinct().count(), min_df=2, max_df=1.0, sublinear=True)
+    return tfidf.tfidf(_settled_counts(spark, sf), "source", _docs(spark, sf).select("source").distinct().count(), min_df=2, max_df=1.0, sublinear=True)
 
 
 def category_scores(spark, sf):
@@ -135,7 +136,7 @@ def category_lint(spark, sf):
 
 def stopword_anti_join(spark, sf):
     stops = spark.createDataFrame([(w,) for w in STOPS], "term string")
-    return tokens.drop_stop_words(_tokens(spark, sf), stops).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_tokens"))
+    return tokens.drop_stop_words(_tokens(_docs(spark, sf)), stops).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_tokens"))
 
 
 def token_class_filters(spark, sf):
@@ -276,7 +277,7 @@ def html_links(spark, sf):
 
 def retrieval_top10(spark, sf):
     """The ten documents nearest to each benchmark item."""
-    n, counts = _docs(spark, sf).count(), _settled_counts(spark, sf)
+    n, counts = _docs(spark, sf).count(), settled(_counts(spark, sf))
     weights = settled(tfidf.tfidf(counts, "doc_id", n, min_df=1, max_df=1.0))
     asked = tfidf.term_counts(_read(spark, sf, "benchmark").select("item_id", F.explode(text.words(F.col("text"))).alias("term")), "item_id")
     queries = settled(retrieval.query_weights(asked, tfidf.document_frequency(counts), n, "item_id"))

@@ -44,7 +44,8 @@ def council_sessions(documents: DataFrame) -> DataFrame:
 def session_features(sessions: DataFrame, profile: Profile, tokenizer=tokens.letter_runs) -> DataFrame:
     """session_seq, term, tf, df, weight, count, rank."""
     body = tokens.without_front_matter(F.col("text")) if profile.strip_markers else F.col("text")
-    found = tokens.token_table(sessions.withColumn("body", body), "session_seq", "body", profile.session_rules, tokenizer)
+    texts = tfidf.by_entity(sessions.select("session_seq", body.alias("body")), "session_seq", "body")
+    found = tokens.token_table(texts, "session_seq", "body", profile.session_rules, tokenizer)
     low, high = profile.session_df
     weights = tfidf.tfidf(settled(tfidf.term_counts(found, "session_seq")), "session_seq", sessions.count(), min_df=low, max_df=high, max_features=profile.max_features)
     return tfidf.ranked(weights, "session_seq", profile.top_session_terms)

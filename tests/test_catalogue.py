@@ -27,6 +27,21 @@ def test_plans_have_no_cartesian_product(spark, name):
     assert "CartesianProduct" not in plan
 
 
+def test_sessions_are_weighed_where_their_texts_are(spark, monkeypatch):
+    """Texts are sent by session; their counts and weights stay there."""
+    monkeypatch.setattr(catalogue.tfidf, "PART_BYTES", 1 << 16)
+    plan = catalogue.queries()["session_tfidf_top30"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    sent = [x for x in plan.splitlines() if "Exchange hashpartitioning(doc_id" in x]
+    assert sent and all("REPARTITION_BY_NUM" in x for x in sent)
+
+
+def test_texts_of_one_session_are_counted_together(spark, tmp_path):
+    docs = [(1, "aa bb aa"), (1, "aa cc"), (2, "bb cc"), (None, "aa bb"), (None, "bb"), (3, None), (4, "")]
+    spark.createDataFrame(docs, "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    found = {(r.doc_id, r.term): r.tf for r in catalogue.queries()["session_term_counts"](spark, str(tmp_path)).collect()}
+    assert found == {(1, "aa"): 3, (1, "bb"): 1, (1, "cc"): 1, (2, "bb"): 1, (2, "cc"): 1, (None, "aa"): 1, (None, "bb"): 2}
+
+
 def test_settled_rows_go_with_their_last_reference(spark):
     import gc
     import os
