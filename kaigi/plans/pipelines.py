@@ -53,8 +53,8 @@ def session_features(sessions: DataFrame, profile: Profile, tokenizer=tokens.let
 
 def first_session_terms(features: DataFrame, sessions: DataFrame, n: int = 10) -> DataFrame:
     """The first session's n best terms, as a look at the result."""
-    first = sessions.agg(F.min("session_seq").alias("session_seq"))
-    return features.where(F.col("rank") <= n).join(F.broadcast(first), "session_seq", "left_semi").orderBy("rank")
+    first = sessions.agg(F.min("session_seq")).first()[0]  # a value, so that the others are left out before they are weighed and ranked
+    return features.where((F.col("session_seq") == F.lit(first)) & (F.col("rank") <= n)).orderBy("rank")
 
 
 def corpus_size(sessions: DataFrame) -> DataFrame:

@@ -35,6 +35,11 @@ def test_sessions_are_weighed_where_their_texts_are(spark, monkeypatch):
     assert sent and all("REPARTITION_BY_NUM" in x for x in sent)
 
 
+def test_first_session_alone_is_weighed(spark):
+    plan = catalogue.queries()["first_session_terms"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(doc_id" in plan
+
+
 def test_texts_of_one_session_are_counted_together(spark, tmp_path):
     docs = [(1, "aa bb aa"), (1, "aa cc"), (2, "bb cc"), (None, "aa bb"), (None, "bb"), (3, None), (4, "")]
     spark.createDataFrame(docs, "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
