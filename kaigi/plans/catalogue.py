@@ -278,10 +278,10 @@ def html_links(spark, sf):
 def retrieval_top10(spark, sf):
     """The ten documents nearest to each benchmark item."""
     n, counts = _docs(spark, sf).count(), settled(_counts(spark, sf))
-    weights = settled(tfidf.tfidf(counts, "doc_id", n, min_df=1, max_df=1.0))
+    frequency = settled(tfidf.document_frequency(counts).select("term", "df"))
     asked = tfidf.term_counts(_read(spark, sf, "benchmark").select("item_id", F.explode(text.words(F.col("text"))).alias("term")), "item_id")
-    queries = settled(retrieval.query_weights(asked, tfidf.document_frequency(counts), n, "item_id"))
-    return retrieval.nearest(weights, queries, 10, "doc_id", "item_id").select("item_id", "rank", "doc_id", F.round("score", 6).alias("score"))
+    queries = settled(retrieval.query_weights(asked, frequency, n, "item_id"))
+    return retrieval.search(counts, frequency, n, queries, 10, "doc_id", "item_id").select("item_id", "rank", "doc_id", F.round("score", 6).alias("score"))
 
 
 def links_by_kind(spark, sf):

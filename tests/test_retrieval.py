@@ -6,7 +6,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from kaigi.operators import retrieval
+from kaigi.operators import retrieval, tfidf
+from kaigi.plans import catalogue
 from kaigi.staging import settled
 
 
@@ -63,3 +64,44 @@ def test_frequent_terms_find_no_candidates(spark):
     finally:
         retrieval.settled = before
     assert found == 500 and max(x.count() for x in seen) <= 50 * 20
+
+
+@pytest.mark.parametrize("few_products,short,sent", [(1e9, 50_000, 500_000), (1e9, 3, 0), (0, 3, 500_000), (0, 50_000, 0)])
+def test_search_by_either_way(spark, monkeypatch, few_products, short, sent):
+    """All products in one pass or bounds, short lists or joins by term: each gives the scores of all pairs, also for a text
+    without an id and one that is in two rows."""
+    for name, value in (("FEW_PRODUCTS", few_products), ("SHORT_LIST", short), ("SENT_ROWS", sent)):
+        monkeypatch.setattr(retrieval, name, value)
+    r = random.Random(5)
+    word = lambda: f"t{int(r.paretovariate(0.6)) % 90}"
+    rows = [(None if i == 7 else i - i % 40 // 39, " ".join(word() for _ in range(r.randrange(0, 30)))) for i in range(200)]
+    asked = [(q, " ".join(word() for _ in range(r.randrange(1, 9)))) for q in range(20)] + [(99, "nowhere")]
+    texts = {}
+    for e, t in rows:
+        texts.setdefault(e, []).extend(t.split())
+    n, df = len(texts), {}
+    for t in texts.values():
+        for w in set(t):
+            df[w] = df.get(w, 0) + 1
+
+    def weights(words):
+        raw = {w: words.count(w) * (math.log((1 + n) / (1 + df[w])) + 1) for w in words if w in df}
+        norm = math.sqrt(sum(x * x for x in raw.values()))
+        return {w: x / norm for w, x in raw.items()}
+
+    docs, expected = {e: weights(t) for e, t in texts.items()}, []
+    for q, t in asked:
+        scores = sorted((-round(sum(x * d.get(w, 0.0) for w, x in weights(t.split()).items()), 10), -1 if e is None else e) for e, d in docs.items())
+        expected += [(q, i + 1, e, -s) for i, (s, e) in enumerate(scores[:5]) if s < 0]
+    split = lambda found, key: found.select(key, F.explode(F.split("text", " ")).alias("term")).where("term <> ''")
+    counts = settled(tfidf.term_counts(split(tfidf.by_entity(spark.createDataFrame(rows, "e long, text string"), "e", "text"), "e"), "e"))
+    frequency = settled(tfidf.document_frequency(counts).select("term", "df"))
+    queries = settled(retrieval.query_weights(tfidf.term_counts(split(spark.createDataFrame(asked, "q long, text string"), "q"), "q"), frequency, n, "q"))
+    found = retrieval.search(counts, frequency, n, queries, 5, "e", "q").collect()
+    assert sorted((x.q, x.rank, -1 if x.e is None else x.e, x.score) for x in found) == [(a, b, c, pytest.approx(d, abs=1e-9)) for a, b, c, d in sorted(expected)]
+
+
+def test_postings_are_not_sent_by_term(spark):
+    """A frequent term's postings would all meet in one task."""
+    plan = catalogue.queries()["retrieval_top10"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(term" not in plan and "hashpartitioning(_e" not in plan
